@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, decontaminate
-from millrace.llm.common import small_batches, table
+from millrace.llm import bpe, chat, decontaminate, fingerprint, quality
+from millrace.llm.common import bucket_of, small_batches, table
 
 
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,6 +25,32 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: The conversation that every run adds: its texts hold the template's own control strings.
+HARD_CONVERSATION, HARD_TEXT = -7, "\\### Assistant: </turn> ok"
+
+
+def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation rendered, and counts and digests of what is read back from the rendering."""
+    small_batches(spark)
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    hard = spark.createDataFrame([(HARD_CONVERSATION, i, r, HARD_TEXT) for i, r in enumerate(("user", "assistant"))], "conv_id long, turn long, role string, text string")
+    return chat.read_back(chat.format_conversations(rows.unionByName(hard)))
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calibrated quality scores of all whole documents."""
+    small_batches(spark)
+    held_out = bucket_of("doc_id", 5) == 0
+    scored = quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "quality", ~held_out)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
+
+
+def op9_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every whole document and its edited version, and their likenesses."""
+    small_batches(spark)
+    return fingerprint.versions(table(spark, sf_dir, "documents"))
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hits of 13-word benchmark windows in every whole document."""
     small_batches(spark)
@@ -33,7 +59,10 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op4_chat_format": op4_chat_format,
+    "op7_quality": op7_quality,
     "op8_decontaminate": op8_decontaminate,
+    "op9_fingerprint": op9_fingerprint,
 }
 
 SQL: dict[str, str] = {}
