@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, chat, decontaminate, fingerprint, quality
+from millrace.llm import bpe, chat, decontaminate, fingerprint, quality, toxicity
 from millrace.llm.common import bucket_of, small_batches, table
 
 
@@ -25,6 +25,15 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calibrated toxicity scores of all whole documents."""
+    small_batches(spark)
+    docs, held_out = table(spark, sf_dir, "documents"), bucket_of("doc_id", 3) == 1
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), "toxic", ~held_out)
+    scored = docs.select("doc_id", held_out.alias("held_out"), toxicity.scorer(spark, model)("text").alias("score"))
+    return scored.withColumn("predicted", F.when(F.col("score") >= 0.7, 1).otherwise(0))
+
+
 #: The conversation that every run adds: its texts hold the template's own control strings.
 HARD_CONVERSATION, HARD_TEXT = -7, "\\### Assistant: </turn> ok"
 
@@ -59,6 +68,7 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op2_toxicity": op2_toxicity,
     "op4_chat_format": op4_chat_format,
     "op7_quality": op7_quality,
     "op8_decontaminate": op8_decontaminate,
