@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, chat, decontaminate, fingerprint, quality, toxicity
+from millrace.llm import bpe, chat, decontaminate, fingerprint, quality, suffix_tree, toxicity
 from millrace.llm.common import bucket_of, small_batches, table
 
 
@@ -34,6 +34,14 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", F.when(F.col("score") >= 0.7, 1).otherwise(0))
 
 
+def op3_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probabilities of all whole documents by word counts and by a suffix tree."""
+    small_batches(spark)
+    held_out = bucket_of("doc_id", 5) == 1
+    scored = suffix_tree.score(table(spark, sf_dir, "documents"), ~held_out)
+    return scored.select("doc_id", (~F.col("learnt")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 #: The conversation that every run adds: its texts hold the template's own control strings.
 HARD_CONVERSATION, HARD_TEXT = -7, "\\### Assistant: </turn> ok"
 
@@ -69,6 +77,7 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_toxicity": op2_toxicity,
+    "op3_suffix_tree": op3_suffix_tree,
     "op4_chat_format": op4_chat_format,
     "op7_quality": op7_quality,
     "op8_decontaminate": op8_decontaminate,
