@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, chat, decontaminate, fingerprint, quality, suffix_tree, toxicity
+from millrace.llm import bagminhash, bpe, chat, decontaminate, fingerprint, quality, suffix_tree, toxicity
 from millrace.llm.common import bucket_of, small_batches, table
 
 
@@ -54,6 +54,12 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_conversations(rows.unionByName(hard)))
 
 
+def op6_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate class of every whole document: five-word shingles, weighted Jaccard of 0.8 or more."""
+    small_batches(spark)
+    return bagminhash.classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id")
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Calibrated quality scores of all whole documents."""
     small_batches(spark)
@@ -79,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_toxicity": op2_toxicity,
     "op3_suffix_tree": op3_suffix_tree,
     "op4_chat_format": op4_chat_format,
+    "op6_bagminhash": op6_bagminhash,
     "op7_quality": op7_quality,
     "op8_decontaminate": op8_decontaminate,
     "op9_fingerprint": op9_fingerprint,
