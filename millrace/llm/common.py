@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,11 +36,24 @@ def small_batches(spark: SparkSession, rows: int = 512) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share; where the session names none, as in tests, one of our own."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    return named or os.path.join(tempfile.gettempdir(), "millrace-checkpoints")
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """Written as a table to the shared folder and read again: evaluated once, and safe from lost executors."""
+    path = f"{shared_folder(df.sparkSession)}/millrace-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Evaluate once and cut the lineage, in the folder that the cluster names in spark.checkpoint.dir."""
     spark = df.sparkSession
     if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        spark.sparkContext.setCheckpointDir(os.path.join(tempfile.gettempdir(), "millrace-checkpoints"))
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
     return df.checkpoint(eager=True)
 
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bagminhash, bpe, chat, decontaminate, fingerprint, quality, suffix_tree, toxicity
+from millrace.llm import bagminhash, bpe, chat, decontaminate, fingerprint, line_dedup, quality, suffix_tree, toxicity
 from millrace.llm.common import bucket_of, small_batches, table
 
 
@@ -80,6 +80,17 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many lines every whole document has, and which go because a similar line (0.8 or more of the token set) comes before."""
+    docs = table(spark, sf_dir, "documents")
+    gone = line_dedup.removals(docs).select(F.col("id").alias("gone_id"), "removed")
+    lines = docs.select("doc_id", F.size(F.split(F.coalesce("text", F.lit("")), "\n")).cast("long").alias("n_lines"))
+    removed = F.coalesce("removed", F.array().cast("array<int>"))
+    return lines.join(gone, F.col("doc_id").eqNullSafe(F.col("gone_id")), "left").select(
+        "doc_id", "n_lines", F.size(removed).cast("long").alias("n_removed"), F.array_join(removed.cast("array<string>"), ",").alias("removed_lines")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_toxicity": op2_toxicity,
@@ -89,6 +100,34 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_quality": op7_quality,
     "op8_decontaminate": op8_decontaminate,
     "op9_fingerprint": op9_fingerprint,
+    "op10_line_dedup": op10_line_dedup,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op10_line_dedup": r"""
+WITH lined AS (
+  SELECT doc_id, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) - 1 AS line, unnest(string_split(coalesce(text, ''), chr(10))) AS s
+  FROM documents
+), sets AS (
+  SELECT doc_id, line, list_sort(list_distinct(list_filter(regexp_split_to_array(lower(s), '[ \t\r\v\f]+'), lambda x: x <> ''))) AS t FROM lined
+), classes AS (
+  SELECT t, len(t) AS n, min((doc_id, line)) AS first, row_number() OVER (ORDER BY t) AS c FROM sets WHERE len(t) > 0 GROUP BY t
+), tokens AS (SELECT c, n, unnest(t) AS k FROM classes
+), counts AS (SELECT k, count(*) AS f FROM tokens GROUP BY k
+), ranked AS (SELECT c, n, k, row_number() OVER (PARTITION BY c ORDER BY f, k) AS p FROM tokens JOIN counts USING (k)
+), prefixes AS (SELECT c, n, k FROM ranked WHERE p <= n - (4 * n + 4) // 5 + 1
+), pairs AS (
+  SELECT DISTINCT a.c AS c1, b.c AS c2 FROM prefixes a JOIN prefixes b ON a.k = b.k AND a.c < b.c AND 5 * a.n >= 4 * b.n AND 5 * b.n >= 4 * a.n
+), links AS (
+  SELECT x.first AS f1, y.first AS f2, x.c AS c1, y.c AS c2 FROM pairs JOIN classes x ON x.c = c1 JOIN classes y ON y.c = c2
+  WHERE 9 * len(list_intersect(x.t, y.t)) >= 4 * (x.n + y.n)
+), later AS (SELECT DISTINCT CASE WHEN f1 < f2 THEN c2 ELSE c1 END AS c FROM links
+), gone AS (
+  SELECT doc_id, count(DISTINCT line) AS n_removed, string_agg(DISTINCT line::VARCHAR, ',' ORDER BY line::VARCHAR) AS unordered, list_sort(list(DISTINCT line)) AS l
+  FROM sets JOIN classes USING (t) WHERE c IN (SELECT c FROM later) OR first <> (doc_id, line) GROUP BY doc_id
+)
+SELECT doc_id, len(string_split(coalesce(text, ''), chr(10)))::BIGINT AS n_lines, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       coalesce(array_to_string(l, ','), '') AS removed_lines
+FROM documents LEFT JOIN gone USING (doc_id)
+""",
+}
