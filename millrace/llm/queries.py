@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bagminhash, bpe, chat, decontaminate, fingerprint, line_dedup, quality, suffix_tree, toxicity
+from millrace.llm import bagminhash, bpe, chat, decontaminate, fingerprint, license_scan, line_dedup, quality, suffix_tree, toxicity
 from millrace.llm.common import bucket_of, small_batches, table
 
 
@@ -54,6 +54,11 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_conversations(rows.unionByName(hard)))
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences named in every whole document."""
+    return license_scan.summary(license_scan.scan(table(spark, sf_dir, "documents")))
+
+
 def op6_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The near-duplicate class of every whole document: five-word shingles, weighted Jaccard of 0.8 or more."""
     small_batches(spark)
@@ -96,6 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_toxicity": op2_toxicity,
     "op3_suffix_tree": op3_suffix_tree,
     "op4_chat_format": op4_chat_format,
+    "op5_license_scan": op5_license_scan,
     "op6_bagminhash": op6_bagminhash,
     "op7_quality": op7_quality,
     "op8_decontaminate": op8_decontaminate,
