@@ -50,9 +50,19 @@ def _pattern(pattern: str):
     return regex.compile(pattern)
 
 
+def _plain(c: str) -> bool:
+    """Characters whose class no version of Unicode tables disputes: ASCII, Latin, CJK."""
+    return " " <= c < "\x7f" or c == "\n" or "\xc0" <= c < "\u0250" or "\u3041" <= c <= "\u9fff"
+
+
 def boundaries(text: str, pattern: str, stop: int) -> list[int]:
-    """Starts of the pre-tokens of a text, as far as the end at ``stop`` cannot move them."""
-    return [b for b in (m.start() for m in _pattern(pattern).finditer(text)) if b <= stop - UNSURE]
+    """Starts of pre-tokens where a text may be cut.
+
+    The end at ``stop`` cannot move them, and no white space stands before them: white space at the end of a piece would be
+    split as if nothing followed.
+    """
+    starts = (m.start() for m in _pattern(pattern).finditer(text))
+    return [b for b in starts if b <= stop - UNSURE and (b == 0 or not text[b - 1].isspace() and _plain(text[b - 1]) and _plain(text[b]))]
 
 
 def _ids(texts, vocab_path: str, pattern: str) -> list[bytes]:
