@@ -14,6 +14,7 @@ import zlib
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 try:
     from PIL import Image as _pillow
@@ -65,7 +66,7 @@ def decode(raw: bytes) -> np.ndarray:
         body = raw[at + 8 : at + 8 + size]
         if name == b"IDAT":
             data += body
-        if struct.unpack(">I", raw[at + 8 + size : at + 12 + size])[0] != zlib.crc32(name + body):
+        if raw[at + 8 + size : at + 12 + size] != struct.pack(">I", zlib.crc32(name + body)):
             raise Undecodable("checksum")
         at += 12 + size
     try:
@@ -156,7 +157,7 @@ def _bytes(text: str | None) -> bytes | None:
         return None
 
 
-@F.pandas_udf("boolean")
+@F.pandas_udf(T.BooleanType())
 def intact(contents: pd.Series) -> pd.Series:
     """The base64 text holds an image that decodes."""
 
@@ -170,7 +171,7 @@ def intact(contents: pd.Series) -> pd.Series:
     return contents.map(one).astype(bool)
 
 
-@F.pandas_udf("struct<w: int, h: int>")
+@F.pandas_udf(T.StructType([T.StructField("w", T.IntegerType()), T.StructField("h", T.IntegerType())]))
 def dimensions(contents: pd.Series) -> pd.DataFrame:
     """Width and height of a base64 image; null where there is none."""
     out = []
@@ -182,7 +183,7 @@ def dimensions(contents: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["w", "h"], dtype="Int32")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def resized(contents: pd.Series, w: pd.Series, h: pd.Series) -> pd.Series:
     out = []
     for s, a, b in zip(contents, w, h):
@@ -193,7 +194,7 @@ def resized(contents: pd.Series, w: pd.Series, h: pd.Series) -> pd.Series:
     return pd.Series(out, dtype=object)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def turned(contents: pd.Series, degrees: pd.Series) -> pd.Series:
     out = []
     for s, d in zip(contents, degrees):
@@ -204,7 +205,7 @@ def turned(contents: pd.Series, degrees: pd.Series) -> pd.Series:
     return pd.Series(out, dtype=object)
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(T.ArrayType(T.StringType()))
 def cut_tiles(contents: pd.Series, w: pd.Series, h: pd.Series, size: pd.Series) -> pd.Series:
     """Tiles of the image resized to w by h, row by row, and the whole image as a thumbnail of one tile last."""
     out = []

@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 
 _ASK = ("Please {}", "{}", "Kindly {}", "Could you {}?", "Your task: {}")
 PROMPTS: dict[str, tuple[str, ...]] = {
-    "ocr": tuple(a.format(v) for v in ("read all the text in this picture", "write down every word you can see here", "copy out the text shown") for a in _ASK),
-    "ocr_markdown": tuple(a.format(v) for v in ("turn this page into Markdown", "give the page's content as Markdown, in reading order") for a in _ASK),
-    "latex_ocr": tuple(a.format(v) for v in ("write this formula as LaTeX", "give the LaTeX source of what is shown") for a in _ASK),
-    "table_html": tuple(a.format(v) for v in ("rebuild this table as HTML", "give the table's HTML markup") for a in _ASK),
-    "box_en": tuple(a.format(v) for v in ("find {{}} and give its box", "say where {{}} is in the image") for a in _ASK),
+    "ocr": tuple(a.replace("{}", v) for v in ("read all the text in this picture", "write down every word you can see here", "copy out the text shown") for a in _ASK),
+    "ocr_markdown": tuple(a.replace("{}", v) for v in ("turn this page into Markdown", "give the page's content as Markdown, in reading order") for a in _ASK),
+    "latex_ocr": tuple(a.replace("{}", v) for v in ("write this formula as LaTeX", "give the LaTeX source of what is shown") for a in _ASK),
+    "table_html": tuple(a.replace("{}", v) for v in ("rebuild this table as HTML", "give the table's HTML markup") for a in _ASK),
+    "box_en": tuple(a.replace("{}", v) for v in ("find {} and give its box", "say where {} is in the image") for a in _ASK),
     "box_zh": ("请给出{}的边界框", "请标出{}的位置", "{}在图中的哪里？", "框出{}"),
-    "video_caption_en": tuple(a.format(v) for v in ("describe this video", "tell what happens in the clip") for a in _ASK),
+    "video_caption_en": tuple(a.replace("{}", v) for v in ("describe this video", "tell what happens in the clip") for a in _ASK),
 }
 
 

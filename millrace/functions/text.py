@@ -8,6 +8,7 @@ import zlib
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # What the markup filter removes, in this order.
 MARKUP = ("---", "*", "<sup>", "</sup>", "\n", ">", "$", "^", "{", "}", "#")
@@ -182,7 +183,7 @@ def frame_at(second: Column, fps: Column, n: Column) -> Column:
     return F.least(F.greatest((second * fps).cast("int"), F.lit(0)), n)
 
 
-@F.pandas_udf("boolean")
+@F.pandas_udf(T.BooleanType())
 def is_repetitive(texts: pd.Series) -> pd.Series:
     """Compresses more than fourfold, or has a full window of 1000 characters that compresses more than 3.5-fold."""
 
@@ -198,7 +199,7 @@ def is_repetitive(texts: pd.Series) -> pd.Series:
     return texts.map(judge).astype(bool)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def values_as_text(objects: pd.Series) -> pd.Series:
     """A JSON object with its top-level values as Python prints them (True, None, {'e': 1}); what isn't an object is null."""
 
