@@ -43,6 +43,8 @@ BANDS, ROWS = 32, 6
 BLOCK_SHINGLES = 400_000
 _U = np.uint64
 _STEP, _PLACE, _SLOT = _U(0x9E3779B97F4A7C15), _U(0xD6E8FEB86659FD93), _U(0xA0761D6478BD642F)
+#: Up to how many expected points a process is stepped how far at once.
+_LIKELY, _STEPS = (0.4, 1.2, 4, 12, 40), (1, 2, 4, 12, 32, 96)
 _CACHE_WORDS = 500_000
 _known: dict[bytes, int] = {}
 
@@ -106,25 +108,31 @@ def signatures(bags: list[tuple[np.ndarray, np.ndarray]], registers: int) -> np.
 
 def _run(best, element, of, horizon, block, low, width, weight, registers) -> None:
     """One process for each element, as far as its document's horizon; points below the weight go into the registers."""
-    seed, t, k = _mix(element ^ _mix(_U([block + 1]) * _SLOT)), np.zeros(len(element)), 0
-    while len(seed):
-        expected = float((horizon - t).max()) * width
-        steps = 1 if expected < 0.5 else 4 if expected < 4 else 16 if expected < 24 else 64
-        for a in range(0, len(seed), 1 << 17):
-            s = slice(a, a + (1 << 17))
-            h = _mix(seed[s, None] + np.arange(k + 1, k + steps + 1, dtype="u8") * _STEP)
-            gap = -np.log(((h >> _U(11)).astype(float) + 0.5) * 2.0**-53) / width
-            gap[:, 0] += t[s]
-            times = np.cumsum(gap, axis=1)
-            place = low + (_mix(h ^ _PLACE) >> _U(11)).astype(float) * 2.0**-53 * width
-            good = (times < horizon[s, None]) & (place < weight[s, None])
-            row, col = np.nonzero(good)
-            slot = (_mix(h[row, col] ^ _SLOT) % _U(registers)).astype(np.int64)
-            np.minimum.at(best, of[s][row] * registers + slot, times[row, col])
-            t[s] = times[:, -1]
-        k += steps
-        on = t < horizon
-        seed, of, horizon, weight, t = seed[on], of[on], horizon[on], weight[on], t[on]
+    seed, t, k = _mix(element ^ _mix(_U([block + 1]) * _SLOT)), np.zeros(len(element)), np.zeros(len(element), "u8")
+    whole = weight >= low + width
+    on = np.arange(len(element))
+    while len(on):
+        expected = (horizon[on] - t[on]) * width
+        order = np.searchsorted(_LIKELY, expected)
+        for j, steps in enumerate(_STEPS):
+            # Elements that have as many points to go are stepped together.
+            every = on[order == j]
+            for a in range(0, len(every), (1 << 19) // steps):
+                e = every[a : a + (1 << 19) // steps]
+                h = _mix(seed[e, None] + (k[e, None] + np.arange(1, steps + 1, dtype="u8")) * _STEP)
+                gap = -np.log(((h >> _U(11)).astype(float) + 0.5) * 2.0**-53) / width
+                gap[:, 0] += t[e]
+                times = np.cumsum(gap, axis=1) if steps > 1 else gap
+                t[e] = times[:, -1]
+                row, col = np.nonzero(times < horizon[e, None])
+                x, when, of_row = h[row, col], times[row, col], e[row]
+                if not whole[e].all():
+                    place = low + (_mix(x ^ _PLACE) >> _U(11)).astype(float) * 2.0**-53 * width
+                    good = place < weight[of_row]
+                    x, when, of_row = x[good], when[good], of_row[good]
+                np.minimum.at(best, of[of_row] * registers + (_mix(x ^ _SLOT) % _U(registers)).astype(np.int64), when)
+            k[every] += _U(steps)
+        on = on[t[on] < horizon[on]]
 
 
 def band_hashes(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
