@@ -223,7 +223,7 @@ _STARTED: dict[bytes, Model] = {}
 
 def _started(model: Model) -> Model:
     """One model, with its word cache, for all tasks of a worker."""
-    key = model.toxic + model.ordinary + model.weight.tobytes()
+    key = repr((model.slope, model.offset, model.constant)).encode() + model.toxic + model.ordinary + model.weight.tobytes()
     if key not in _STARTED:
         _STARTED.clear()
         if model.constant is None:
