@@ -110,6 +110,41 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 SQL: dict[str, str] = {
+    "op4_chat_format": r"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations UNION ALL
+  SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+), sized AS (
+  SELECT *, contains(role || text, '\') OR contains(text, '</turn>' || chr(10)) OR contains(role, ':' || chr(10)) AS hard,
+    len(regexp_extract_all(role, '\\|###|:\n|</turn>')) + len(regexp_extract_all(text, '\\|###|:\n|</turn>')) AS marks FROM rows
+)
+SELECT conv_id, count(*)::BIGINT AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(14 + length(role) + length(text) + CASE WHEN hard THEN marks ELSE 0 END)::BIGINT AS formatted_chars
+FROM sized GROUP BY conv_id
+""",
+    "op8_decontaminate": r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), b AS (
+  SELECT coalesce(item_id::VARCHAR, '') AS item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), windows AS (
+  SELECT DISTINCT item, n, array_to_string(w[p:p + n - 1], ' ') AS gram
+  FROM (SELECT item, w, least(13, len(w)) AS n, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS p FROM b WHERE len(w) > 0)
+), sizes AS (SELECT DISTINCT n FROM windows
+), places AS (
+  SELECT doc_id, n, p, array_to_string(w[p:p + n - 1], ' ') AS gram FROM (SELECT doc_id, n, w, unnest(range(1, len(w) - n + 2)) AS p FROM d, sizes WHERE len(w) >= n)
+), hits AS (SELECT doc_id, p, n, item FROM places JOIN windows USING (n, gram)
+), counted AS (
+  SELECT doc_id, count(DISTINCT q) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + n)) AS q FROM (SELECT DISTINCT doc_id, p, n FROM hits)) GROUP BY doc_id
+), named AS (
+  SELECT doc_id, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS items_sha256 FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, coalesce(items_sha256, sha256('')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN counted USING (doc_id) LEFT JOIN named USING (doc_id)
+""",
     "op10_line_dedup": r"""
 WITH lined AS (
   SELECT doc_id, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) - 1 AS line, unnest(string_split(coalesce(text, ''), chr(10))) AS s
