@@ -33,35 +33,37 @@ THRESHOLD = 0.8
 CELLS = 1 << 18
 _HASH_BITS = 57
 _LEVELS = 60
+_OTHER_SPACE = "\t\r\x0b\f"
 
 
-def _tokens(line: Column) -> Column:
-    return F.array_remove(F.split(F.lower(line), r"[ \t\r\x0b\f]+"), "")
+def _plain(text: Column) -> Column:
+    """Lower-cased, its white space spaces and line feeds only, so that splitting needs no pattern."""
+    low = F.lower(F.coalesce(text, F.lit("")))
+    return F.when(low.rlike("[\t\r\x0b\f]"), F.translate(low, _OTHER_SPACE, " " * len(_OTHER_SPACE))).otherwise(low)
 
 
-def _hashes(line: Column) -> Column:
-    return F.transform(_tokens(line), lambda t: F.xxhash64(t))
-
-
-def _lines(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
-    return docs.select(F.col(doc_id).alias("id"), F.posexplode(F.split(F.coalesce(text, F.lit("")), "\n")).alias("line", "s"))
-
-
-def levels(lines: DataFrame, cells: int = CELLS) -> bytes:
-    """For each cell the level of its count, as an ASCII byte: 0 for one token or none, two for each doubling."""
+def levels(docs: DataFrame, text: str, cells: int) -> bytes:
+    """For each cell of token hashes the level of its count, a byte each: 0 for one token or none, two more for each doubling."""
     found = bytearray(cells)
-    counted = lines.select(F.explode(_hashes(F.col("s"))).alias("h")).groupBy(F.pmod("h", F.lit(cells)).cast("int").alias("cell")).count()
-    for cell, count in counted.collect():  # at most ``cells`` rows
+    token = F.explode(F.split(F.replace(_plain(F.col(text)), F.lit("\n"), F.lit(" ")), " ")).alias("token")
+    counted = docs.select(token).where("token <> ''").groupBy(F.pmod(F.xxhash64("token"), F.lit(cells)).cast("int").alias("cell")).count()
+    for cell, count in counted.toLocalIterator():  # at most ``cells`` rows, a partition at a time
         found[cell] = min(int(2 * math.log2(count)), _LEVELS)
     return bytes(found)
 
 
-def keys(line: Column, level: bytes) -> Column:
+def _keys(line: Column, known: bytes) -> Column:
     """The line's distinct tokens as numbers, rarest first: level, then hash."""
-    known = F.lit(level)
-    rarity = lambda h: F.ascii(F.substring(known, F.pmod(h, F.lit(len(level))).cast("int") + 1, F.lit(1)).cast("string"))
-    one = lambda h: F.shiftleft(rarity(h).cast("long"), _HASH_BITS).bitwiseOR(h.bitwiseAND(F.lit((1 << _HASH_BITS) - 1)))
-    return F.sort_array(F.array_distinct(F.transform(_hashes(line), one)))
+    level = lambda h: F.ascii(F.substring(F.lit(known), F.pmod(h, F.lit(len(known))).cast("int") + 1, F.lit(1)).cast("string"))
+    one = lambda h: F.shiftleft(level(h).cast("long"), _HASH_BITS).bitwiseOR(h.bitwiseAND(F.lit((1 << _HASH_BITS) - 1)))
+    hashed = F.transform(F.split(line, " "), lambda t: F.xxhash64(t))
+    return F.sort_array(F.array_distinct(F.transform(F.array_remove(hashed, F.xxhash64(F.lit(""))), one)))
+
+
+def _described(rows: DataFrame, lines: Column, known: bytes) -> DataFrame:
+    """id, line, keys of the lines with tokens in ``lines``, an array of (line, s): inlined, so that each line is evaluated once."""
+    described = F.transform(lines, lambda x: F.struct(x["line"].alias("line"), _keys(x["s"], known).alias("keys")))
+    return rows.select("id", F.inline(described)).where(F.size("keys") > 0)
 
 
 def _needed(a: Column, b: Column, threshold: float) -> Column:
@@ -69,59 +71,60 @@ def _needed(a: Column, b: Column, threshold: float) -> Column:
     return F.ceil(F.lit(threshold / (1 + threshold)) * (a + b) - 1e-9)
 
 
-def _described(lines: DataFrame, level: bytes) -> DataFrame:
-    """id, line, keys, n, u and m (a 128-bit name of the set: hash and parity bitmap) of lines with tokens."""
+def _parity() -> Column:
     bit = lambda k: F.call_function("shiftleft", F.lit(1).cast("long"), k.bitwiseAND(F.lit(63)).cast("int"))
-    m = F.aggregate("keys", F.lit(0).cast("long"), lambda a, k: a.bitwiseXOR(bit(k)))
-    return lines.withColumn("keys", keys(F.col("s"), level)).where(F.size("keys") > 0).select("id", "line", "keys", F.size("keys").alias("n"), F.xxhash64("keys").alias("u"), m.alias("m"))
+    return F.aggregate("keys", F.lit(0).cast("long"), lambda a, k: a.bitwiseXOR(bit(k)))
 
 
 def similar(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", threshold: float = THRESHOLD, cells: int = CELLS) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """All lines with tokens (id, line, u, m, n); classes (u, m, n, first, times); verified pairs of classes (u, m, u2, m2)."""
-    lines = _lines(docs, text, doc_id)
-    level = levels(lines, cells)
-    prefix = F.col("n") - F.ceil(F.lit(threshold) * F.col("n") - 1e-9) + 1
-    short = F.transform(F.slice("keys", 1, prefix.cast("int")), lambda k: k.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int"))
-    every = stored(_described(lines, level).select("id", "line", "u", "m", "n", short.alias("prefix")))
+    """All lines with tokens (id, line, u, m); classes (sid, u, m, first, times); verified pairs of classes (sid, sid2)."""
+    known = levels(docs, text, cells)
+    n = F.size("keys")
+    prefix = (n - F.ceil(F.lit(threshold) * n - 1e-9) + 1).cast("int")
+    numbered = F.transform(F.split(_plain(F.col(text)), "\n"), lambda s, i: F.struct(i.alias("line"), s.alias("s")))
+    lines = _described(docs.select(F.col(doc_id).alias("id"), F.col(text).alias(text)), numbered, known)
+    short = F.transform(F.slice("keys", F.lit(1), prefix), lambda k: k.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int"))
+    every = stored(lines.select("id", "line", F.xxhash64("keys").alias("u"), _parity().alias("m"), n.alias("n"), short.alias("prefix")))
     sets = every.groupBy("u", "m", "n").agg(F.min(F.struct("id", "line")).alias("first"), F.count("*").alias("times"), F.first("prefix").alias("prefix"))
-    sets = stored(sets)
-    posts = sets.select("u", "m", "n", F.posexplode("prefix").alias("pos", "k"))
+    sets = stored(sets.withColumn("sid", F.monotonically_increasing_id()))
+    posts = sets.select("sid", "m", "n", F.posexplode("prefix").alias("pos", "k"))
     a, b = posts.alias("a"), posts.alias("b")
     col = lambda x: (F.col(f"a.{x}"), F.col(f"b.{x}"))
-    (ua, ub), (ma, mb), (na, nb), (pa, pb) = map(col, ("u", "m", "n", "pos"))
+    (sa, sb), (ma, mb), (na, nb), (pa, pb) = map(col, ("sid", "m", "n", "pos"))
     need = _needed(na, nb, threshold)
     near = (
         (F.col("a.k") == F.col("b.k"))
-        & ((ua < ub) | ((ua == ub) & (ma < mb)))
+        & (sa < sb)
         & (na >= F.lit(threshold) * nb - 1e-9)
         & (nb >= F.lit(threshold) * na - 1e-9)
         & (F.bit_count(ma.bitwiseXOR(mb)) <= na + nb - 2 * need)
         & (F.least(na - pa, nb - pb) >= need)
     )
-    pairs = a.join(b, near).select(ua, ma, ub.alias("u2"), mb.alias("m2")).distinct()
-    pairs = stored(pairs)
+    pairs = stored(a.join(b, near).select(sa, sb.alias("sid2")).distinct())
     # The whole sets of candidates, from the first line of each.
-    named = pairs.select("u", "m").unionByName(pairs.select(F.col("u2").alias("u"), F.col("m2").alias("m"))).distinct()
-    firsts = named.join(sets, ["u", "m"]).groupBy(F.col("first.id").alias("id")).agg(F.collect_set("first.line").alias("wanted"))
-    source = docs.select(F.col(doc_id).alias("own"), F.col(text).alias("t")).join(firsts, F.col("own").eqNullSafe(F.col("id")))
-    line = F.explode("wanted").alias("line")
-    split = source.select("id", F.split(F.coalesce("t", F.lit("")), "\n").alias("each"), line).select("id", "line", F.get("each", F.col("line")).alias("s"))
-    whole = _described(split.where("s is not null"), level).groupBy("u", "m").agg(F.first("keys").alias("keys"))
-    other = whole.select(F.col("u").alias("u2"), F.col("m").alias("m2"), F.col("keys").alias("keys2"))
-    both = pairs.join(whole, ["u", "m"]).join(other, ["u2", "m2"])
+    named = pairs.select("sid").unionByName(pairs.select(F.col("sid2").alias("sid"))).distinct()
+    wanted = F.collect_set(F.struct(F.col("first.line").alias("line"), F.col("sid").alias("sid"), F.col("u").alias("u"), F.col("m").alias("m")))
+    firsts = named.join(sets.select("sid", "u", "m", "first"), "sid").groupBy(F.col("first.id").alias("id")).agg(wanted.alias("wanted"))
+    source = docs.select(F.col(doc_id).alias("own"), F.col(text).alias(text)).join(firsts, F.col("own").eqNullSafe(F.col("id")))
+    told = F.transform(F.array(F.split(_plain(F.col(text)), "\n")), lambda each: F.filter(F.transform("wanted", lambda w: F.struct(w["line"].alias("line"), F.get(each, w["line"]).alias("s"))), lambda x: x["s"].isNotNull()))
+    whole = _described(source, F.element_at(told, 1), known).select("id", "line", "keys", F.xxhash64("keys").alias("u"), _parity().alias("m"))
+    # Another row of the same id may have another text in that place: the names of the set tell.
+    named_sets = firsts.select("id", F.explode("wanted").alias("w")).select(F.col("id").alias("id1"), F.col("w.line").alias("line1"), F.col("w.sid").alias("sid"), F.col("w.u").alias("u1"), F.col("w.m").alias("m1"))
+    same = F.col("id").eqNullSafe(F.col("id1")) & (F.col("line") == F.col("line1")) & (F.col("u") == F.col("u1")) & (F.col("m") == F.col("m1"))
+    whole = whole.join(named_sets, same).groupBy("sid").agg(F.first("keys").alias("keys"))
+    both = pairs.join(whole, "sid").join(whole.select(F.col("sid").alias("sid2"), F.col("keys").alias("keys2")), "sid2")
     overlap = F.size(F.array_intersect("keys", "keys2"))
-    verified = both.where(overlap >= _needed(F.size("keys"), F.size("keys2"), threshold)).select("u", "m", "u2", "m2")
-    return every.drop("prefix"), sets.drop("prefix"), verified
+    verified = both.where(overlap >= _needed(F.size("keys"), F.size("keys2"), threshold)).select("sid", "sid2")
+    return every.drop("prefix", "n"), sets.drop("prefix", "n"), verified
 
 
 def removals(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", threshold: float = THRESHOLD, cells: int = CELLS) -> DataFrame:
     """id, removed (places of removed lines, from 0, in order) of the documents that lose lines."""
     every, sets, pairs = similar(docs, text, doc_id, threshold, cells)
-    first = sets.select("u", "m", "first")
-    ends = pairs.join(first, ["u", "m"]).join(first.select(F.col("u").alias("u2"), F.col("m").alias("m2"), F.col("first").alias("first2")), ["u2", "m2"])
-    before, after = F.struct("first2.id", "first2.line"), F.struct("first.id", "first.line")
-    later = ends.select(F.when(before < after, F.struct("u", "m")).otherwise(F.struct(F.col("u2").alias("u"), F.col("m2").alias("m"))).alias("x")).select("x.*").distinct()
-    told = sets.join(later.withColumn("later", F.lit(True)), ["u", "m"], "left").where("times > 1 or later").select("u", "m", "first", "later")
+    first = sets.select("sid", "first")
+    ends = pairs.join(first, "sid").join(first.select(F.col("sid").alias("sid2"), F.col("first").alias("first2")), "sid2")
+    later = ends.select(F.when(F.struct("first2.id", "first2.line") < F.struct("first.id", "first.line"), F.col("sid")).otherwise(F.col("sid2")).alias("sid")).distinct()
+    told = sets.join(later.withColumn("later", F.lit(True)), "sid", "left").where("times > 1 or later").select("u", "m", "first", "later")
     gone = every.join(told, ["u", "m"]).where(F.col("later") | ~(F.col("id").eqNullSafe(F.col("first.id")) & (F.col("line") == F.col("first.line"))))
     return gone.groupBy("id").agg(F.array_sort(F.collect_set("line")).alias("removed"))
 
