@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -43,10 +44,19 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def stored(df: DataFrame) -> DataFrame:
-    """Written as a table to the shared folder and read again: evaluated once, and safe from lost executors."""
-    path = f"{shared_folder(df.sparkSession)}/millrace-{uuid.uuid4().hex}"
+    """Written as a table to the shared folder and read again: evaluated once, and safe from lost executors.
+
+    What was shuffled for the table is of no more use; the engine removes shuffle files when the driver collects its garbage,
+    which is asked for here so that the disk holds one step's files at a time.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/millrace-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    schema = df.schema
+    del df
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    return spark.read.schema(schema).parquet(path)
 
 
 def cut(df: DataFrame) -> DataFrame:

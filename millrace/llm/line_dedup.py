@@ -111,7 +111,7 @@ def similar(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", thresho
     # Another row of the same id may have another text in that place: the names of the set tell.
     named_sets = firsts.select("id", F.explode("wanted").alias("w")).select(F.col("id").alias("id1"), F.col("w.line").alias("line1"), F.col("w.sid").alias("sid"), F.col("w.u").alias("u1"), F.col("w.m").alias("m1"))
     same = F.col("id").eqNullSafe(F.col("id1")) & (F.col("line") == F.col("line1")) & (F.col("u") == F.col("u1")) & (F.col("m") == F.col("m1"))
-    whole = whole.join(named_sets, same).groupBy("sid").agg(F.first("keys").alias("keys"))
+    whole = stored(whole.join(named_sets, same).groupBy("sid").agg(F.first("keys").alias("keys")))
     both = pairs.join(whole, "sid").join(whole.select(F.col("sid").alias("sid2"), F.col("keys").alias("keys2")), "sid2")
     overlap = F.size(F.array_intersect("keys", "keys2"))
     verified = both.where(overlap >= _needed(F.size("keys"), F.size("keys2"), threshold)).select("sid", "sid2")
