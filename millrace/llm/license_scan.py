@@ -2,8 +2,8 @@ r"""License detection by ordered signature rules; built-in functions only.
 
 Texts are matched as words (A-Z lower-cased, everything else in ASCII that is not a
 digit taken as a gap) with one space between them. A rule is a regular expression
-over words with a keyword, a priority and a weight; only rules whose keyword occurs
-run on a text. A detection is dropped if it lies inside one of a stronger rule, or
+over words with keywords, a priority and a weight; only rules of which a keyword
+occurs run on a text, and every alternative of a rule holds one of its keywords. A detection is dropped if it lies inside one of a stronger rule, or
 inside a longer one of an equally strong rule. Base phrases are rules whose
 detections are always kept. A text's score is the largest weight of what is kept.
 
@@ -23,68 +23,69 @@ from pyspark.sql import functions as F
 # Base phrases and their labels.
 BASE = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
 
-# Licences as (label, keyword, name in words, words of an address or '').
+# Licences as (label, keywords split by |, name in words, words of an address or '').
+# Each alternative of a name holds a keyword, between the spaces that a keyword has.
 LICENCES = (
-    ("0bsd", "0bsd", r"(?:0bsd|zero clause bsd)", "opensource org licenses 0bsd"),
-    ("afl-3.0", "academic", r"academic free(?: license)?(?: version| v)?(?: 3(?: 0)?)?", "opensource org licenses afl 3 0"),
-    ("agpl-3.0", "affero", r"(?:gnu )?affero general public(?: license)?(?: version| v)?(?: 3(?: 0)?)?", "gnu org licenses agpl"),
-    ("apache-1.1", "apache", r"apache(?: software)?(?: license)?(?: version| v)? 1 1", "apache org licenses license 1 1"),
-    ("apache-2.0", "apache", r"apache(?: software)?(?: license)?(?: version| v)? ?2(?: 0)?", "apache org licenses license 2 0"),
-    ("artistic-1.0", "artistic", r"artistic(?: license)?(?: version| v)? 1(?: 0)?", "opensource org licenses artistic 1 0"),
-    ("artistic-2.0", "artistic", r"artistic(?: license)?(?: version| v)? 2(?: 0)?", "opensource org licenses artistic 2 0"),
-    ("beerware", "beerware", r"beerware", ""),
+    ("0bsd", "0bsd|zero clause bsd", r"(?:0bsd|zero clause bsd)", "opensource org licenses 0bsd"),
+    ("afl-3.0", "academic free", r"academic free(?: license)?(?: version| v)?(?: 3(?: 0)?)?", "opensource org licenses afl 3 0"),
+    ("agpl-3.0", "affero general public", r"(?:gnu )?affero general public(?: license)?(?: version| v)?(?: 3(?: 0)?)?", "gnu org licenses agpl"),
+    ("apache-1.1", " apache", r"apache(?: software)?(?: license)?(?: version| v)? 1 1", "apache org licenses license 1 1"),
+    ("apache-2.0", " apache", r"apache(?: software)?(?: license)?(?: version| v)? ?2(?: 0)?", "apache org licenses license 2 0"),
+    ("artistic-1.0", " artistic ", r"artistic(?: license)?(?: version| v)? 1(?: 0)?", "opensource org licenses artistic 1 0"),
+    ("artistic-2.0", " artistic ", r"artistic(?: license)?(?: version| v)? 2(?: 0)?", "opensource org licenses artistic 2 0"),
+    ("beerware", " beerware ", r"beerware", ""),
     ("bsd-2-clause", "bsd", r"(?:bsd 2 clause|2 clause bsd|two clause bsd|simplified bsd|freebsd)", "opensource org licenses bsd 2 clause"),
     ("bsd-3-clause", "bsd", r"(?:bsd 3 clause|3 clause bsd|three clause bsd|new bsd|modified bsd|revised bsd)", "opensource org licenses bsd 3 clause"),
     ("bsd-4-clause", "bsd", r"(?:bsd 4 clause|4 clause bsd|four clause bsd|original bsd)", "spdx org licenses bsd 4 clause"),
-    ("bsl-1.0", "boost", r"boost(?: software)?(?: license)?(?: version| v)?(?: 1 0)?", "boost org license 1 0"),
-    ("busl-1.1", "business", r"business source(?: license)?(?: version| v)?(?: 1 1)?", "mariadb com bsl11"),
-    ("cc-by", "cc", r"(?:cc|creative commons) (?:by|attribution)(?: [1-4] [05])?", "creativecommons org licenses by"),
-    ("cc-by-nc", "cc", r"(?:cc|creative commons) (?:by|attribution) (?:nc|non ?commercial)(?: [1-4] [05])?", "creativecommons org licenses by nc"),
-    ("cc-by-nc-nd", "cc", r"(?:cc|creative commons) (?:by|attribution) (?:nc|non ?commercial) (?:nd|no ?deriv(?:ative)?s?)(?: works)?(?: [1-4] [05])?", "creativecommons org licenses by nc nd"),
-    ("cc-by-nc-sa", "cc", r"(?:cc|creative commons) (?:by|attribution) (?:nc|non ?commercial) (?:sa|share ?alike)(?: [1-4] [05])?", "creativecommons org licenses by nc sa"),
-    ("cc-by-nd", "cc", r"(?:cc|creative commons) (?:by|attribution) (?:nd|no ?deriv(?:ative)?s?)(?: works)?(?: [1-4] [05])?", "creativecommons org licenses by nd"),
-    ("cc-by-sa", "cc", r"(?:cc|creative commons) (?:by|attribution) (?:sa|share ?alike)(?: [1-4] [05])?", "creativecommons org licenses by sa"),
-    ("cc0-1.0", "cc0", r"(?:cc0|creative commons zero)(?: 1 0)?(?: universal)?", "creativecommons org publicdomain zero"),
-    ("cddl-1.0", "distribution", r"common development and distribution(?: license)?(?: version| v)?(?: 1 [01])?", "opensource org licenses cddl"),
+    ("bsl-1.0", " boost ", r"boost(?: software)?(?: license)?(?: version| v)?(?: 1 0)?", "boost org license 1 0"),
+    ("busl-1.1", "business source", r"business source(?: license)?(?: version| v)?(?: 1 1)?", "mariadb com bsl11"),
+    ("cc-by", " cc |creative commons ", r"(?:cc|creative commons) (?:by|attribution)(?: [1-4] [05])?", "creativecommons org licenses by"),
+    ("cc-by-nc", " cc |creative commons ", r"(?:cc|creative commons) (?:by|attribution) (?:nc|non ?commercial)(?: [1-4] [05])?", "creativecommons org licenses by nc"),
+    ("cc-by-nc-nd", " cc |creative commons ", r"(?:cc|creative commons) (?:by|attribution) (?:nc|non ?commercial) (?:nd|no ?deriv(?:ative)?s?)(?: works)?(?: [1-4] [05])?", "creativecommons org licenses by nc nd"),
+    ("cc-by-nc-sa", " cc |creative commons ", r"(?:cc|creative commons) (?:by|attribution) (?:nc|non ?commercial) (?:sa|share ?alike)(?: [1-4] [05])?", "creativecommons org licenses by nc sa"),
+    ("cc-by-nd", " cc |creative commons ", r"(?:cc|creative commons) (?:by|attribution) (?:nd|no ?deriv(?:ative)?s?)(?: works)?(?: [1-4] [05])?", "creativecommons org licenses by nd"),
+    ("cc-by-sa", " cc |creative commons ", r"(?:cc|creative commons) (?:by|attribution) (?:sa|share ?alike)(?: [1-4] [05])?", "creativecommons org licenses by sa"),
+    ("cc0-1.0", " cc0 |creative commons zero", r"(?:cc0|creative commons zero)(?: 1 0)?(?: universal)?", "creativecommons org publicdomain zero"),
+    ("cddl-1.0", "common development and distribution", r"common development and distribution(?: license)?(?: version| v)?(?: 1 [01])?", "opensource org licenses cddl"),
     ("cecill-2.1", "cecill", r"cecill(?: b| c)?(?: 2 1)?", "cecill info licences"),
-    ("cpl-1.0", "common", r"common public(?: license)?(?: version| v)?(?: 1 0)?", "opensource org licenses cpl"),
-    ("ecl-2.0", "educational", r"educational community(?: license)?(?: version| v)?(?: 2 0)?", "opensource org licenses ecl"),
-    ("elastic-2.0", "elastic", r"elastic license(?: version| v)?(?: 2 0)?", "elastic co licensing"),
-    ("epl-1.0", "eclipse", r"eclipse public(?: license)?(?: version| v)? 1 0", "eclipse org legal epl v10"),
-    ("epl-2.0", "eclipse", r"eclipse public(?: license)?(?: version| v)?(?: 2 0)?", "eclipse org legal epl 2 0"),
-    ("eupl-1.2", "european", r"european union public(?: licen[cs]e)?(?: version| v)?(?: 1 2)?", "joinup ec europa eu"),
-    ("gfdl-1.3", "documentation", r"(?:gnu )?free documentation(?: license)?(?: version| v)?(?: 1 3)?", "gnu org licenses fdl"),
-    ("gpl-2.0", "gpl", r"(?:gnu )?gpl(?: version| v)? ?2(?: 0)?", "gnu org licenses gpl 2 0"),
-    ("gpl-2.0", "general", r"(?:gnu )?general public(?: license)?(?: version| v)? 2(?: 0)?", "gnu org licenses old licenses gpl 2 0"),
-    ("gpl-3.0", "gpl", r"(?:gnu )?gpl(?: version| v)? ?3(?: 0)?", "gnu org licenses gpl 3 0"),
-    ("gpl-3.0", "general", r"(?:gnu )?general public(?: license)?(?: version| v)? 3(?: 0)?", "gnu org licenses gpl"),
-    ("isc", "isc", r"isc", "opensource org licenses isc"),
-    ("lgpl-2.1", "lesser", r"(?:gnu )?lesser general public(?: license)?(?: version| v)? 2 1", "gnu org licenses lgpl 2 1"),
-    ("lgpl-3.0", "lesser", r"(?:gnu )?lesser general public(?: license)?(?: version| v)?(?: 3(?: 0)?)?", "gnu org licenses lgpl"),
-    ("lppl-1.3c", "latex", r"latex project public(?: license)?(?: version| v)?(?: 1 3c?)?", "latex project org lppl"),
-    ("mit", "mit", r"(?:mit|expat|x11)", "opensource org licenses mit"),
-    ("mit-0", "mit", r"(?:mit 0|mit no attribution)", "opensource org licenses mit 0"),
-    ("mpl-1.1", "mozilla", r"mozilla public(?: license)?(?: version| v)? 1 1", "mozilla org mpl 1 1"),
-    ("mpl-2.0", "mozilla", r"mozilla public(?: license)?(?: version| v)?(?: 2 0)?", "mozilla org mpl 2 0"),
-    ("ms-pl", "microsoft", r"microsoft public", "opensource org licenses ms pl"),
-    ("ms-rl", "microsoft", r"microsoft reciprocal", "opensource org licenses ms rl"),
-    ("ncsa", "ncsa", r"(?:university of illinois )?ncsa(?: open source)?", "opensource org licenses ncsa"),
-    ("odbl-1.0", "database", r"open (?:data commons open )?database(?: license)?(?: 1 0)?", "opendatacommons org licenses odbl"),
-    ("ofl-1.1", "font", r"(?:sil )?open font(?: license)?(?: version| v)?(?: 1 1)?", "scripts sil org ofl"),
-    ("openssl", "openssl", r"openssl", "openssl org source license"),
-    ("osl-3.0", "open", r"open software(?: license)?(?: version| v)?(?: 3 0)?", "opensource org licenses osl 3 0"),
-    ("php-3.01", "php", r"php(?: license)?(?: version| v)?(?: 3 01?)?", "php net license"),
-    ("postgresql", "postgresql", r"postgresql", "opensource org licenses postgresql"),
-    ("psf-2.0", "python", r"python software foundation(?: license)?(?: version| v)?(?: 2)?", "docs python org license"),
-    ("ruby", "ruby", r"ruby", "ruby lang org about license"),
-    ("sspl-1.0", "server", r"server side public(?: license)?(?: version| v)?(?: 1)?", "mongodb com licensing server side public license"),
+    ("cpl-1.0", "common public", r"common public(?: license)?(?: version| v)?(?: 1 0)?", "opensource org licenses cpl"),
+    ("ecl-2.0", "educational community", r"educational community(?: license)?(?: version| v)?(?: 2 0)?", "opensource org licenses ecl"),
+    ("elastic-2.0", "elastic license", r"elastic license(?: version| v)?(?: 2 0)?", "elastic co licensing"),
+    ("epl-1.0", "eclipse public", r"eclipse public(?: license)?(?: version| v)? 1 0", "eclipse org legal epl v10"),
+    ("epl-2.0", "eclipse public", r"eclipse public(?: license)?(?: version| v)?(?: 2 0)?", "eclipse org legal epl 2 0"),
+    ("eupl-1.2", "european union public", r"european union public(?: licen[cs]e)?(?: version| v)?(?: 1 2)?", "joinup ec europa eu"),
+    ("gfdl-1.3", "free documentation", r"(?:gnu )?free documentation(?: license)?(?: version| v)?(?: 1 3)?", "gnu org licenses fdl"),
+    ("gpl-2.0", " gpl", r"(?:gnu )?gpl(?: version| v)? ?2(?: 0)?", "gnu org licenses gpl 2 0"),
+    ("gpl-2.0", "general public", r"(?:gnu )?general public(?: license)?(?: version| v)? 2(?: 0)?", "gnu org licenses old licenses gpl 2 0"),
+    ("gpl-3.0", " gpl", r"(?:gnu )?gpl(?: version| v)? ?3(?: 0)?", "gnu org licenses gpl 3 0"),
+    ("gpl-3.0", "general public", r"(?:gnu )?general public(?: license)?(?: version| v)? 3(?: 0)?", "gnu org licenses gpl"),
+    ("isc", " isc ", r"isc", "opensource org licenses isc"),
+    ("lgpl-2.1", "lesser general public", r"(?:gnu )?lesser general public(?: license)?(?: version| v)? 2 1", "gnu org licenses lgpl 2 1"),
+    ("lgpl-3.0", "lesser general public", r"(?:gnu )?lesser general public(?: license)?(?: version| v)?(?: 3(?: 0)?)?", "gnu org licenses lgpl"),
+    ("lppl-1.3c", "latex project public", r"latex project public(?: license)?(?: version| v)?(?: 1 3c?)?", "latex project org lppl"),
+    ("mit", " mit | expat | x11 ", r"(?:mit|expat|x11)", "opensource org licenses mit"),
+    ("mit-0", " mit ", r"(?:mit 0|mit no attribution)", "opensource org licenses mit 0"),
+    ("mpl-1.1", "mozilla public", r"mozilla public(?: license)?(?: version| v)? 1 1", "mozilla org mpl 1 1"),
+    ("mpl-2.0", "mozilla public", r"mozilla public(?: license)?(?: version| v)?(?: 2 0)?", "mozilla org mpl 2 0"),
+    ("ms-pl", "microsoft public", r"microsoft public", "opensource org licenses ms pl"),
+    ("ms-rl", "microsoft reciprocal", r"microsoft reciprocal", "opensource org licenses ms rl"),
+    ("ncsa", " ncsa ", r"(?:university of illinois )?ncsa(?: open source)?", "opensource org licenses ncsa"),
+    ("odbl-1.0", " database ", r"open (?:data commons open )?database(?: license)?(?: 1 0)?", "opendatacommons org licenses odbl"),
+    ("ofl-1.1", "open font", r"(?:sil )?open font(?: license)?(?: version| v)?(?: 1 1)?", "scripts sil org ofl"),
+    ("openssl", " openssl ", r"openssl", "openssl org source license"),
+    ("osl-3.0", "open software", r"open software(?: license)?(?: version| v)?(?: 3 0)?", "opensource org licenses osl 3 0"),
+    ("php-3.01", " php ", r"php(?: license)?(?: version| v)?(?: 3 01?)?", "php net license"),
+    ("postgresql", " postgresql ", r"postgresql", "opensource org licenses postgresql"),
+    ("psf-2.0", "python software foundation", r"python software foundation(?: license)?(?: version| v)?(?: 2)?", "docs python org license"),
+    ("ruby", " ruby ", r"ruby", "ruby lang org about license"),
+    ("sspl-1.0", "server side public", r"server side public(?: license)?(?: version| v)?(?: 1)?", "mongodb com licensing server side public license"),
     ("unlicense", "unlicense", r"(?:the )?unlicense", "unlicense org"),
-    ("upl-1.0", "universal", r"universal permissive(?: license)?(?: version| v)?(?: 1 0)?", "opensource org licenses upl"),
-    ("wtfpl", "wtfpl", r"(?:wtfpl|do what the fuck you want to public)", "wtfpl net"),
-    ("x-proprietary", "rights", r"all rights reserved", ""),
-    ("x-public-domain", "domain", r"(?:in|into|to) the public domain", ""),
-    ("zlib", "zlib", r"zlib(?: libpng)?", "zlib net zlib license"),
-    ("zpl-2.1", "zope", r"zope public(?: license)?(?: version| v)?(?: 2 1)?", "opensource org licenses zpl"),
+    ("upl-1.0", "universal permissive", r"universal permissive(?: license)?(?: version| v)?(?: 1 0)?", "opensource org licenses upl"),
+    ("wtfpl", " wtfpl |do what the fuck you want to public", r"(?:wtfpl|do what the fuck you want to public)", "wtfpl net"),
+    ("x-proprietary", "all rights reserved", r"all rights reserved", ""),
+    ("x-public-domain", "the public domain", r"(?:in|into|to) the public domain", ""),
+    ("zlib", " zlib ", r"zlib(?: libpng)?", "zlib net zlib license"),
+    ("zpl-2.1", "zope public", r"zope public(?: license)?(?: version| v)?(?: 2 1)?", "opensource org licenses zpl"),
 )
 #: The most words that a rule's match can have.
 LONGEST = 24
@@ -92,18 +93,18 @@ _GRANT = r"(?:licensed|released|distributed|published|available|provided|covered
 _MARK = "\x01"
 
 
-def rules() -> list[tuple[int, str, int, float, str, str]]:
-    """(number, label, priority, weight, keyword, pattern), in order: base phrases, then for each licence its forms."""
-    found = [(label, 0, 0.5, words.split()[0], words) for words, label in BASE]
-    for label, keyword, name, address in LICENCES:
-        spdx = label.replace("-", " ").replace(".", " ")
-        found.append((label, 1, 1.0, "spdx", f"spdx license identifier {spdx}(?: only| or later)?"))
-        found.append((label, 2, 0.95, keyword, f"{_GRANT}{name}(?: license)?"))
+def rules() -> list[tuple[int, str, int, float, tuple[str, ...], str]]:
+    """(number, label, priority, weight, keywords, pattern), in order: base phrases, then for each licence its forms."""
+    found = [(label, 0, 0.5, (f" {words} ",), words) for words, label in BASE]
+    for label, words, name, address in LICENCES:
+        spdx, keywords = label.replace("-", " ").replace(".", " "), tuple(words.split("|"))
+        found.append((label, 1, 1.0, (f" spdx license identifier {spdx} ",), f"spdx license identifier {spdx}(?: only| or later)?"))
+        found.append((label, 2, 0.95, keywords, f"{_GRANT}{name}(?: license)?"))
         if address:
-            found.append((label, 2, 0.9, address.split()[0], f"(?:https? )?(?:www )?{address}"))
+            found.append((label, 2, 0.9, (f" {address} ",), f"(?:https? )?(?:www )?{address}"))
         own = label.startswith("x-")
-        found.append((label, 4 if own else 3, 0.3 if own else 0.8, keyword, name if own else f"(?:the )?{name} licen[cs]e" if "licen" not in name else f"{name}(?: license)?"))
-    return [(i, label, priority, weight, keyword, f"(?<= )(?:{p})(?= )") for i, (label, priority, weight, keyword, p) in enumerate(found)]
+        found.append((label, 4 if own else 3, 0.3 if own else 0.8, keywords, name if own else f"(?:the )?{name} licen[cs]e" if "licen" not in name else f"{name}(?: license)?"))
+    return [(i, label, priority, weight, keywords, f"(?<= )(?:{p})(?= )") for i, (label, priority, weight, keywords, p) in enumerate(found)]
 
 
 def as_words(text: Column) -> Column:
@@ -132,10 +133,10 @@ def _places(text: Column, pattern: Column) -> Column:
 def detections(words: Column) -> Column:
     """All detections of all rules in a text of as_words, in order of start, longest and strongest first."""
     made = [
-        F.struct(F.lit(n).alias("rule"), F.lit(label).alias("label"), F.lit(p).alias("priority"), F.lit(w).alias("weight"), F.lit(k).alias("keyword"), F.lit(x).alias("pattern"))
+        F.struct(F.lit(n).alias("rule"), F.lit(label).alias("label"), F.lit(p).alias("priority"), F.lit(w).alias("weight"), F.array(*map(F.lit, k)).alias("keywords"), F.lit(x).alias("pattern"))
         for n, label, p, w, k, x in rules()
     ]
-    able = F.filter(F.array(*made), lambda r: F.contains(words, r["keyword"]))
+    able = F.filter(F.array(*made), lambda r: F.exists(r["keywords"], lambda k: F.contains(words, k)))
     found = F.transform(able, lambda r: F.transform(_places(words, r["pattern"]), lambda d: F.struct(
         d["start"].alias("start"), (-d["end"]).alias("back"), r["priority"].alias("priority"), r["rule"].alias("rule"),
         d["end"].alias("end"), r["label"].alias("label"), r["weight"].alias("weight"),

@@ -1,3 +1,7 @@
+import itertools
+import re
+from re import _constants, _parser
+
 from pyspark.sql import functions as F
 
 from millrace.llm import license_scan
@@ -45,3 +49,45 @@ def test_containment_keeps_no_contained_detection(spark):
 def test_odd_rows(odd_docs, no_docs):
     assert license_scan.summary(license_scan.scan(odd_docs)).count() == odd_docs.count()
     assert license_scan.summary(license_scan.scan(no_docs)).count() == 0
+
+
+def alternatives(parsed):
+    """All strings that a pattern without open ends can match."""
+    parts = []
+    for op, arg in parsed:
+        if op is _constants.LITERAL:
+            parts.append([chr(arg)])
+        elif op is _constants.IN:
+            parts.append([c for o, a in arg for c in (map(chr, range(a[0], a[1] + 1)) if o is _constants.RANGE else [chr(a)])])
+        elif op is _constants.SUBPATTERN:
+            parts.append(alternatives(arg[-1]))
+        elif op is _constants.BRANCH:
+            parts.append([s for branch in arg[1] for s in alternatives(branch)])
+        elif op is _constants.MAX_REPEAT:
+            assert arg[1] == 1
+            parts.append([*([""] if arg[0] == 0 else []), *alternatives(arg[2])])
+        else:
+            assert op is _constants.ASSERT
+            parts.append([""])
+    return ["".join(p) for p in itertools.product(*parts)]
+
+
+def test_every_alternative_of_every_rule_holds_a_keyword():
+    for _, label, _, _, keywords, pattern in license_scan.rules():
+        for s in alternatives(_parser.parse(pattern.replace(license_scan._GRANT, "licensed under "))):
+            assert re.search(pattern, f" {s} ") and any(k in f" {s} " for k in keywords), (label, s)
+
+
+def test_every_alternative_alone_is_detected(spark):
+    names = [(label, s) for label, _, name, _ in license_scan.LICENCES for s in alternatives(_parser.parse(name))]
+    one = {}  # of each licence and first words, the shortest
+    for label, s in sorted(names, key=lambda x: len(x[1])):
+        one.setdefault((label, tuple(s.split()[:2])), s)
+    texts = [f"Released under the {s} license" for s in one.values()]
+    got = scanned(spark, texts)
+    for i, (label, _) in enumerate(one):
+        assert got[i]["labels"], texts[i]
+    told = ["Licensed under the Creative Commons Attribution 4.0 license.", "Released under the Expat license", "the X11 license", "Creative Commons Zero license", "zero-clause BSD license", "Do What The Fuck You Want To Public License"]
+    labels = ["cc-by", "mit", "mit", "cc0-1.0", "0bsd", "wtfpl"]
+    got = scanned(spark, told)
+    assert [got[i]["labels"] for i in range(len(told))] == labels
