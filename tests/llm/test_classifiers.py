@@ -43,6 +43,15 @@ def test_toxicity_on_held_out_documents(spark, prose):
     assert len({r["s"] for r in got if r["doc_id"] in (9998, 9999)}) == 1
 
 
+def test_only_near_copies_count_once():
+    r = random.Random(5)
+    common, words = [b"c%d" % i for i in range(30)], [b"w%d" % i for i in range(4_000)]
+    docs = [common[: r.randrange(10, 31)] + r.sample(words, 90) for _ in range(600)]
+    copies = [[*ws[:-4], b"x%d" % i] for i, ws in enumerate(docs[:50])]
+    assert toxicity.without_copies(docs + copies + docs[50:60]) == docs
+    assert toxicity.without_copies([[], [b"a"], []]) in ([[b"a"]], [[], [b"a"]])
+
+
 def test_toxicity_without_labels(spark, prose):
     docs, labels, _ = labelled(spark, prose, insult, 6)
     for some, want in ((labels.where("false"), 0.0), (labels.where("y = 1"), 1.0)):
