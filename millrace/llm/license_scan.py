@@ -87,6 +87,25 @@ LICENCES = (
     ("zlib", " zlib ", r"zlib(?: libpng)?", "zlib net zlib license"),
     ("zpl-2.1", "zope public", r"zope public(?: license)?(?: version| v)?(?: 2 1)?", "opensource org licenses zpl"),
 )
+# Usual abbreviations and bare names as (label, keyword, words).
+SHORT = (
+    ("agpl-3.0", " agpl", r"(?:gnu )?agpl(?: version| ?v)? ?3(?: 0)?"),
+    ("bsd", " bsd ", r"bsd(?: style)? licen[cs]e"),
+    ("epl-1.0", " epl", r"epl(?: version| ?v)? ?1 0"),
+    ("epl-2.0", " epl", r"epl(?: version| ?v)? ?2(?: 0)?"),
+    ("gpl", " gpl ", r"(?:gnu )?gpl licen[cs]e"),
+    ("lgpl-2.1", " lgpl", r"(?:gnu )?lgpl(?: version| ?v)? ?2 1"),
+    ("lgpl-3.0", " lgpl", r"(?:gnu )?lgpl(?: version| ?v)? ?3(?: 0)?"),
+    ("mpl-1.1", " mpl", r"mpl(?: version| ?v)? ?1 1"),
+    ("mpl-2.0", " mpl", r"mpl(?: version| ?v)? ?2(?: 0)?"),
+)
+# Wording that only one licence, or family, has, as (label, words).
+WORDING = (
+    ("apache-2.0", "you may not use this file except in compliance with the license"),
+    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted"),
+    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee"),
+    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software"),
+)
 #: The most words that a rule's match can have.
 LONGEST = 24
 _GRANT = r"(?:licensed|released|distributed|published|available|provided|covered|governed) (?:under|by) (?:the )?(?:terms of )?(?:the )?"
@@ -104,6 +123,8 @@ def rules() -> list[tuple[int, str, int, float, tuple[str, ...], str]]:
             found.append((label, 2, 0.9, (f" {address} ",), f"(?:https? )?(?:www )?{address}"))
         own = label.startswith("x-")
         found.append((label, 4 if own else 3, 0.3 if own else 0.8, keywords, name if own else f"(?:the )?{name} licen[cs]e" if "licen" not in name else f"{name}(?: license)?"))
+    found += [(label, 3, 0.8, (keyword,), name) for label, keyword, name in SHORT]
+    found += [(label, 2, 0.9, (f" {words} ",), words) for label, words in WORDING]
     return [(i, label, priority, weight, keywords, f"(?<= )(?:{p})(?= )") for i, (label, priority, weight, keywords, p) in enumerate(found)]
 
 

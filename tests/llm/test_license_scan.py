@@ -91,3 +91,15 @@ def test_every_alternative_alone_is_detected(spark):
     labels = ["cc-by", "mit", "mit", "cc0-1.0", "0bsd", "wtfpl"]
     got = scanned(spark, told)
     assert [got[i]["labels"] for i in range(len(told))] == labels
+
+
+def test_wording_and_abbreviations(spark):
+    told = {
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and": "mit",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted": "bsd",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is": "isc",
+        "you may not use this file except in compliance with the License.": "apache-2.0",
+        "LGPL v2.1": "lgpl-2.1", "AGPLv3": "agpl-3.0", "the MPL 2.0": "mpl-2.0", "EPL 2.0": "epl-2.0", "a BSD license": "bsd", "GPL license": "gpl", "3-clause BSD license": "bsd-3-clause",
+    }
+    got = scanned(spark, list(told))
+    assert [got[i]["labels"] for i in range(len(told))] == list(told.values())
