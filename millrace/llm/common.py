@@ -6,6 +6,7 @@ import gc
 import os
 import tempfile
 import uuid
+import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,25 +39,47 @@ def small_batches(spark: SparkSession, rows: int = 512) -> None:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors share; where the session names none, as in tests, one of our own."""
+    """The folder that all executors share, as spark.checkpoint.dir names it; only a session in one process may go without."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    return named or os.path.join(tempfile.gettempdir(), "millrace-checkpoints")
+    if named:
+        return named
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    return os.path.join(tempfile.gettempdir(), "millrace-checkpoints")
 
 
-def stored(df: DataFrame) -> DataFrame:
+_PATHS: dict[int, str] = {}
+
+
+def stored(df: DataFrame, *spent: DataFrame) -> DataFrame:
     """Written as a table to the shared folder and read again: evaluated once, and safe from lost executors.
 
-    What was shuffled for the table is of no more use; the engine removes shuffle files when the driver collects its garbage,
-    which is asked for here so that the disk holds one step's files at a time.
+    ``spent`` are earlier tables that nothing reads any more: they are deleted. What was shuffled for the table is of no more
+    use either; the engine removes shuffle files when the driver collects its garbage, which is asked for here so that the
+    disk holds one step's files at a time.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/millrace-{uuid.uuid4().hex}"
     df.write.parquet(path)
     schema = df.schema
     del df
+    for each in spent:
+        dropped(each)
     gc.collect()
     spark.sparkContext._jvm.System.gc()
-    return spark.read.schema(schema).parquet(path)
+    table = spark.read.schema(schema).parquet(path)
+    _PATHS[id(table)] = path
+    weakref.finalize(table, _PATHS.pop, id(table), None)
+    return table
+
+
+def dropped(table: DataFrame) -> None:
+    """Deletes the files of a table that ``stored`` made."""
+    path = _PATHS.pop(id(table), None)
+    if path:
+        at = table.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(table.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -70,3 +93,10 @@ def cut(df: DataFrame) -> DataFrame:
 def bucket_of(column: str, divisor: int):
     """crc32 of the id as text, modulo the divisor; a null id counts as the text ''."""
     return F.pmod(F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")), F.lit(divisor))
+
+
+def free_names(df: DataFrame, n: int) -> list[str]:
+    """Names for n columns that the table, whatever its columns, doesn't have yet."""
+    taken = {c.lower() for c in df.columns}
+    names = (f"__{k}" for k in range(n + len(taken)))
+    return [x for x in names if x not in taken][:n]

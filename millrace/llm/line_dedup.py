@@ -1,19 +1,28 @@
 """Line dedup by an exact set-similarity join; built-in functions only.
 
 A line is the set of its tokens (lower-cased, split at white space). Lines of equal
-sets form a class. Tokens are ordered by rarity: counts of token hashes in CELLS
-cells, which bound every token's own count from above, give each token a level, and
-the hash breaks ties. Two sets of similarity t or more share a token among the
-rarest n - ceil(t n) + 1 of each (prefix filter), have sizes within a factor t
-(length filter), can still reach the overlap they need from the first token they
-share on (positional filter), and differ in few bits of a parity bitmap of their
-tokens, which carries over the size of their difference. What passes is verified
-on the whole sets.
+lower-cased text form a class. Tokens are ordered by rarity: counts of token hashes
+in CELLS cells, which bound every token's own count from above, give each token a
+level, and the hash breaks ties. Two sets of similarity t or more share a token
+among the rarest n - ceil(t n) + 1 of each (prefix filter), have sizes within a
+factor t (length filter), can still reach the overlap they need from the first token
+they share on (positional filter), and differ in few bits of a parity bitmap of their
+tokens, which carries over the size of their difference.
 
 Lines follow each other by document id (null first) and place. A line is removed if
-a line before it is similar, be that one removed itself or not. The tokens of a
-class are read again from its first line, so nothing as large as the text is
-shuffled but the text itself.
+a line before it is similar, be that one removed itself or not; so of each class only
+one earlier similar class need be found. The join of prefix tokens is added up, in
+its tasks, to the candidate of each class that differs in the fewest bits, which is
+verified on the tokens themselves; only classes for which it fails are joined with
+all their candidates. No list of all pairs is made.
+
+Texts of the classes that take part are read again: a bit map of fixed size tells most
+other lines beforehand (as it fills up, more is shuffled, and results stay the
+same), so nothing as large as the text is shuffled.
+
+Classes are named by 128 bits of their text, so two texts fall together with a
+probability below 1e-16 even among 1e11 lines. Prefix tokens are 40-bit hashes: equal
+hashes of different tokens only add candidates, and candidates are verified.
 
 Defined results: a null text counts as empty; lines without tokens stay; rows that
 share an id count as one document, whose equal lines in the same place are not
@@ -27,11 +36,15 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import stored
+from millrace.llm.common import free_names, stored
 
 THRESHOLD = 0.8
-CELLS = 1 << 18
-_HASH_BITS = 57
+CELLS = 1 << 20
+#: Bits of the map of the classes whose text is read again.
+BITS = 1 << 23
+#: Classes with at least this share of all lines are looked up by a broadcast of at most 1 / HOT rows.
+HOT = 1e-4
+_HASH_BITS, _KEY_BITS, _ID_BITS = 57, 40, 56
 _LEVELS = 60
 _OTHER_SPACE = "\t\r\x0b\f"
 
@@ -39,31 +52,38 @@ _OTHER_SPACE = "\t\r\x0b\f"
 def _plain(text: Column) -> Column:
     """Lower-cased, its white space spaces and line feeds only, so that splitting needs no pattern."""
     low = F.lower(F.coalesce(text, F.lit("")))
-    return F.when(low.rlike("[\t\r\x0b\f]"), F.translate(low, _OTHER_SPACE, " " * len(_OTHER_SPACE))).otherwise(low)
+    for c in _OTHER_SPACE:
+        low = F.replace(low, F.lit(c), F.lit(" "))
+    return low
+
+
+def _shiftleft(x: Column, by: Column) -> Column:
+    return F.call_function("shiftleft", x, by)
 
 
 def levels(docs: DataFrame, text: str, cells: int) -> bytes:
     """For each cell of token hashes the level of its count, a byte each: 0 for one token or none, two more for each doubling."""
-    found = bytearray(cells)
     token = F.explode(F.split(F.replace(_plain(F.col(text)), F.lit("\n"), F.lit(" ")), " ")).alias("token")
     counted = docs.select(token).where("token <> ''").groupBy(F.pmod(F.xxhash64("token"), F.lit(cells)).cast("int").alias("cell")).count()
-    for cell, count in counted.toLocalIterator():  # at most ``cells`` rows, a partition at a time
-        found[cell] = min(int(2 * math.log2(count)), _LEVELS)
-    return bytes(found)
+    level = F.least(F.floor(2 * F.log2("count")), F.lit(_LEVELS)).cast("long")
+    # Eight cells to a row: the driver gets at most cells / 8 numbers, a partition at a time.
+    packed = counted.groupBy((F.col("cell") / 8).cast("int").alias("at")).agg(F.sum(_shiftleft(level, F.col("cell").bitwiseAND(F.lit(7)) * 8)).alias("bytes"))
+    found = bytearray(-(-cells // 8) * 8)
+    for at, eight in packed.toLocalIterator():
+        found[at * 8 : at * 8 + 8] = eight.to_bytes(8, "little")
+    return bytes(found[:cells])
+
+
+def _byte_at(known: bytes, place: Column) -> Column:
+    return F.ascii(F.substring(F.lit(known), place.cast("int") + 1, F.lit(1)).cast("string"))
 
 
 def _keys(line: Column, known: bytes) -> Column:
     """The line's distinct tokens as numbers, rarest first: level, then hash."""
-    level = lambda h: F.ascii(F.substring(F.lit(known), F.pmod(h, F.lit(len(known))).cast("int") + 1, F.lit(1)).cast("string"))
+    level = lambda h: _byte_at(known, F.pmod(h, F.lit(len(known))))
     one = lambda h: F.shiftleft(level(h).cast("long"), _HASH_BITS).bitwiseOR(h.bitwiseAND(F.lit((1 << _HASH_BITS) - 1)))
     hashed = F.transform(F.split(line, " "), lambda t: F.xxhash64(t))
-    return F.sort_array(F.array_distinct(F.transform(F.array_remove(hashed, F.xxhash64(F.lit(""))), one)))
-
-
-def _described(rows: DataFrame, lines: Column, known: bytes) -> DataFrame:
-    """id, line, keys of the lines with tokens in ``lines``, an array of (line, s): inlined, so that each line is evaluated once."""
-    described = F.transform(lines, lambda x: F.struct(x["line"].alias("line"), _keys(x["s"], known).alias("keys")))
-    return rows.select("id", F.inline(described)).where(F.size("keys") > 0)
+    return F.sort_array(F.transform(F.array_distinct(F.array_remove(hashed, F.xxhash64(F.lit("")))), one))
 
 
 def _needed(a: Column, b: Column, threshold: float) -> Column:
@@ -72,66 +92,106 @@ def _needed(a: Column, b: Column, threshold: float) -> Column:
 
 
 def _parity() -> Column:
-    bit = lambda k: F.call_function("shiftleft", F.lit(1).cast("long"), k.bitwiseAND(F.lit(63)).cast("int"))
-    return F.aggregate("keys", F.lit(0).cast("long"), lambda a, k: a.bitwiseXOR(bit(k)))
+    return F.aggregate("keys", F.lit(0).cast("long"), lambda a, k: a.bitwiseXOR(_shiftleft(F.lit(1).cast("long"), k.bitwiseAND(F.lit(63)).cast("int"))))
 
 
-def similar(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", threshold: float = THRESHOLD, cells: int = CELLS) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """All lines with tokens (id, line, u, m); classes (sid, u, m, first, times); verified pairs of classes (sid, sid2)."""
-    known = levels(docs, text, cells)
+def _named(s: Column) -> list[Column]:
+    return [F.xxhash64(s).alias("u"), F.xxhash64(F.lit(7), s).alias("u2")]
+
+
+def lines(docs: DataFrame, text: str, doc_id: str, threshold: float, known: bytes) -> DataFrame:
+    """id, line, u, u2 (the class), m (parity bitmap), n (tokens), prefix of all lines with tokens."""
+    each = F.transform(F.split(_plain(F.col(text)), "\n"), lambda s, i: F.struct(i.alias("line"), *_named(s), _keys(s, known).alias("keys")))
+    rows = docs.select(F.col(doc_id).alias("id"), F.inline(each)).where(F.size("keys") > 0)
     n = F.size("keys")
-    prefix = (n - F.ceil(F.lit(threshold) * n - 1e-9) + 1).cast("int")
-    numbered = F.transform(F.split(_plain(F.col(text)), "\n"), lambda s, i: F.struct(i.alias("line"), s.alias("s")))
-    lines = _described(docs.select(F.col(doc_id).alias("id"), F.col(text).alias(text)), numbered, known)
-    short = F.transform(F.slice("keys", F.lit(1), prefix), lambda k: k.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int"))
-    every = stored(lines.select("id", "line", F.xxhash64("keys").alias("u"), _parity().alias("m"), n.alias("n"), short.alias("prefix")))
-    sets = every.groupBy("u", "m", "n").agg(F.min(F.struct("id", "line")).alias("first"), F.count("*").alias("times"), F.first("prefix").alias("prefix"))
-    sets = stored(sets.withColumn("sid", F.monotonically_increasing_id()))
-    posts = sets.select("sid", "m", "n", F.posexplode("prefix").alias("pos", "k"))
-    a, b = posts.alias("a"), posts.alias("b")
-    col = lambda x: (F.col(f"a.{x}"), F.col(f"b.{x}"))
-    (sa, sb), (ma, mb), (na, nb), (pa, pb) = map(col, ("sid", "m", "n", "pos"))
-    need = _needed(na, nb, threshold)
+    prefix = F.slice("keys", F.lit(1), (n - F.ceil(F.lit(threshold) * n - 1e-9) + 1).cast("int"))
+    short = F.transform(prefix, lambda k: k.bitwiseAND(F.lit((1 << _KEY_BITS) - 1)))
+    return rows.select("id", "line", "u", "u2", _parity().alias("m"), n.alias("n"), short.alias("prefix"))
+
+
+def _posts(sets: DataFrame) -> DataFrame:
+    return sets.select("sid", "m", "n", F.col("first.id").alias("id"), F.col("first.line").alias("line"), F.posexplode("prefix").alias("pos", "k"))
+
+
+def _candidates(later: DataFrame, every: DataFrame, threshold: float) -> DataFrame:
+    """a, b, bits: classes and earlier ones that pass all filters, once for each prefix token that they share."""
+    one = later.select(*[F.col(c).alias(f"a_{c}") for c in later.columns])
+    other = every.select(*[F.col(c).alias(f"b_{c}") for c in every.columns])
+    na, nb = F.col("a_n"), F.col("b_n")
+    need, bits = _needed(na, nb, threshold), F.bit_count(F.col("a_m").bitwiseXOR(F.col("b_m")))
     near = (
-        (F.col("a.k") == F.col("b.k"))
-        & (sa < sb)
+        (F.col("a_k") == F.col("b_k"))
         & (na >= F.lit(threshold) * nb - 1e-9)
         & (nb >= F.lit(threshold) * na - 1e-9)
-        & (F.bit_count(ma.bitwiseXOR(mb)) <= na + nb - 2 * need)
-        & (F.least(na - pa, nb - pb) >= need)
+        & (bits <= na + nb - 2 * need)
+        & (F.least(na - F.col("a_pos"), nb - F.col("b_pos")) >= need)
+        & (F.struct("b_id", "b_line") < F.struct("a_id", "a_line"))
     )
-    pairs = stored(a.join(b, near).select(sa, sb.alias("sid2")).distinct())
-    # The whole sets of candidates, from the first line of each.
-    named = pairs.select("sid").unionByName(pairs.select(F.col("sid2").alias("sid"))).distinct()
-    wanted = F.collect_set(F.struct(F.col("first.line").alias("line"), F.col("sid").alias("sid"), F.col("u").alias("u"), F.col("m").alias("m")))
-    firsts = named.join(sets.select("sid", "u", "m", "first"), "sid").groupBy(F.col("first.id").alias("id")).agg(wanted.alias("wanted"))
-    source = docs.select(F.col(doc_id).alias("own"), F.col(text).alias(text)).join(firsts, F.col("own").eqNullSafe(F.col("id")))
-    told = F.transform(F.array(F.split(_plain(F.col(text)), "\n")), lambda each: F.filter(F.transform("wanted", lambda w: F.struct(w["line"].alias("line"), F.get(each, w["line"]).alias("s"))), lambda x: x["s"].isNotNull()))
-    whole = _described(source, F.element_at(told, 1), known).select("id", "line", "keys", F.xxhash64("keys").alias("u"), _parity().alias("m"))
-    # Another row of the same id may have another text in that place: the names of the set tell.
-    named_sets = firsts.select("id", F.explode("wanted").alias("w")).select(F.col("id").alias("id1"), F.col("w.line").alias("line1"), F.col("w.sid").alias("sid"), F.col("w.u").alias("u1"), F.col("w.m").alias("m1"))
-    same = F.col("id").eqNullSafe(F.col("id1")) & (F.col("line") == F.col("line1")) & (F.col("u") == F.col("u1")) & (F.col("m") == F.col("m1"))
-    whole = stored(whole.join(named_sets, same).groupBy("sid").agg(F.first("keys").alias("keys")))
-    both = pairs.join(whole, "sid").join(whole.select(F.col("sid").alias("sid2"), F.col("keys").alias("keys2")), "sid2")
-    overlap = F.size(F.array_intersect("keys", "keys2"))
-    verified = both.where(overlap >= _needed(F.size("keys"), F.size("keys2"), threshold)).select("sid", "sid2")
-    return every.drop("prefix", "n"), sets.drop("prefix", "n"), verified
+    return one.join(other, near).select(F.col("a_sid").alias("a"), F.col("b_sid").alias("b"), bits.cast("long").alias("bits"))
+
+
+def _texts(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
+    """sid, tokens of the classes in ``wanted`` (sid, u, u2)."""
+    words: dict[int, int] = {}
+    at = F.pmod("u", F.lit(BITS)).cast("int")
+    for place, bits in wanted.groupBy((at / 64).cast("int").alias("place")).agg(F.bit_or(_shiftleft(F.lit(1).cast("long"), at.bitwiseAND(F.lit(63)))).alias("bits")).toLocalIterator():
+        words[place] = bits
+    map_ = b"".join(words.get(i, 0).to_bytes(8, "little", signed=True) for i in range(BITS // 64))
+    cell = F.pmod("u", F.lit(BITS)).cast("int")
+    marked = _byte_at(map_, cell / 8).bitwiseAND(_shiftleft(F.lit(1), cell.bitwiseAND(F.lit(7)))) != 0
+    split = docs.select(F.explode(F.split(_plain(F.col(text)), "\n")).alias("s"))
+    some = split.select("s", *_named(F.col("s"))).where(marked).dropDuplicates(["u", "u2"])
+    return some.join(wanted.select("sid", "u", "u2"), ["u", "u2"]).select("sid", F.array_distinct(F.array_remove(F.split("s", " "), "")).alias("tokens"))
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """a: classes that are similar to their b in any of their pairs."""
+    one = texts.select(F.col("sid").alias("a"), F.col("tokens").alias("a_tokens"))
+    other = texts.select(F.col("sid").alias("b"), F.col("tokens").alias("b_tokens"))
+    overlap = F.size(F.array_intersect("a_tokens", "b_tokens"))
+    return pairs.join(other, "b").join(one, "a").where(overlap >= _needed(F.size("a_tokens"), F.size("b_tokens"), threshold)).select("a").distinct()
+
+
+def similar(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", threshold: float = THRESHOLD, cells: int = CELLS) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """All lines with tokens (id, line, u, u2); classes (sid, u, u2, first, times); sid of the classes that an earlier one is similar to."""
+    every = stored(lines(docs, text, doc_id, threshold, levels(docs, text, cells)))
+    one = lambda c: F.first(c).alias(c)
+    sets = every.groupBy("u", "u2").agg(F.min(F.struct("id", "line")).alias("first"), F.count("*").alias("times"), one("m"), one("n"), one("prefix"))
+    sets = stored(sets.withColumn("sid", F.monotonically_increasing_id()))
+    posts = _posts(sets)
+    met = _candidates(posts, posts, threshold)
+    # The best candidate of each class, and every class that is a candidate of another, in one number each.
+    code = F.shiftleft("bits", _ID_BITS).bitwiseOR(F.col("b"))
+    both = met.select(F.inline(F.array(F.struct(F.col("a").alias("sid"), code.alias("code")), F.struct(F.col("b").alias("sid"), F.lit(None).cast("long").alias("code")))))
+    involved = stored(both.groupBy("sid").agg(F.min("code").alias("code")))
+    part = stored(sets.drop("times").join(involved, "sid"), involved)
+    texts = stored(_texts(docs, text, part))
+    best = part.where("code is not null").select(F.col("sid").alias("a"), F.col("code").bitwiseAND(F.lit((1 << _ID_BITS) - 1)).alias("b"))
+    found = stored(_verified(best, texts, threshold))
+    open_ = part.where("code is not null").join(found, F.col("sid") == F.col("a"), "left_anti")
+    rest = _candidates(_posts(open_), _posts(part), threshold).select("a", "b").distinct()
+    later = stored(found.unionByName(_verified(rest, texts, threshold)).withColumnRenamed("a", "sid"), found, texts, part)
+    return every.select("id", "line", "u", "u2"), sets.select("sid", "u", "u2", "first", "times"), later
 
 
 def removals(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", threshold: float = THRESHOLD, cells: int = CELLS) -> DataFrame:
     """id, removed (places of removed lines, from 0, in order) of the documents that lose lines."""
-    every, sets, pairs = similar(docs, text, doc_id, threshold, cells)
-    first = sets.select("sid", "first")
-    ends = pairs.join(first, "sid").join(first.select(F.col("sid").alias("sid2"), F.col("first").alias("first2")), "sid2")
-    later = ends.select(F.when(F.struct("first2.id", "first2.line") < F.struct("first.id", "first.line"), F.col("sid")).otherwise(F.col("sid2")).alias("sid")).distinct()
-    told = sets.join(later.withColumn("later", F.lit(True)), "sid", "left").where("times > 1 or later").select("u", "m", "first", "later")
-    gone = every.join(told, ["u", "m"]).where(F.col("later") | ~(F.col("id").eqNullSafe(F.col("first.id")) & (F.col("line") == F.col("first.line"))))
+    every, sets, later = similar(docs, text, doc_id, threshold, cells)
+    told = sets.join(later.withColumn("later", F.lit(True)), "sid", "left").where("times > 1 or later").select("u", "u2", "first", "later", "times")
+    total = every.count()
+    hot = told.where(F.col("times") >= F.lit(HOT) * total)  # at most 1 / HOT rows
+    seen = every.join(F.broadcast(hot), ["u", "u2"], "left")
+    rare = every.join(F.broadcast(hot.select("u", "u2")), ["u", "u2"], "left_anti").join(told.where(F.col("times") < F.lit(HOT) * total), ["u", "u2"])
+    of = seen.where("times is not null").unionByName(rare)
+    gone = of.where(F.col("later") | ~(F.col("id").eqNullSafe(F.col("first.id")) & (F.col("line") == F.col("first.line"))))
     return gone.groupBy("id").agg(F.array_sort(F.collect_set("line")).alias("removed"))
 
 
 def dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", threshold: float = THRESHOLD, cells: int = CELLS) -> DataFrame:
     """The documents without removed lines, with all their columns; a text of which no line is removed stays as it is, null included."""
-    gone = removals(docs, text, doc_id, threshold, cells).select(F.col("id").alias("__id"), F.col("removed").alias("__removed"))
-    left = F.array_join(F.filter(F.split(text, "\n"), lambda x, i: ~F.array_contains("__removed", i)), "\n")
-    joined = docs.join(gone, F.col(doc_id).eqNullSafe(F.col("__id")), "left")
-    return joined.select(*[F.when(F.col("__removed").isNull(), F.col(c)).otherwise(left).alias(c) if c == text else F.col(c) for c in docs.columns])
+    gone = removals(docs, text, doc_id, threshold, cells)
+    own, lost = free_names(docs, 2)
+    gone = gone.select(F.col("id").alias(own), F.col("removed").alias(lost))
+    left = F.array_join(F.filter(F.split(text, "\n"), lambda x, i: ~F.array_contains(lost, i)), "\n")
+    joined = docs.join(gone, F.col(doc_id).eqNullSafe(F.col(own)), "left")
+    return joined.select(*[F.when(F.col(lost).isNull(), F.col(c)).otherwise(left).alias(c) if c == text else F.col(c) for c in docs.columns])
