@@ -1,4 +1,5 @@
 import itertools
+import random
 import re
 from re import _constants, _parser
 
@@ -37,7 +38,8 @@ def test_base_places_and_labels(spark):
 def test_containment_keeps_no_contained_detection(spark):
     text = "licensed under the GNU Lesser General Public License version 2.1 or the Mozilla Public License 2.0, https://www.gnu.org/licenses/gpl-3.0 " * 4
     df = spark.createDataFrame([(1, text)], "doc_id long, text string")
-    row = df.select(license_scan.detections(license_scan.as_words(F.col("text"))).alias("d")).select("d", license_scan.kept(F.col("d")).alias("k")).first()
+    words = license_scan.as_words(F.col("text"))
+    row = df.select(license_scan.detections(words, F.split(words, " ")).alias("d")).select("d", license_scan.kept(F.col("d")).alias("k")).first()
 
     def stronger(e, d):
         return e is not d and e["start"] <= d["start"] and e["end"] >= d["end"] and e["priority"] > 0 and (e["priority"], e["back"], e["rule"]) != (d["priority"], d["back"], d["rule"]) and e["priority"] <= d["priority"]
@@ -103,3 +105,38 @@ def test_wording_and_abbreviations(spark):
     }
     got = scanned(spark, list(told))
     assert [got[i]["labels"] for i in range(len(told))] == list(told.values())
+
+
+def brute(text):
+    """Every rule on every text, no keyword asked; a detection stays unless one that comes first contains it, by definition."""
+    ws = re.findall("[0-9a-z\x80-\U0010ffff]+", "".join(c.lower() if c.isascii() else c for c in text or ""))
+    line = f" {' '.join(ws)} "
+    found = []
+    for n, label, priority, weight, _, pattern in license_scan.rules():
+        for m in re.finditer(pattern, line):
+            start = line[: m.start()].count(" ") - 1
+            found.append((start, -(start + m[0].count(" ") + 1), priority, n, label, weight))
+    found.sort()
+    stay = [d for i, d in enumerate(found) if d[2] == 0 or not any(e[1] <= d[1] and 0 < e[2] <= d[2] for e in found[:i])]
+    base = [d for d in stay if d[2] == 0]
+    labels = lambda ds: ",".join(sorted({d[4] for d in ds}))
+    starts = [d[0] for d in base]
+    return len(ws), len(base), min(starts, default=None), max(starts, default=None), labels(base), labels(stay), max((d[5] for d in stay), default=0.0)
+
+
+def test_equals_brute_force(spark, prose):
+    r = random.Random(11)
+    forms = [s for *_, pattern in license_scan.rules() for s in alternatives(_parser.parse(pattern.replace(license_scan._GRANT, "licensed under ")))[:2]]
+    texts = [None, "", " ", prose(1, 5_000) + " MIT License"]
+    for i in range(150):
+        parts = [r.choice([r.choice(forms), r.choice(forms).title(), r.choice(forms).replace(" ", "-"), prose(i, r.randrange(12))]) for _ in range(r.randrange(1, 9))]
+        texts.append(r.choice([" ", ". ", "\n"]).join(parts))
+    got = scanned(spark, texts)
+    for i, t in enumerate(texts):
+        assert tuple(got[i])[1:] == brute(t), t
+    assert sum(bool(got[i]["labels"]) for i in got) > 100
+
+
+def test_plan_is_native(odd_docs):
+    plan = license_scan.summary(license_scan.scan(odd_docs))._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
