@@ -33,13 +33,13 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.common import free_names, stored
 
 THRESHOLD = 0.8
-CELLS = 1 << 20
+CELLS = 1 << 18
 #: Bits of the map of the classes whose text is read again.
 BITS = 1 << 23
 #: Classes with at least this share of all lines are looked up by a broadcast of at most 1 / HOT rows.
@@ -74,13 +74,10 @@ def levels(docs: DataFrame, text: str, cells: int) -> bytes:
     return bytes(found[:cells])
 
 
-def _byte_at(known: bytes, place: Column) -> Column:
-    return F.ascii(F.substring(F.lit(known), place.cast("int") + 1, F.lit(1)).cast("string"))
-
-
 def _keys(line: Column, known: bytes) -> Column:
     """The line's distinct tokens as numbers, rarest first: level, then hash."""
-    level = lambda h: _byte_at(known, F.pmod(h, F.lit(len(known))))
+    table = F.split(F.lit(",".join(map(str, known))), ",").cast("array<int>")  # folded once, to a literal
+    level = lambda h: F.get(table, F.pmod(h, F.lit(len(known))))
     one = lambda h: F.shiftleft(level(h).cast("long"), _HASH_BITS).bitwiseOR(h.bitwiseAND(F.lit((1 << _HASH_BITS) - 1)))
     hashed = F.transform(F.split(line, " "), lambda t: F.xxhash64(t))
     return F.sort_array(F.transform(F.array_distinct(F.array_remove(hashed, F.xxhash64(F.lit("")))), one))
@@ -110,13 +107,12 @@ def lines(docs: DataFrame, text: str, doc_id: str, threshold: float, known: byte
 
 
 def _posts(sets: DataFrame) -> DataFrame:
-    return sets.select("sid", "m", "n", F.col("first.id").alias("id"), F.col("first.line").alias("line"), F.posexplode("prefix").alias("pos", "k"))
+    return sets.select("sid", "m", "n", F.col("first.id").alias("id"), F.col("first.line").alias("line"), F.size("prefix").alias("size"), F.posexplode("prefix").alias("pos", "k"))
 
 
 def _candidates(later: DataFrame, every: DataFrame, threshold: float) -> DataFrame:
     """a, b, bits: classes and earlier ones that pass all filters, once for each prefix token that they share."""
-    one = later.select(*[F.col(c).alias(f"a_{c}") for c in later.columns])
-    other = every.select(*[F.col(c).alias(f"b_{c}") for c in every.columns])
+    one, other = (posts.drop("size").select(*[F.col(c).alias(f"{side}_{c}") for c in posts.drop("size").columns]) for side, posts in (("a", later), ("b", every)))
     na, nb = F.col("a_n"), F.col("b_n")
     need, bits = _needed(na, nb, threshold), F.bit_count(F.col("a_m").bitwiseXOR(F.col("b_m")))
     near = (
@@ -138,9 +134,10 @@ def _texts(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
         words[place] = bits
     map_ = b"".join(words.get(i, 0).to_bytes(8, "little", signed=True) for i in range(BITS // 64))
     cell = F.pmod("u", F.lit(BITS)).cast("int")
-    marked = _byte_at(map_, cell / 8).bitwiseAND(_shiftleft(F.lit(1), cell.bitwiseAND(F.lit(7)))) != 0
+    byte = F.ascii(F.substring(F.lit(map_), (cell / 8).cast("int") + 1, F.lit(1)).cast("string"))
+    marked = byte.bitwiseAND(_shiftleft(F.lit(1), cell.bitwiseAND(F.lit(7)))) != 0
     split = docs.select(F.explode(F.split(_plain(F.col(text)), "\n")).alias("s"))
-    some = split.select("s", *_named(F.col("s"))).where(marked).dropDuplicates(["u", "u2"])
+    some = split.withColumn("u", F.xxhash64("s")).where(marked).select("s").distinct().select("s", *_named(F.col("s")))
     return some.join(wanted.select("sid", "u", "u2"), ["u", "u2"]).select("sid", F.array_distinct(F.array_remove(F.split("s", " "), "")).alias("tokens"))
 
 
@@ -152,25 +149,49 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame
     return pairs.join(other, "b").join(one, "a").where(overlap >= _needed(F.size("a_tokens"), F.size("b_tokens"), threshold)).select("a").distinct()
 
 
+def _neighbours(sets: DataFrame, threshold: float) -> DataFrame:
+    """sid, code: for each class the best of the classes just before it among those that share one of a few of its prefix tokens."""
+    posts = _posts(sets)
+    some = posts.where(F.array_contains(F.transform(F.array(F.lit(1), F.lit(2), F.lit(3)), lambda i: F.floor(F.col("size") * i / 4).cast("int")), F.col("pos")))
+    order = Window.partitionBy("k").orderBy("id", "line")
+    before = F.lag(F.struct("sid", "m", "n", "id", "line")).over(order)
+    pair = some.withColumn("b", before).where("b is not null").where(F.struct("b.id", "b.line") < F.struct("id", "line"))
+    need, bits = _needed(F.col("n"), F.col("b.n"), threshold), F.bit_count(F.col("m").bitwiseXOR(F.col("b.m")))
+    near = pair.where(bits <= F.col("n") + F.col("b.n") - 2 * need)
+    return near.groupBy("sid").agg(F.min(_code(bits.cast("long"), F.col("b.sid"))).alias("code"))
+
+
+def _code(bits: Column, sid: Column) -> Column:
+    """A candidate and in how many bits it differs as one number, so that the least number is the best candidate."""
+    return F.shiftleft(bits, _ID_BITS).bitwiseOR(sid)
+
+
+def _best(found: DataFrame) -> DataFrame:
+    return found.where("code is not null").select(F.col("sid").alias("a"), F.col("code").bitwiseAND(F.lit((1 << _ID_BITS) - 1)).alias("b"))
+
+
 def similar(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", threshold: float = THRESHOLD, cells: int = CELLS) -> tuple[DataFrame, DataFrame, DataFrame]:
     """All lines with tokens (id, line, u, u2); classes (sid, u, u2, first, times); sid of the classes that an earlier one is similar to."""
     every = stored(lines(docs, text, doc_id, threshold, levels(docs, text, cells)))
     one = lambda c: F.first(c).alias(c)
     sets = every.groupBy("u", "u2").agg(F.min(F.struct("id", "line")).alias("first"), F.count("*").alias("times"), one("m"), one("n"), one("prefix"))
     sets = stored(sets.withColumn("sid", F.monotonically_increasing_id()))
-    posts = _posts(sets)
-    met = _candidates(posts, posts, threshold)
+    # Members of large groups mostly find a neighbour; only the others are joined with all candidates.
+    nearby = _best(stored(_neighbours(sets, threshold)))
+    ends = nearby.select(F.col("a").alias("sid")).unionByName(nearby.select(F.col("b").alias("sid"))).distinct()
+    texts = stored(_texts(docs, text, sets.join(ends, "sid")))
+    found = stored(_verified(nearby, texts, threshold), texts)
+    left = sets.join(found, F.col("sid") == F.col("a"), "left_anti")
+    met = _candidates(_posts(left), _posts(sets), threshold)
     # The best candidate of each class, and every class that is a candidate of another, in one number each.
-    code = F.shiftleft("bits", _ID_BITS).bitwiseOR(F.col("b"))
-    both = met.select(F.inline(F.array(F.struct(F.col("a").alias("sid"), code.alias("code")), F.struct(F.col("b").alias("sid"), F.lit(None).cast("long").alias("code")))))
+    both = met.select(F.inline(F.array(F.struct(F.col("a").alias("sid"), _code(F.col("bits"), F.col("b")).alias("code")), F.struct(F.col("b").alias("sid"), F.lit(None).cast("long").alias("code")))))
     involved = stored(both.groupBy("sid").agg(F.min("code").alias("code")))
     part = stored(sets.drop("times").join(involved, "sid"), involved)
     texts = stored(_texts(docs, text, part))
-    best = part.where("code is not null").select(F.col("sid").alias("a"), F.col("code").bitwiseAND(F.lit((1 << _ID_BITS) - 1)).alias("b"))
-    found = stored(_verified(best, texts, threshold))
-    open_ = part.where("code is not null").join(found, F.col("sid") == F.col("a"), "left_anti")
+    more = stored(found.unionByName(_verified(_best(part), texts, threshold)), found)
+    open_ = part.where("code is not null").join(more, F.col("sid") == F.col("a"), "left_anti")
     rest = _candidates(_posts(open_), _posts(part), threshold).select("a", "b").distinct()
-    later = stored(found.unionByName(_verified(rest, texts, threshold)).withColumnRenamed("a", "sid"), found, texts, part)
+    later = stored(more.unionByName(_verified(rest, texts, threshold)).withColumnRenamed("a", "sid"), more, texts, part)
     return every.select("id", "line", "u", "u2"), sets.select("sid", "u", "u2", "first", "times"), later
 
 
