@@ -67,7 +67,8 @@ def ocr_text(items: Column) -> Column:
 
 
 def prepend_to_first(turns: Column, prefix: Column) -> Column:
-    return F.transform(turns, lambda t, i: F.when(i == 0, t.withField("text", F.concat(prefix, t["text"]))).otherwise(t))
+    """The prefix before the first turn's text; null prefixes and texts count as empty."""
+    return F.transform(turns, lambda t, i: F.when(i == 0, t.withField("text", F.concat(F.coalesce(prefix, F.lit("")), F.coalesce(t["text"], F.lit(""))))).otherwise(t))
 
 
 def interleave(turns: Column, tags: Column) -> Column:

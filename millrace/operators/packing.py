@@ -14,8 +14,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import geometry, images, sequences, text
+from millrace.operators import relational
 
 PLACEHOLDER = "<|image_pad|>"
+#: What the record says that every file has, so that no file is without an image.
+DUMMY = "This is the content of dummy image"
 RECORD = (
     "type string, id string, content string, conversations array<struct<role: string, text: string>>, "
     "seq_lens map<string,int>, max_pixels int, is_video boolean"
@@ -34,13 +37,20 @@ def image_map(raw: Column) -> Column:
     return F.transform(F.map_entries(F.from_json(raw, "map<string,string>")), lambda e: F.struct(e["key"].alias("name"), e["value"].alias("content")))
 
 
+def _turns(conversations: str = "conversations") -> Column:
+    return F.transform(conversations, lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text")))
+
+
 def accepted(df: DataFrame, holistic: bool = False) -> DataFrame:
-    """Adds ``reject``: why a row is not packed, or null."""
-    first = F.get("images", F.lit(0))["content"]
-    reason = F.when(F.size(F.coalesce("images", F.array())) > 0, F.when(first.isNull(), "first image is null")) if not holistic else F.lit(None).cast("string")
+    """Adds ``bare`` (a row without images) and ``reject``: why a row is not packed as far as its pixels don't tell, or null."""
+    none = F.size(F.coalesce("images", F.array())) <= 0
+    first = F.get("images", F.lit(0))["content"].isNull()
     if holistic:
-        reason = F.when(F.contains(F.get("conversations", F.lit(1))["text"], F.lit(PLACEHOLDER)), "placeholder in the answer")
-    return df.withColumn("reject", reason)
+        bare = none | first
+        reason = F.when(~bare & F.contains(F.get("conversations", F.lit(1))["text"], F.lit(PLACEHOLDER)), "placeholder in the answer")
+    else:
+        bare, reason = none, F.when(~none & first, "first image is null")
+    return df.withColumn("bare", bare).withColumn("reject", reason)
 
 
 def sampled_images(fps: float, max_frames: int, holistic: bool = False) -> Column:
@@ -50,50 +60,87 @@ def sampled_images(fps: float, max_frames: int, holistic: bool = False) -> Colum
     return F.when(F.col("fps").isNotNull(), sequences.sampled_frames(F.col("images"), F.col("fps"), rate, max_frames)).otherwise(sequences.strided(F.col("images"), max_frames))
 
 
-def pack(df: DataFrame, fps: float = 2, max_frames: int = 64, max_pixels: int = geometry.MAX_PIXELS, interleave: bool = False, resize: bool = True) -> DataFrame:
-    """(id, images, conversations, fps, total_frames) -> records: one conversation, and one image for each sampled image."""
-    kept = accepted(df).where("reject is null").withColumn("conversations", F.transform("conversations", lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text"))))
-    bare = kept.where("images is null or size(images) = 0")
-    plain = bare.select(
-        F.lit("conversation").alias("type"), "id", F.lit(None).cast("string").alias("content"), "conversations",
-        F.lit(None).cast("map<string,int>").alias("seq_lens"), F.lit(None).cast("int").alias("max_pixels"), F.lit(False).alias("is_video"),
-    )
-    pictures = kept.where("size(images) > 0").withColumn("chosen", sampled_images(fps, max_frames)).withColumn("video", F.col("fps").isNotNull())
-    each = pictures.select("id", "conversations", "video", F.posexplode("chosen").alias("i", "image"))
-    each = each.withColumn("content", F.col("image.content")).withColumn("ok", images.intact("content")).withColumn("size", images.dimensions("content"))
+def sampled_rows(df: DataFrame, fps: float, max_frames: int, max_pixels: int, resize: bool, holistic: bool = False) -> DataFrame:
+    """(row, id, file, conversations, video, bare, reject, chosen) of every raw row; chosen: (i, name, n, content), in order.
+
+    Each raw row stays a row, whatever its id and conversation; images are spread over tasks and put together again by row.
+    """
+    rows = accepted(df, holistic).withColumn("row", F.monotonically_increasing_id()).withColumn("conversations", _turns()).withColumn("video", F.col("fps").isNotNull())
+    rows = rows.withColumn("file", F.col("file") if "file" in df.columns else F.lit(None).cast("string"))
+    use = F.col("reject").isNull() & ~F.col("bare")
+    each = rows.select("row", "id", "file", "conversations", "video", "bare", "reject", F.posexplode_outer(F.when(use, sampled_images(fps, max_frames, holistic))).alias("i", "image"))
+    each = each.withColumn("content", F.col("image.content")).withColumn("ok", F.col("i").isNull() | images.intact("content")).withColumn("size", images.dimensions("content"))
     each = each.withColumn("to", geometry.smart_size(F.col("size.w"), F.col("size.h"), max_pixels))
     if resize:
-        each = each.withColumn("content", F.when(F.col("ok"), images.resized("content", F.coalesce("to.w", F.lit(1)), F.coalesce("to.h", F.lit(1)))))
-    each = each.withColumn("name", text.unique_name(F.col("image.name"), F.col("image.content")))
-    rows = each.groupBy("id", "conversations", "video").agg(
-        F.min("ok").alias("ok"), F.array_sort(F.collect_list(F.struct("i", "name", geometry.image_tokens(F.col("to.w"), F.col("to.h")).alias("n"), "content"))).alias("chosen")
+        each = each.withColumn("content", F.when(F.col("ok") & F.col("i").isNotNull(), images.resized("content", F.coalesce("to.w", F.lit(1)), F.coalesce("to.h", F.lit(1)))))
+    shown = F.when(F.col("i").isNotNull(), F.struct("i", text.unique_name(F.col("image.name"), F.col("image.content")).alias("name"), geometry.image_tokens(F.col("to.w"), F.col("to.h")).alias("n"), "content"))
+    one = lambda c: F.first(c).alias(c)
+    whole = each.withColumn("shown", shown).groupBy("row").agg(
+        one("id"), one("file"), one("conversations"), one("video"), one("bare"), one("reject"), F.bool_and("ok").alias("ok"), F.array_sort(F.collect_list("shown")).alias("chosen")
     )
-    rows = rows.where("ok").withColumn("tags", F.transform("chosen", lambda x: text.image_tags(F.array(x["name"]))))
-    told = sequences.interleave(F.col("conversations"), F.col("tags")) if interleave else sequences.prepend_to_first(F.col("conversations"), F.array_join("tags", ""))
-    lens = F.map_from_entries(F.array_distinct(F.transform("chosen", lambda x: F.struct(x["name"], x["n"]))))
-    talk = rows.select(F.lit("conversation").alias("type"), "id", F.lit(None).cast("string").alias("content"), told.alias("conversations"), lens.alias("seq_lens"), F.lit(None).cast("int").alias("max_pixels"), F.col("video").alias("is_video"))
+    return whole.withColumn("reject", F.coalesce("reject", F.when(~F.col("ok"), "image does not decode"))).drop("ok")
+
+
+def _records(rows: DataFrame, told: Column, lens: Column, max_pixels: Column, video: Column, by_file: bool) -> DataFrame:
+    """A conversation for each row, an image for each name (in each file, with ``by_file``); bare rows are their conversation alone."""
+    kept = rows.where("reject is null")
+    unless = lambda x: F.when(~F.col("bare"), x)
+    talk = kept.select(
+        F.lit("conversation").alias("type"), "id", F.lit(None).cast("string").alias("content"), F.when(F.col("bare"), F.col("conversations")).otherwise(told).alias("conversations"),
+        unless(lens).cast("map<string,int>").alias("seq_lens"), unless(max_pixels).cast("int").alias("max_pixels"), F.coalesce(unless(video), F.lit(False)).alias("is_video"), "file", "row", F.lit(-1).alias("i"),
+    )
     none = F.lit(None)
-    shown = rows.select(F.explode("chosen").alias("x")).select(
+    shown = kept.select("file", "row", F.explode("chosen").alias("x")).select(
         F.lit("image").alias("type"), F.col("x.name").alias("id"), F.col("x.content").alias("content"), none.cast("array<struct<role: string, text: string>>").alias("conversations"),
-        none.cast("map<string,int>").alias("seq_lens"), none.cast("int").alias("max_pixels"), none.cast("boolean").alias("is_video"),
+        none.cast("map<string,int>").alias("seq_lens"), none.cast("int").alias("max_pixels"), none.cast("boolean").alias("is_video"), "file", "row", F.col("x.i").alias("i"),
     )
-    return plain.unionByName(talk).unionByName(shown.dropDuplicates(["id"]))
+    shown = relational.first_of_each(shown, ["file", "id"] if by_file else "id", ["row", "i"], F.lit(False))
+    both = talk.unionByName(shown)
+    return both if by_file else both.drop("file", "row", "i")
+
 
+def pack(
+    df: DataFrame, fps: float = 2, max_frames: int = 64, max_pixels: int = geometry.MAX_PIXELS, interleave: bool = False, resize: bool = True, by_file: bool = False
+) -> DataFrame:
+    """(id, images, conversations, fps, total_frames) -> records: one conversation for each row, and one image for each sampled image.
 
-def pack_holistic(df: DataFrame, tokens: Callable[[Column], Column], fps: float = 2, max_frames: int = 64, max_pixels: int = geometry.MAX_PIXELS) -> DataFrame:
-    """One conversation record for each row, images at their own size; ``tokens`` counts an image's tokens from its size."""
-    kept = accepted(df, holistic=True).where("reject is null").withColumn("chosen", sampled_images(fps, max_frames, holistic=True))
+    A row without images is its conversation alone; a clip of which no frame is sampled keeps its conversation, with empty seq_lens.
+    """
+    rows = sampled_rows(df, fps, max_frames, max_pixels, resize)
+    tags = F.transform("chosen", lambda x: text.image_tags(F.array(x["name"])))
+    told = sequences.interleave(F.col("conversations"), tags) if interleave else sequences.prepend_to_first(F.col("conversations"), F.array_join(tags, ""))
+    lens = F.map_from_entries(F.array_distinct(F.transform("chosen", lambda x: F.struct(x["name"], x["n"]))))
+    return _records(rows, told, lens, F.lit(None), F.col("video"), by_file)
+
+
+def pack_holistic(df: DataFrame, tokens: Callable[[Column], Column], fps: float = 2, max_frames: int = 64, max_pixels: int = geometry.MAX_PIXELS, by_file: bool = False) -> DataFrame:
+    """Records as of ``pack``, images at their own size; a row's length is one number, the sum of ``tokens`` over its images' contents.
+
+    A row without images, or whose first image is null, is its conversation alone.
+    """
+    rows = sampled_rows(df, fps, max_frames, max_pixels, False, True)
     names = F.transform("chosen", lambda x: x["name"])
     total = F.aggregate("chosen", F.lit(0).cast("int"), lambda a, x: a + tokens(x["content"]).cast("int"))
-    turns = F.transform("conversations", lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text")))
-    return kept.select(
-        F.lit("conversation").alias("type"), "id", F.lit(None).cast("string").alias("content"), sequences.prepend_to_first(turns, text.image_tags(names)).alias("conversations"),
-        F.create_map(F.col("id"), total).alias("seq_lens"), F.lit(max_pixels).alias("max_pixels"), F.col("fps").isNotNull().alias("is_video"),
+    return _records(rows, sequences.prepend_to_first(F.col("conversations"), text.image_tags(names)), F.create_map(F.col("id"), total), F.lit(max_pixels), F.col("video"), by_file)
+
+
+def rejected(df: DataFrame, holistic: bool = False, fps: float = 2, max_frames: int = 64) -> DataFrame:
+    """How many rows are not packed, by reason."""
+    return sampled_rows(df, fps, max_frames, geometry.MAX_PIXELS, False, holistic).where("reject is not null").groupBy("reject").count()
+
+
+def processed(raw: DataFrame, out_root: str, holistic: Callable[[Column], Column] | None = None, **packing) -> DataFrame:
+    """Records of whole files with the ``path`` they go to: packed, each image once in a file, and one dummy image for each file."""
+    made = pack_holistic(raw, holistic, by_file=True, **packing) if holistic else pack(raw, by_file=True, **packing)
+    every = raw.select("file").distinct().select(
+        "file", F.lit("image").alias("type"), F.col("file").alias("id"), F.lit(DUMMY).alias("content"),
     )
+    return made.drop("row", "i").unionByName(every, allowMissingColumns=True).withColumn("path", output_path(F.col("file"), out_root))
 
 
-def rejected(df: DataFrame, holistic: bool = False) -> DataFrame:
-    return accepted(df, holistic).where("reject is not null").groupBy("reject").count()
+def write_processed(records: DataFrame, path: str) -> None:
+    """JSON lines in a folder for each output path."""
+    records.drop("file").write.mode("overwrite").partitionBy("path").option("ignoreNullFields", "false").json(path)
 
 
 def packed_batches(df: DataFrame, by: str, order: str, size: str, limit: int = 32_768) -> DataFrame:

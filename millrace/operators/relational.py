@@ -87,9 +87,9 @@ def looked_up(key: Column, mapping: dict[str, str], default: Column | None = Non
     return F.coalesce(found, default) if default is not None else found
 
 
-def first_of_each(df: DataFrame, key: str, order: list[str], keep_all: Column) -> DataFrame:
+def first_of_each(df: DataFrame, key: str | list[str], order: list[str], keep_all: Column) -> DataFrame:
     """All rows that meet a condition; of the others the first of each key."""
-    w = Window.partitionBy(key).orderBy(*order)
+    w = Window.partitionBy(*([key] if isinstance(key, str) else key)).orderBy(*order)
     rest = df.where(~F.coalesce(keep_all, F.lit(False))).withColumn("__n", F.row_number().over(w)).where("__n = 1").drop("__n")
     return df.where(keep_all).unionByName(rest)
 

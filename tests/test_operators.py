@@ -74,9 +74,13 @@ def test_packing_from_files(spark, tmp_path):
     assert talk["clip"]["conversations"][0]["text"].count("<img>") in (7, 8)
     shown = [r for r in records if r["type"] == "image"]
     assert len({r["id"] for r in shown}) == len(shown) and all(images.size_of(base64.b64decode(r["content"])) == (56, 28) for r in shown)
-    assert {r["reject"]: r["count"] for r in packing.rejected(raw).collect()} == {"first image is null": 1}
+    assert {r["reject"]: r["count"] for r in packing.rejected(raw).collect()} == {"first image is null": 1, "image does not decode": 1}
     held = packing.pack_holistic(raw, lambda c: F.lit(4)).collect()
-    assert "pad" not in {r["id"] for r in held} and len(held) == 7
+    told = {r["id"]: r for r in held if r["type"] == "conversation"}
+    assert set(told) == {"text", "none", "one", "null", "many", "clip", "pad"}
+    assert all(told[i]["conversations"][0]["text"] == "q" and told[i]["seq_lens"] is None for i in ("text", "none", "null"))
+    assert told["one"]["seq_lens"] == {"one": 8} and told["one"]["conversations"][0]["text"].count("<img>") == 2
+    assert all(images.size_of(base64.b64decode(r["content"])) == (60, 40) for r in held if r["type"] == "image")
     told = packing.pack(raw, interleave=True).where("id = 'one'").first()["conversations"]
     assert told[0]["text"].startswith("<img>z#") and told[1]["text"].startswith("<img>a#")
     _, batches = packing.prepare(raw, limit=500)
@@ -85,6 +89,31 @@ def test_packing_from_files(spark, tmp_path):
     assert spark.read.json(str(tmp_path / "out")).count() == len(records)
 
 
+def test_every_row_stays_a_row(spark, tmp_path):
+    (tmp_path / "in/sub").mkdir(parents=True)
+    talk = [{"role": "user", "text": "q"}, {"role": "assistant", "text": "a"}]
+    rows = [{"id": "x", "base64_image": {"p": png(1)}, "conversations": talk}] * 2
+    rows += [{"id": "still", "base64_image": {"f": png(2)}, "fps": 30.0, "conversations": talk}, {"id": "bad", "base64_image": {"f": "@@"}, "conversations": talk}]
+    rows += [{"id": "pad", "base64_image": {"f": png(3)}, "conversations": [talk[0], {"role": "assistant", "text": "<|image_pad|>"}]}]
+    for name in ("a", "b"):
+        (tmp_path / f"in/sub/{name}.jsonl").write_text("\n".join(map(json.dumps, rows if name == "a" else rows[:1])))
+    raw = files.raw_samples(spark, str(tmp_path / "in"))
+    records = packing.pack(raw).collect()
+    talks = [r for r in records if r["type"] == "conversation"]
+    assert sorted(r["id"] for r in talks) == ["pad", "still", "x", "x", "x"]
+    assert {r["id"]: r["seq_lens"] for r in talks}["still"] == {} and all(r["conversations"][0]["text"].count("<img>") == 1 for r in talks if r["id"] == "x")
+    assert len([r for r in records if r["type"] == "image"]) == 2
+    assert {r["reject"]: r["count"] for r in packing.rejected(raw, holistic=True).collect()} == {"placeholder in the answer": 1, "image does not decode": 1}
+    done = packing.processed(raw, str(tmp_path / "out/in"))
+    paths = {}
+    for r in done.collect():
+        paths.setdefault(r["path"].split("/out/in/")[1], []).append((r["type"], r["content"] == packing.DUMMY))
+    assert set(paths) == {"sub/a.jsonl", "sub/b.jsonl"} and all(p.count(("image", True)) == 1 for p in paths.values())
+    assert paths["sub/b.jsonl"].count(("image", False)) == 1
+    packing.write_processed(done, str(tmp_path / "w"))
+    assert spark.read.json(str(tmp_path / "w")).count() == done.count()
+
+
 def test_paths(spark):
     df = spark.createDataFrame([("/data/set/x/a.jsonl",), ("/data/set/b.jsonl",)], "p string")
     assert [r[0] for r in df.select(packing.output_path(F.col("p"), "/out/set")).collect()] == ["/out/set/x/a.jsonl", "/out/set/b.jsonl"]
