@@ -7,6 +7,7 @@ import os
 import tempfile
 import uuid
 import weakref
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,18 +53,19 @@ def shared_folder(spark: SparkSession) -> str:
 _PATHS: dict[int, str] = {}
 
 
-def stored(df: DataFrame, *spent: DataFrame) -> DataFrame:
+def stored(made: DataFrame | Callable[[], DataFrame], *spent: DataFrame) -> DataFrame:
     """Written as a table to the shared folder and read again: evaluated once, and safe from lost executors.
 
     ``spent`` are earlier tables that nothing reads any more: they are deleted. What was shuffled for the table is of no more
     use either; the engine removes shuffle files when the driver collects its garbage, which is asked for here so that the
-    disk holds one step's files at a time.
+    disk holds one step's files at a time. Given a function that makes the table, no caller still holds on to its plan then.
     """
+    df = made() if callable(made) else made
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/millrace-{uuid.uuid4().hex}"
     df.write.parquet(path)
     schema = df.schema
-    del df
+    del df, made
     for each in spent:
         dropped(each)
     gc.collect()

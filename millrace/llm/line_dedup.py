@@ -31,7 +31,8 @@ later than each other; an empty table gives no rows.
 
 from __future__ import annotations
 
-import math
+import operator
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -52,9 +53,8 @@ _OTHER_SPACE = "\t\r\x0b\f"
 def _plain(text: Column) -> Column:
     """Lower-cased, its white space spaces and line feeds only, so that splitting needs no pattern."""
     low = F.lower(F.coalesce(text, F.lit("")))
-    for c in _OTHER_SPACE:
-        low = F.replace(low, F.lit(c), F.lit(" "))
-    return low
+    other = reduce(operator.or_, (F.contains(text, F.lit(c)) for c in _OTHER_SPACE))
+    return F.when(other, F.translate(low, _OTHER_SPACE, " " * len(_OTHER_SPACE))).otherwise(low)
 
 
 def _shiftleft(x: Column, by: Column) -> Column:
@@ -172,26 +172,30 @@ def _best(found: DataFrame) -> DataFrame:
 
 def similar(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", threshold: float = THRESHOLD, cells: int = CELLS) -> tuple[DataFrame, DataFrame, DataFrame]:
     """All lines with tokens (id, line, u, u2); classes (sid, u, u2, first, times); sid of the classes that an earlier one is similar to."""
-    every = stored(lines(docs, text, doc_id, threshold, levels(docs, text, cells)))
+    every = stored(lambda: lines(docs, text, doc_id, threshold, levels(docs, text, cells)))
     one = lambda c: F.first(c).alias(c)
-    sets = every.groupBy("u", "u2").agg(F.min(F.struct("id", "line")).alias("first"), F.count("*").alias("times"), one("m"), one("n"), one("prefix"))
-    sets = stored(sets.withColumn("sid", F.monotonically_increasing_id()))
+    first = F.min(F.struct("id", "line")).alias("first")
+    sets = stored(lambda: every.groupBy("u", "u2").agg(first, F.count("*").alias("times"), one("m"), one("n"), one("prefix")).withColumn("sid", F.monotonically_increasing_id()))
     # Members of large groups mostly find a neighbour; only the others are joined with all candidates.
-    nearby = _best(stored(_neighbours(sets, threshold)))
+    nearby = stored(lambda: _best(_neighbours(sets, threshold)))
     ends = nearby.select(F.col("a").alias("sid")).unionByName(nearby.select(F.col("b").alias("sid"))).distinct()
-    texts = stored(_texts(docs, text, sets.join(ends, "sid")))
-    found = stored(_verified(nearby, texts, threshold), texts)
-    left = sets.join(found, F.col("sid") == F.col("a"), "left_anti")
-    met = _candidates(_posts(left), _posts(sets), threshold)
-    # The best candidate of each class, and every class that is a candidate of another, in one number each.
-    both = met.select(F.inline(F.array(F.struct(F.col("a").alias("sid"), _code(F.col("bits"), F.col("b")).alias("code")), F.struct(F.col("b").alias("sid"), F.lit(None).cast("long").alias("code")))))
-    involved = stored(both.groupBy("sid").agg(F.min("code").alias("code")))
-    part = stored(sets.drop("times").join(involved, "sid"), involved)
-    texts = stored(_texts(docs, text, part))
-    more = stored(found.unionByName(_verified(_best(part), texts, threshold)), found)
-    open_ = part.where("code is not null").join(more, F.col("sid") == F.col("a"), "left_anti")
-    rest = _candidates(_posts(open_), _posts(part), threshold).select("a", "b").distinct()
-    later = stored(more.unionByName(_verified(rest, texts, threshold)).withColumnRenamed("a", "sid"), more, texts, part)
+    texts = stored(lambda: _texts(docs, text, sets.join(ends, "sid")))
+    found = stored(lambda: _verified(nearby, texts, threshold), texts, nearby)
+
+    def met() -> DataFrame:
+        """The best candidate of each class, and every class that is a candidate of another, in one number each."""
+        left = sets.join(found, F.col("sid") == F.col("a"), "left_anti")
+        some = _candidates(_posts(left), _posts(sets), threshold)
+        own, other = F.struct(F.col("a").alias("sid"), _code(F.col("bits"), F.col("b")).alias("code")), F.struct(F.col("b").alias("sid"), F.lit(None).cast("long").alias("code"))
+        return some.select(F.inline(F.array(own, other))).groupBy("sid").agg(F.min("code").alias("code"))
+
+    involved = stored(met)
+    part = stored(lambda: sets.drop("times").join(involved, "sid"), involved)
+    texts = stored(lambda: _texts(docs, text, part))
+    more = stored(lambda: found.unionByName(_verified(_best(part), texts, threshold)), found)
+    open_ = stored(lambda: part.where("code is not null").join(more, F.col("sid") == F.col("a"), "left_anti"))
+    rest = stored(lambda: _candidates(_posts(open_), _posts(part), threshold).select("a", "b").distinct(), open_)
+    later = stored(lambda: more.unionByName(_verified(rest, texts, threshold)).withColumnRenamed("a", "sid"), more, rest, texts, part)
     return every.select("id", "line", "u", "u2"), sets.select("sid", "u", "u2", "first", "times"), later
 
 
