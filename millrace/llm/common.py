@@ -68,6 +68,7 @@ def stored(made: DataFrame | Callable[[], DataFrame], *spent: DataFrame) -> Data
     del df, made
     for each in spent:
         dropped(each)
+    spark.range(1).collect()  # else the engine's listeners hold on to the last query's plan, and its shuffle files stay
     gc.collect()
     spark.sparkContext._jvm.System.gc()
     table = spark.read.schema(schema).parquet(path)

@@ -107,20 +107,27 @@ def lines(docs: DataFrame, text: str, doc_id: str, threshold: float, known: byte
 
 
 def _posts(sets: DataFrame) -> DataFrame:
-    return sets.select("sid", "m", "n", F.col("first.id").alias("id"), F.col("first.line").alias("line"), F.size("prefix").alias("size"), F.posexplode("prefix").alias("pos", "k"))
+    """A row for each prefix token k of each class. code: twice the token's place, one more where the class need not be joined as the later one."""
+    done = F.col("done").cast("int") if "done" in sets.columns else F.lit(0)
+    rows = sets.select("sid", "m", "n", F.col("first.id").alias("id"), F.col("first.line").alias("line"), done.alias("done"), F.posexplode("prefix").alias("pos", "k"))
+    return rows.select("sid", "m", "n", "id", "line", (2 * F.col("pos") + F.col("done")).alias("code"), "k")
 
 
 def _candidates(later: DataFrame, every: DataFrame, threshold: float) -> DataFrame:
-    """a, b, bits: classes and earlier ones that pass all filters, once for each prefix token that they share."""
-    one, other = (posts.drop("size").select(*[F.col(c).alias(f"{side}_{c}") for c in posts.drop("size").columns]) for side, posts in (("a", later), ("b", every)))
+    """a, b, bits: classes and earlier ones that pass all filters, once for each prefix token that they share.
+
+    Where both sides are the same table, both sides of every condition are used, so that it is shuffled once.
+    """
+    one, other = (posts.select(*[F.col(c).alias(f"{side}_{c}") for c in posts.columns]) for side, posts in (("a", later), ("b", every)))
     na, nb = F.col("a_n"), F.col("b_n")
     need, bits = _needed(na, nb, threshold), F.bit_count(F.col("a_m").bitwiseXOR(F.col("b_m")))
+    place = lambda side: F.shiftright(f"{side}_code", 1)
     near = (
         (F.col("a_k") == F.col("b_k"))
         & (na >= F.lit(threshold) * nb - 1e-9)
         & (nb >= F.lit(threshold) * na - 1e-9)
+        & (F.least(na - place("a"), nb - place("b")) - F.col("a_code").bitwiseAND(F.lit(1)) * F.lit(1 << 30) >= need)
         & (bits <= na + nb - 2 * need)
-        & (F.least(na - F.col("a_pos"), nb - F.col("b_pos")) >= need)
         & (F.struct("b_id", "b_line") < F.struct("a_id", "a_line"))
     )
     return one.join(other, near).select(F.col("a_sid").alias("a"), F.col("b_sid").alias("b"), bits.cast("long").alias("bits"))
@@ -151,8 +158,8 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame
 
 def _neighbours(sets: DataFrame, threshold: float) -> DataFrame:
     """sid, code: for each class the best of the classes just before it among those that share one of a few of its prefix tokens."""
-    posts = _posts(sets)
-    some = posts.where(F.array_contains(F.transform(F.array(F.lit(1), F.lit(2), F.lit(3)), lambda i: F.floor(F.col("size") * i / 4).cast("int")), F.col("pos")))
+    few = F.array_distinct(F.transform(F.array(F.lit(1), F.lit(2), F.lit(3)), lambda i: F.get("prefix", F.floor(F.size("prefix") * i / 4).cast("int"))))
+    some = _posts(sets.withColumn("prefix", few))
     order = Window.partitionBy("k").orderBy("id", "line")
     before = F.lag(F.struct("sid", "m", "n", "id", "line")).over(order)
     pair = some.withColumn("b", before).where("b is not null").where(F.struct("b.id", "b.line") < F.struct("id", "line"))
@@ -184,8 +191,8 @@ def similar(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", thresho
 
     def met() -> DataFrame:
         """The best candidate of each class, and every class that is a candidate of another, in one number each."""
-        left = sets.join(found, F.col("sid") == F.col("a"), "left_anti")
-        some = _candidates(_posts(left), _posts(sets), threshold)
+        posts = _posts(sets.join(found, F.col("sid") == F.col("a"), "left").withColumn("done", F.col("a").isNotNull()))
+        some = _candidates(posts, posts, threshold)
         own, other = F.struct(F.col("a").alias("sid"), _code(F.col("bits"), F.col("b")).alias("code")), F.struct(F.col("b").alias("sid"), F.lit(None).cast("long").alias("code"))
         return some.select(F.inline(F.array(own, other))).groupBy("sid").agg(F.min("code").alias("code"))
 
