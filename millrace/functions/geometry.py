@@ -93,6 +93,17 @@ def smart_size(w: Column, h: Column, max_pixels: int = MAX_PIXELS) -> Column:
     return F.struct(F.when(fits, near(w)).otherwise(down(w)).alias("w"), F.when(fits, near(h)).otherwise(down(h)).alias("h"))
 
 
+def fits_aspect(w: Column, h: Column, most: int) -> Column:
+    """The ratio of the sides is at most ``most`` to one, either way."""
+    return (w / h <= most) & (w / h >= F.lit(1.0) / most)
+
+
+def within_aspect(w: Column, h: Column, most: int) -> Column:
+    """The size with the longer side cut down to ``most`` times the shorter where it exceeds that."""
+    fits, wide = fits_aspect(w, h, most), w > h
+    return F.struct(F.when(~fits & wide, h * most).otherwise(w).alias("w"), F.when(~fits & ~wide, w * most).otherwise(h).alias("h"))
+
+
 def square_crop(w: Column, h: Column) -> Column:
     side = F.least(w, h)
     half = lambda x: F.floor(x / 2).cast("int")

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 # What the markup filter removes, in this order.
 MARKUP = ("---", "*", "<sup>", "</sup>", "\n", ">", "$", "^", "{", "}", "#")
+# How links, boxes and fenced blocks are written.
 IMAGE_LINK = r"\[Image\]\(.*?\)"
 _NUMBER = r"([-+]?\d*\.\d+|\d+)"
 #: Boxes written as [Image](a,b,c,d): floats with an optional sign, or unsigned integers.
@@ -183,6 +184,18 @@ def frame_at(second: Column, fps: Column, n: Column) -> Column:
     return F.least(F.greatest((second * fps).cast("int"), F.lit(0)), n)
 
 
+def experiment(index: Column) -> Column:
+    """What an index file stands for: its folder's name and its own name's first piece."""
+    parts = F.split(index, "/")
+    return F.concat(F.get(parts, F.size(parts) - 2), F.get(F.split(F.get(parts, F.size(parts) - 1), "_"), F.lit(0)))
+
+
+def patched(settings: Column, put: dict[str, str], drop: tuple[str, ...] = ()) -> Column:
+    """A map of settings with some set anew and some taken out."""
+    kept = F.map_filter(settings, lambda k, v: ~k.isin(*put, *drop)) if put or drop else settings
+    return F.map_concat(kept, F.create_map(*[F.lit(x) for kv in put.items() for x in kv])) if put else kept
+
+
 @F.pandas_udf(T.BooleanType())
 def is_repetitive(texts: pd.Series) -> pd.Series:
     """Compresses more than fourfold, or has a full window of 1000 characters that compresses more than 3.5-fold."""

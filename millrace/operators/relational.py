@@ -140,6 +140,19 @@ def between(df: DataFrame, start: int, end: int, *order: str) -> DataFrame:
     return positioned(df, *order).where((F.col("pos") >= start) & (F.col("pos") < end)).drop("pos")
 
 
+def zipped(left: DataFrame, right: DataFrame, left_order: list[str], right_order: list[str]) -> DataFrame:
+    """Rows of two tables that have the same place in their orders, with ``pos``; it is an error if one has more rows."""
+    a, b = positioned(left, *left_order), positioned(right, *right_order)
+    both = a.withColumn("__a", F.lit(True)).join(b.withColumn("__b", F.lit(True)), "pos", "full")
+    fail = F.raise_error(F.lit("tables of different lengths")).cast("boolean")
+    return both.where(F.when(F.col("__a") & F.col("__b"), F.lit(True)).otherwise(fail)).drop("__a", "__b")
+
+
+def within(df: DataFrame, path: str, part: str) -> DataFrame:
+    """Rows whose path contains a part."""
+    return df.where(F.contains(path, F.lit(part)))
+
+
 def flattened_roots(roots: DataFrame, folders: DataFrame) -> DataFrame:
     """Roots replaced by their first-level folders; a root without any stays. (root), (root, folder) -> (root)"""
     inner = roots.join(folders, "root").select(F.col("folder").alias("root"))
