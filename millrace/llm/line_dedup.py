@@ -43,6 +43,8 @@ THRESHOLD = 0.8
 CELLS = 1 << 18
 #: Bits of the map of the classes whose text is read again.
 BITS = 1 << 23
+#: Words of 64 bits of the wider parity bitmap, a power of two.
+WIDE = 8
 #: Classes with at least this share of all lines are looked up by a broadcast of at most 1 / HOT rows.
 HOT = 1e-4
 _HASH_BITS, _KEY_BITS, _ID_BITS = 57, 40, 56
@@ -145,7 +147,21 @@ def _texts(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
     marked = byte.bitwiseAND(_shiftleft(F.lit(1), cell.bitwiseAND(F.lit(7)))) != 0
     split = docs.select(F.explode(F.split(_plain(F.col(text)), "\n")).alias("s"))
     some = split.withColumn("u", F.xxhash64("s")).where(marked).select("s").distinct().select("s", *_named(F.col("s")))
-    return some.join(wanted.select("sid", "u", "u2"), ["u", "u2"]).select("sid", F.array_distinct(F.array_remove(F.split("s", " "), "")).alias("tokens"))
+    told = some.join(wanted.select("sid", "u", "u2"), ["u", "u2"]).select("sid", F.array_distinct(F.array_remove(F.split("s", " "), "")).alias("tokens"))
+    one = lambda a, h: a.bitwiseXOR(_shiftleft(F.lit(1).cast("long"), h.bitwiseAND(F.lit(63)).cast("int")))
+    word = lambda hs: lambda w: F.aggregate(F.filter(hs, lambda h: F.shiftright(h, 6).bitwiseAND(F.lit(WIDE - 1)) == w), F.lit(0).cast("long"), one)
+    wide = F.transform(F.array(F.transform("tokens", lambda t: F.xxhash64(t))), lambda hs: F.transform(F.array(*map(F.lit, range(WIDE))), word(hs)))
+    return told.withColumn("wide", F.element_at(wide, 1))
+
+
+def _close(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (a, b) that also differ in few bits of a wider parity bitmap: for long lines the narrow one says little."""
+    known = texts.select("sid", F.size("tokens").alias("n"), "wide")
+    both = pairs
+    for side in "ab":
+        both = both.join(known.select(*[F.col(c).alias(side if c == "sid" else f"{side}_{c}") for c in known.columns]), side)
+    bits = reduce(operator.add, (F.bit_count(F.get("a_wide", F.lit(i)).bitwiseXOR(F.get("b_wide", F.lit(i)))) for i in range(WIDE)))
+    return both.where(bits <= F.col("a_n") + F.col("b_n") - 2 * _needed(F.col("a_n"), F.col("b_n"), threshold)).select("a", "b")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
@@ -201,7 +217,7 @@ def similar(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", thresho
     texts = stored(lambda: _texts(docs, text, part))
     more = stored(lambda: found.unionByName(_verified(_best(part), texts, threshold)), found)
     open_ = stored(lambda: part.where("code is not null").join(more, F.col("sid") == F.col("a"), "left_anti"))
-    rest = stored(lambda: _candidates(_posts(open_), _posts(part), threshold).select("a", "b").distinct(), open_)
+    rest = stored(lambda: _close(_candidates(_posts(open_), _posts(part), threshold).select("a", "b").distinct(), texts, threshold), open_)
     later = stored(lambda: more.unionByName(_verified(rest, texts, threshold)).withColumnRenamed("a", "sid"), more, rest, texts, part)
     return every.select("id", "line", "u", "u2"), sets.select("sid", "u", "u2", "first", "times"), later
 

@@ -1,31 +1,33 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries of equal size are trained, one on windows of toxic text
-and one on windows of ordinary text. A window is one word behind a fixed frame, so
-that a match found in a dictionary runs from the frame into the word. Toxic
-windows are the word beginnings that occur in more toxic documents than chance
-explains (a divergence test against ordinary documents); ordinary windows are
-frequent words and, in rounds, those words that the toxic dictionary would
-otherwise compress better. A window's place is how many bytes the toxic dictionary
-saves more than the ordinary one, and how many it saves at all. Calibration on
-labelled documents that the dictionaries have not seen keeps the places beyond
-which toxic documents are clearly commoner, weighs them by their likelihood
-ratios, and maps a document's sum to a probability by logistic regression.
-
-The labelled rows that teach are a sample bounded by ``sample`` documents for each
-label (those of lowest id hash), of which near copies (word sets of a Jaccard
-similarity of ALIKE or more) count once. Every whole text is scored. Defined results:
-a null text counts as empty; a text without words has the probability of a text
-without evidence; of several labels for an id the largest counts; labels without a
-document and null labels teach nothing; without rows of both labels every score is
-the share of toxic ones (0 without labels).
+Pairs of zstandard dictionaries are trained, each with one for toxic and one for
+ordinary text, by zstandard's own cover training on the windows of labelled documents.
+Both of a pair end in the same trained piece of ordinary text, so that ordinary windows
+compress alike; in front stands a piece trained on the toxic documents in the one, on
+ordinary documents in the other. A window is WINDOW_WORDS words, each behind a short
+mark, so that a match runs from the mark into the word, between a head that both
+dictionaries hold and a tail that zstandard's match finders don't search. A window's
+distance is how many bytes the toxic dictionaries save more than the ordinary ones,
+added up over the pairs, or 0 where that isn't positive for the first of them.
+
+Calibration on labelled documents that the dictionaries have not seen pools distances
+until the share of toxic windows rises with them, keeps those that are clearly commoner
+in toxic documents, weighs them by their likelihood ratios, and maps a document's sum to
+a probability by logistic regression.
+
+The labelled rows that teach are a sample, bounded by ``sample`` documents and
+``sample_bytes`` bytes of text for each label (those of lowest id hash, whole texts), of
+which near copies (word sets of a Jaccard similarity of ALIKE or more) count once. Every
+whole text is scored. Defined results: a null text counts as empty; a text without words
+has the probability of a text without evidence; of several labels for an id the largest
+counts; labels without a document and null labels teach nothing; without rows of both
+labels every score is the share of toxic ones (0 without labels); repeated rows are
+scored alike.
 """
 
 from __future__ import annotations
 
 import math
-import random
-from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
@@ -35,24 +37,29 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SAMPLE = 6_000
-FRAME = bytes(range(1, 13))
-DICTIONARY_BYTES = 14_336
-ROUNDS = 3
-LONGEST = 12
-MORE, SAVED = 7, 16
-#: Least log likelihood ratio of a place that counts, and the least number of toxic windows there.
+SAMPLE, SAMPLE_BYTES = 6_000, 24 << 20
+WINDOW_WORDS = 1
+#: Lengths of the segments that the training of each pair of dictionaries picks, and of the substrings it counts.
+SEGMENTS, SUBSTRING = (64, 40, 56, 72, 88), 8
+#: Bytes of the piece that is a dictionary's own and of the piece of ordinary text in both.
+OWN_BYTES, SHARED_BYTES = 6_000, 15_000
+MARK, HEAD, TAIL = bytes(range(1, 4)), bytes(range(128, 152)), bytes(range(200, 208))
+#: Distances that are told apart.
+DISTANCES = 60
+#: Least log likelihood ratio of a distance that counts, and the least number of toxic windows there.
 CLEAR, SEEN = 1.0, 3
-#: Least log ratio of document shares of a toxic word beginning.
-DISTINCT = 2.0
 #: Word sets at least so alike are near copies; they are found by so many bands of so many minima.
 ALIKE, BANDS, ROWS = 0.8, 20, 5
-_CACHE_WORDS = 400_000
+_CACHE_WINDOWS = 400_000
 _EDGE = b"\"'([{<*_-.,;:!?)]}>"
 
 
 def window_words(text: str | None) -> list[bytes]:
-    return [w for w in (x.lstrip(_EDGE) for x in (text or "").encode("utf-8", "surrogatepass").lower().split()) if w]
+    return [w for w in (x.strip(_EDGE) for x in (text or "").encode("utf-8", "surrogatepass").lower().split()) if w]
+
+
+def _marked(ws: list[bytes]) -> bytes:
+    return b"".join(MARK + w + b" " for w in ws)
 
 
 def _compressor(content: bytes):
@@ -60,143 +67,125 @@ def _compressor(content: bytes):
 
     params = zs.ZstdCompressionParameters(
         format=zs.FORMAT_ZSTD1_MAGICLESS, write_content_size=0, write_checksum=0, write_dict_id=0,
-        window_log=17, hash_log=16, chain_log=16, search_log=6, min_match=4, target_length=32, strategy=zs.STRATEGY_LAZY,
+        window_log=17, hash_log=16, chain_log=16, search_log=8, min_match=3, target_length=64, strategy=zs.STRATEGY_BTOPT,
     )
     d = zs.ZstdCompressionDict(content, dict_type=zs.DICT_TYPE_RAWCONTENT)
     d.precompute_compress(compression_params=params)
     return zs.ZstdCompressor(dict_data=d, compression_params=params)
 
 
-def _dictionary(pieces: Iterable[bytes]) -> bytes:
-    """Framed pieces, the most important last, where matches are cheapest; as many as fit, filled up in front."""
-    out, size = [], 0
-    for p in pieces:
-        size += len(FRAME) + len(p)
-        if size > DICTIONARY_BYTES:
-            break
-        out.append(FRAME + p)
-    return b"".join(reversed(out)).rjust(DICTIONARY_BYTES, b"\0")
+def trained(samples: list[bytes], size: int, segment: int) -> bytes:
+    """The content of a dictionary that zstandard trains, filled up in front; of too few samples the last bytes."""
+    import zstandard as zs
+
+    try:
+        raw = zs.train_dictionary(size, samples, k=segment, d=SUBSTRING, f=20, accel=1).as_bytes()
+        raw = raw[max(raw.find(MARK), 0) :]  # without the tables of symbols, which windows this short don't pay for
+    except zs.ZstdError:
+        raw = b"".join(samples)
+    return raw[-size:].rjust(size, b"\0")
 
 
 @dataclass
 class Model:
-    toxic: bytes = b""
-    ordinary: bytes = b""
-    weight: np.ndarray = field(default_factory=lambda: np.zeros(MORE * SAVED))
+    pairs: list[tuple[bytes, bytes]] = field(default_factory=list)  # ordinary, toxic
+    weight: np.ndarray = field(default_factory=lambda: np.zeros(DISTANCES))
     slope: float = 1.0
     offset: float = 0.0
     constant: float | None = None
 
     def start(self) -> None:
         """Compressors are made where they are used."""
-        self._pair = _compressor(self.ordinary).compress, _compressor(self.toxic).compress
-        self._places: dict[bytes, int] = {}
+        self._pairs = [(_compressor(o).compress, _compressor(t).compress) for o, t in self.pairs]
+        self._known: dict[bytes, int] = {}
 
     def __getstate__(self) -> dict:
         return {k: v for k, v in self.__dict__.items() if k[0] != "_"}
 
-    def place(self, word: bytes) -> int:
-        x = FRAME + b" " + word + b" "
-        by_toxic = len(self._pair[1](x))
-        more = len(self._pair[0](x)) - by_toxic
-        return min(more, MORE - 1) * SAVED + min(max(len(x) - by_toxic, 0), SAVED - 1) if more > 0 else 0
-
-    def places(self, ws: list[bytes]) -> np.ndarray:
-        """How many windows fall into each place."""
-        known = self._places
-        if len(known) > _CACHE_WORDS:
+    def distance(self, window: bytes) -> int:
+        x, total = HEAD + window + TAIL, 0
+        for k, (ordinary, toxic) in enumerate(self._pairs):
+            total += len(ordinary(x)) - len(toxic(x))
+            if not k and total < 1:
+                return 0
+        return min(max(total, 0), DISTANCES - 1)
+
+    def distances(self, ws: list[bytes]) -> np.ndarray:
+        """How many windows have each distance."""
+        known, out = self._known, []
+        if len(known) > _CACHE_WINDOWS:
             known.clear()
-        out = []
-        for w in ws:
-            p = known.get(w)
-            if p is None:
-                known[w] = p = self.place(w)
-            out.append(p)
-        return np.bincount(out, minlength=MORE * SAVED).astype(float)
+        for k in range(0, len(ws), WINDOW_WORDS):
+            window = ws[k] if WINDOW_WORDS == 1 else b" ".join(ws[k : k + WINDOW_WORDS])
+            d = known.get(window)
+            if d is None:
+                known[window] = d = self.distance(_marked(ws[k : k + WINDOW_WORDS]))
+            out.append(d)
+        return np.bincount(out, minlength=DISTANCES).astype(float)
 
     def score(self, texts: Iterable[str | None]) -> list[float]:
         if self.constant is not None:
             return [self.constant for _ in texts]
-        sums = [float(self.places(window_words(t)) @ self.weight) for t in texts]
+        sums = [float(self.distances(window_words(t)) @ self.weight) for t in texts]
         return [1 / (1 + math.exp(-min(max(self.slope * s + self.offset, -30), 30))) for s in sums]
 
 
-def without_copies(docs: list[list[bytes]]) -> list[list[bytes]]:
-    """Documents whose word sets have a Jaccard similarity below ALIKE to every earlier one that stays.
+def without_copies(docs: list[bytes]) -> list[bytes]:
+    """Documents (words joined by spaces) whose word sets have a Jaccard similarity below ALIKE to every earlier one that stays.
 
     Compared are those that agree in all ROWS minima of any of BANDS bands: at 0.8 all but 4e-4 of the pairs, at 0.1 2e-4.
     """
     salts = np.random.default_rng(1).integers(1, 2**63, (2, BANDS * ROWS), dtype="u8") | np.uint64(1)
     seen: dict[tuple[int, bytes], list[int]] = {}
     out, sets = [], []
-    for ws in docs:
-        own = set(ws)
-        h = np.array([xxhash.xxh64_intdigest(w) for w in own] or [0], "u8")
-        low = np.array([((h ^ a) * b).min() for a, b in salts.T]).reshape(BANDS, ROWS)
-        keys = [(i, row.tobytes()) for i, row in enumerate(low)]
+    for doc in docs:
+        own = np.unique(np.array([xxhash.xxh64_intdigest(w) for w in set(doc.split(b" "))], "u8"))
+        low = np.array([((own ^ a) * b).min() for a, b in salts.T]).reshape(BANDS, ROWS)
+        keys = [(i, xxhash.xxh64_digest(row.tobytes())) for i, row in enumerate(low)]
         tried = {k for key in keys for k in seen.get(key, ())}
-        if any(len(own & sets[k]) >= ALIKE * len(own | sets[k]) for k in tried):
+        if any((n := len(np.intersect1d(own, sets[k], True))) >= ALIKE * (len(own) + len(sets[k]) - n) for k in tried):
             continue
         for key in keys:
             seen.setdefault(key, []).append(len(out))
-        out.append(ws)
+        out.append(doc)
         sets.append(own)
     return out
 
 
-def _beginnings(ws: list[bytes]) -> set[bytes]:
-    ws = set(ws)
-    return {b" " + w[:k] for w in ws for k in range(3, min(len(w), LONGEST) + 1)} | {b" " + w + b" " for w in ws}
-
-
-def distinctive(toxic: list[list[bytes]], ordinary: list[list[bytes]]) -> list[bytes]:
-    """Word beginnings that occur in more toxic documents than their share of ordinary ones explains, strongest first."""
-    of_toxic = Counter(x for ws in toxic for x in _beginnings(ws))
-    tried = {x for x, c in of_toxic.items() if c >= 3}
-    of_ordinary = Counter(x for ws in ordinary for x in _beginnings(ws) if x in tried)
-    bar, gain, ratio = math.log(max(len(tried), 1)) + 1, {}, {}
-    for x in tried:
-        expected = len(toxic) * (of_ordinary[x] + 0.5) / (len(ordinary) + 1)
-        ratio[x] = math.log((of_toxic[x] + 0.5) / (len(toxic) + 1) * (len(ordinary) + 1) / (of_ordinary[x] + 0.5))
-        g = of_toxic[x] * math.log(of_toxic[x] / expected) - of_toxic[x] + expected
-        if of_toxic[x] > expected and ratio[x] > DISTINCT and g > bar:
-            gain[x] = g
-    order = sorted(gain, key=lambda x: (-gain[x], x))
-    # A longer beginning says nothing new unless it is more distinctive; of those with the same documents the longest stands.
-    stems = [x for x in order if not any(x[:k] in gain and ratio[x[:k]] >= ratio[x] - 0.7 for k in range(3, len(x)))]
-    longest = []
-    for x in stems:
-        for y in order:
-            if y.startswith(x) and of_toxic[y] >= 0.9 * of_toxic[x]:
-                x = y
-        longest.append(x)
-    return list(dict.fromkeys(longest))
-
-
-def fit(toxic: list[list[bytes]], ordinary: list[list[bytes]], n_toxic: float, n_ordinary: float) -> Model:
-    """A model from the words of sampled documents; n_toxic and n_ordinary: how many the sample stands for."""
+def rising(toxic: np.ndarray, ordinary: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Counts of windows by distance, neighbours pooled until the share of toxic ones rises with the distance."""
+    pools: list[list[float]] = []
+    for a, b in zip(toxic, ordinary):
+        pools.append([a, b, 1])
+        while len(pools) > 1 and pools[-2][0] * (pools[-1][0] + pools[-1][1]) >= pools[-1][0] * (pools[-2][0] + pools[-2][1]):
+            a2, b2, n2 = pools.pop()
+            pools[-1] = [pools[-1][0] + a2, pools[-1][1] + b2, pools[-1][2] + n2]
+    out = np.array([[a, b] for a, b, n in pools for _ in range(int(n))])
+    return out[:, 0], out[:, 1]
+
+
+def fit(toxic: list[bytes], ordinary: list[bytes], n_toxic: float, n_ordinary: float) -> Model:
+    """A model from sampled documents (words joined by spaces); n_toxic and n_ordinary: how many the sample stands for."""
     if not toxic or not ordinary:
         return Model(constant=n_toxic / (n_toxic + n_ordinary) if n_toxic + n_ordinary else 0.0)
     toxic, ordinary = without_copies(toxic), without_copies(ordinary)
     learn = [toxic[::2], ordinary[::2]]
     check = [toxic[1::2] or toxic, ordinary[1::2] or ordinary]
-    model = Model(toxic=_dictionary(distinctive(*learn)))
-    counts = Counter(w for ws in learn[1] for w in ws)
-    frequent = [w for w, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0]))]
-    tried = [*frequent[:3_000], *random.Random(1).sample(sorted(counts), min(len(counts), 20_000))]
-    pieces = frequent[:200]
-    for step in range(ROUNDS + 1):
-        model.ordinary = _dictionary(b" " + w + b" " for w in dict.fromkeys(pieces))
-        model.start()
-        if step < ROUNDS:
-            cost = {w: p // SAVED * counts[w] for w in tried if (p := model.place(w))}
-            pieces = sorted(cost, key=lambda w: (-cost[w], w))[:200] + pieces
-    seen = [np.stack([model.places(ws) for ws in docs]) for docs in check]
+    of_toxic, of_ordinary = ([_marked(d.split(b" ")) for d in docs if d] for docs in learn)
+    parts = [x[k : k + 400] for x in of_ordinary for k in range(0, len(x), 400)]
+    shared = trained(parts, SHARED_BYTES, 64) + HEAD
+    del parts
+    model = Model(pairs=[(trained(of_ordinary, OWN_BYTES, k) + shared, trained(of_toxic, OWN_BYTES, k) + shared) for k in SEGMENTS])
+    del of_toxic, of_ordinary
+    model.start()
+    seen = [np.stack([model.distances([w for w in d.split(b" ") if w]) for d in docs]) for docs in check]
     c1, c0 = (s.sum(axis=0) for s in seen)
     q = c0.sum() / max(c1.sum(), 1)
+    c1, c0 = rising(c1, c0)
     ratio = np.log((c1 + 0.5) * q / (c0 + 0.5 * q + 0.5))
     use = (ratio > CLEAR) & (c1 >= SEEN)
     use[0] = False
+    c1, c0 = (s.sum(axis=0) for s in seen)
     rest = math.log((c1[~use].sum() + 1) / max(c1.sum(), 1) * max(c0.sum(), 1) / (c0[~use].sum() + 1))
     model.weight = np.where(use, ratio, rest)
     x = np.concatenate([seen[0] @ model.weight, seen[1] @ model.weight])
@@ -219,16 +208,23 @@ def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, f
     return max(float(b[0]), 0.0), float(b[1])
 
 
-def train(docs: DataFrame, labels: DataFrame, label: str, learn: Column, text: str = "text", doc_id: str = "doc_id", sample: int = SAMPLE) -> Model:
+def train(
+    docs: DataFrame, labels: DataFrame, label: str, learn: Column, text: str = "text", doc_id: str = "doc_id", sample: int = SAMPLE, sample_bytes: int = SAMPLE_BYTES
+) -> Model:
     taught = labels.where(F.col(label).isNotNull() & F.col(doc_id).isNotNull()).groupBy(doc_id).agg(F.max(label).cast("int").alias("y")).where(learn)
     totals = {r["y"]: r["count"] for r in taught.groupBy("y").count().collect()}
     chosen = [taught.where(F.col("y") == y).orderBy(F.xxhash64(doc_id), doc_id).limit(sample) for y in (1, 0)]
     ids = chosen[0].unionByName(chosen[1])  # at most 2 * sample ids
     rows = docs.select(doc_id, F.coalesce(text, F.lit("")).alias("t")).join(F.broadcast(ids), doc_id).orderBy(F.xxhash64(doc_id), "t")
-    found: dict[int, list[list[bytes]]] = {1: [], 0: []}
-    one: dict[bytes, bytes] = {}  # each word is held once
-    for y, t in rows.select("y", "t").toLocalIterator():
-        found[y].append([one.setdefault(w, w) for w in window_words(t)])
+    found: dict[int, list[bytes]] = {1: [], 0: []}
+    size = {1: 0, 0: 0}
+    for y, t in rows.select("y", "t").toLocalIterator():  # a partition at a time
+        doc = b" ".join(window_words(t))
+        if size[y] + len(doc) <= sample_bytes:
+            found[y].append(doc)
+            size[y] += len(doc)
+        elif min(size.values()) >= 0.95 * sample_bytes:
+            break
     return fit(found[1], found[0], totals.get(1, 0), totals.get(0, 0))
 
 
@@ -237,7 +233,7 @@ _STARTED: dict[bytes, Model] = {}
 
 def _started(model: Model) -> Model:
     """One model, with its word cache, for all tasks of a worker."""
-    key = repr((model.slope, model.offset, model.constant)).encode() + model.toxic + model.ordinary + model.weight.tobytes()
+    key = repr((model.slope, model.offset, model.constant)).encode() + b"".join(x for pair in model.pairs for x in pair) + model.weight.tobytes()
     if key not in _STARTED:
         _STARTED.clear()
         if model.constant is None:

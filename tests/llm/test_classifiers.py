@@ -35,7 +35,8 @@ def test_toxicity_on_held_out_documents(spark, prose):
     docs, labels, truth = labelled(spark, prose, insult)
     held = bucket_of("doc_id", 3) == 1
     model = toxicity.train(docs, labels, "y", ~held)
-    assert len(model.toxic) == len(model.ordinary) == toxicity.DICTIONARY_BYTES
+    size = toxicity.OWN_BYTES + toxicity.SHARED_BYTES + len(toxicity.HEAD)
+    assert len(model.pairs) == len(toxicity.SEGMENTS) and all(len(o) == len(t) == size and o != t for o, t in model.pairs)
     got = docs.select("doc_id", held.alias("held"), toxicity.scorer(spark, model)("text").alias("s")).collect()
     assert len(got) == docs.count() and all(0 <= r["s"] <= 1 for r in got)
     pairs = [(r["s"], truth[r["doc_id"]]) for r in got if r["held"] and r["doc_id"] in truth]
@@ -46,10 +47,47 @@ def test_toxicity_on_held_out_documents(spark, prose):
 def test_only_near_copies_count_once():
     r = random.Random(5)
     common, words = [b"c%d" % i for i in range(30)], [b"w%d" % i for i in range(4_000)]
-    docs = [common[: r.randrange(10, 31)] + r.sample(words, 90) for _ in range(600)]
-    copies = [[*ws[:-4], b"x%d" % i] for i, ws in enumerate(docs[:50])]
+    docs = [b" ".join(common[: r.randrange(10, 31)] + r.sample(words, 90)) for _ in range(600)]
+    copies = [b" ".join([*d.split(b" ")[:-4], b"x%d" % i]) for i, d in enumerate(docs[:50])]
     assert toxicity.without_copies(docs + copies + docs[50:60]) == docs
-    assert toxicity.without_copies([[], [b"a"], []]) in ([[b"a"]], [[], [b"a"]])
+    assert toxicity.without_copies([b"", b"a", b""]) == [b"", b"a"]
+
+
+def test_distance_is_that_of_the_dictionaries(prose):
+    """Against zstandard used plainly: every window of a text compressed with each dictionary of each pair."""
+    import zstandard as zs
+
+    toxic = [b" ".join(toxicity.window_words(insult(prose(i, 120), random.Random(i)))) for i in range(80)]
+    ordinary = [b" ".join(toxicity.window_words(prose(1000 + i, 120))) for i in range(160)]
+    model = toxicity.fit(toxic, ordinary, 80, 160)
+    model.start()
+    text = insult(prose(77, 200), random.Random(4))
+    ws = toxicity.window_words(text)
+
+    def size(content, x):
+        d = zs.ZstdCompressionDict(content, dict_type=zs.DICT_TYPE_RAWCONTENT)
+        p = zs.ZstdCompressionParameters(
+            format=zs.FORMAT_ZSTD1_MAGICLESS, write_content_size=0, write_checksum=0, write_dict_id=0, window_log=17, hash_log=16, chain_log=16, search_log=8, min_match=3, target_length=64, strategy=zs.STRATEGY_BTOPT
+        )
+        return len(zs.ZstdCompressor(dict_data=d, compression_params=p).compress(x))
+
+    want = np.zeros(toxicity.DISTANCES)
+    for k in range(0, len(ws), toxicity.WINDOW_WORDS):
+        x = toxicity.HEAD + b"".join(toxicity.MARK + w + b" " for w in ws[k : k + toxicity.WINDOW_WORDS]) + toxicity.TAIL
+        sums = np.cumsum([size(o, x) - size(t, x) for o, t in model.pairs])
+        want[min(max(sums[-1], 0), toxicity.DISTANCES - 1) if sums[0] > 0 else 0] += 1
+    assert (model.distances(ws) == want).all()
+    p = 1 / (1 + np.exp(-np.clip(model.slope * (want @ model.weight) + model.offset, -30, 30)))
+    assert np.isclose(model.score([text])[0], p)
+
+
+def test_repeats_long_texts_and_clashing_names(spark, odd_docs):
+    labels = spark.createDataFrame([(1, 1), (4, 0), (5, 1), (9, 0)], "doc_id long, y int")
+    model = toxicity.train(odd_docs, labels, "y", F.lit(True), sample_bytes=10_000_000)
+    got = odd_docs.withColumn("s", toxicity.scorer(spark, model)("text")).collect()
+    assert len(got) == odd_docs.count() and len({r["s"] for r in got if r["doc_id"] == 5}) == 1 and all(0 <= r["s"] <= 1 for r in got)
+    assert len({r["s"] for r in got if not (r["text"] or "").strip()}) == 1
+    assert toxicity.train(odd_docs, labels, "y", F.lit(True), sample_bytes=0).constant == 0.5
 
 
 def test_toxicity_without_labels(spark, prose):
