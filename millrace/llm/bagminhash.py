@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import cut, words
+from millrace.llm.common import cut, free_names, words
 from millrace.llm.graph import components
 
 SHINGLE = 5
@@ -144,7 +144,7 @@ def band_hashes(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 
 def prints(docs: DataFrame, text: str, doc_id: str, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """id, digest, n (shingles), bands of every row."""
+    """id, h (hash of the text as it is), digest, n (shingles), bands of every row."""
     kind = dict(docs.dtypes)[doc_id]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -152,9 +152,9 @@ def prints(docs: DataFrame, text: str, doc_id: str, bands: int = BANDS, rows: in
             lists = [words(t) for t in batch["t"]]
             bags = [shingles(ws) for ws in lists]
             hashed = band_hashes(signatures(bags, bands * rows), bands, rows) if bags else []
-            yield pd.DataFrame({"id": batch["id"], "digest": [digest(ws) for ws in lists], "n": [int(c.sum()) for _, c in bags], "bands": list(hashed)})
+            yield pd.DataFrame({"id": batch["id"], "h": batch["h"], "digest": [digest(ws) for ws in lists], "n": [int(c.sum()) for _, c in bags], "bands": list(hashed)})
 
-    return docs.select(F.col(doc_id).alias("id"), F.col(text).alias("t")).mapInPandas(run, f"id {kind}, digest binary, n long, bands array<long>")
+    return docs.select(F.col(doc_id).alias("id"), F.xxhash64(text).alias("h"), F.col(text).alias("t")).mapInPandas(run, f"id {kind}, h long, digest binary, n long, bands array<long>")
 
 
 def forest(bags: list[tuple[np.ndarray, np.ndarray]], threshold: float) -> list[tuple[int, int]]:
@@ -184,16 +184,17 @@ def forest(bags: list[tuple[np.ndarray, np.ndarray]], threshold: float) -> list[
 
 
 def links(members: DataFrame, docs: DataFrame, text: str, doc_id: str, threshold: float, block: int) -> DataFrame:
-    """a, b: a spanning forest of the verified links between members (cluster, node, id, digest, n) of the same cluster."""
+    """a, b: a spanning forest of the verified links between members (cluster, node, id, h, digest, n) of the same cluster."""
     sizes = members.groupBy("cluster").agg(F.ceil(F.sum("n") / block).cast("int").alias("blocks"))
     tasks = (
         members.join(sizes, "cluster")
         .withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("cluster", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "id", "digest")
+        .select("cluster", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "id", "h", "digest")
     )
-    texts = docs.select(F.col(doc_id).alias("id2"), F.col(text).alias("t"))
-    rows = tasks.join(texts, F.col("id").eqNullSafe(F.col("id2"))).select("cluster", "i", "j", "node", "digest", "t")
+    # The text's hash beside the id: rows without an id, or with the same one, don't all meet each other.
+    texts = docs.select(F.col(doc_id).alias("id2"), F.xxhash64(text).alias("h2"), F.col(text).alias("t"))
+    rows = tasks.join(texts, (F.col("h") == F.col("h2")) & F.col("id").eqNullSafe(F.col("id2"))).select("cluster", "i", "j", "node", "digest", "t")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -226,7 +227,8 @@ def classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", thresho
     """doc_id, digest, class_id and class_digest (of the row that stands for the class) of every row."""
     every = cut(prints(docs, text, doc_id))
     nodes = cut(
-        every.groupBy("digest").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("bands").alias("bands")).withColumn("node", F.monotonically_increasing_id())
+        every.groupBy("digest").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "h")).alias("one"), F.first("n").alias("n"), F.first("bands").alias("bands"))
+        .select("digest", "one.id", "one.h", "n", "bands").withColumn("node", F.monotonically_increasing_id())
     )
     dealt = nodes.select("node", F.explode("bands").alias("bucket"))
     full = dealt.groupBy("bucket").agg(F.min("node").alias("least"), F.count("*").alias("c")).where("c > 1").select("bucket", "least")
@@ -243,11 +245,12 @@ def classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", thresho
 def keep_one(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", threshold: float = THRESHOLD) -> DataFrame:
     """The rows that stand for their classes, with all their columns."""
     kept = classes(docs, text, doc_id, threshold).where(F.col("digest") == F.col("class_digest")).where(F.col(doc_id).eqNullSafe(F.col("class_id")))
-    kept = kept.select(F.col(doc_id).alias("__id"), F.col("digest").alias("__kept")).distinct()
+    own_digest, id_, digest_ = free_names(docs, 3)
+    kept = kept.select(F.col(doc_id).alias(id_), F.col("digest").alias(digest_)).distinct()
 
     @F.pandas_udf("binary")
     def named(texts: pd.Series) -> pd.Series:
         return pd.Series([digest(words(t)) for t in texts], dtype=object)
 
-    own = docs.withColumn("__digest", named(F.col(text)))
-    return own.join(kept, (F.col("__digest") == F.col("__kept")) & F.col(doc_id).eqNullSafe(F.col("__id"))).dropDuplicates(["__digest"]).select(*docs.columns)
+    own = docs.withColumn(own_digest, named(F.col(text)))
+    return own.join(kept, (F.col(own_digest) == F.col(digest_)) & F.col(doc_id).eqNullSafe(F.col(id_))).dropDuplicates([own_digest]).select(*docs.columns)

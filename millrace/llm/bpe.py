@@ -100,16 +100,24 @@ def encode(
             tail.append([b - len(c) for b in found if b >= len(c)] if e else [])
         return pd.DataFrame({"head": head, "tail": tail})
 
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """A row for each chunk, each text walked through once."""
+        for batch in batches:
+            for row in batch.to_dict("records"):
+                t = row.pop("t")
+                starts = range(0, len(t), chunk)
+                for k in range(0, len(starts), 64):
+                    some = starts[k : k + 64]
+                    made = pd.DataFrame({"number": range(k, k + len(some)), "core": [t[x : x + chunk] for x in some], "extra": [t[x + chunk : x + chunk + overlap] for x in some]})
+                    for c, v in row.items():
+                        made[c] = pd.Series([v] * len(made), dtype=batch[c].dtype)
+                    yield made[[*row, "number", "core", "extra"]]
+
+    kinds = dict(df.dtypes)
+    own = "".join(f"k{i} {kinds[c]}, " for i, c in enumerate(keep))
     in_row = Window.partitionBy("row").orderBy("number")
-    chunks = (
-        rows.where(size > chunk)
-        .withColumn("row", F.monotonically_increasing_id())
-        .withColumn("number", F.explode(F.sequence(F.lit(0), F.floor((size - 1) / chunk).cast("int"))))
-        .withColumn("core", F.expr(f"substring(t, number * {chunk} + 1, {chunk})"))
-        .withColumn("extra", F.expr(f"substring(t, (number + 1) * {chunk} + 1, {overlap})"))
-        .drop("t")
-        .withColumn("seen", seen("core", "extra", "number"))
-    )
+    long = rows.where(size > chunk).select(*[f"k{i}" for i in range(len(keep))], F.monotonically_increasing_id().alias("row"), "t")
+    chunks = long.mapInPandas(cut, f"{own}row long, number int, core string, extra string").withColumn("seen", seen("core", "extra", "number"))
     # The first boundary that a chunk shares with the one before; once a chunk has none, what follows stays with the last that had one.
     synced = chunks.withColumn("sync", F.array_min(F.array_intersect(F.lag("seen.tail").over(in_row), "seen.head")))
     good = F.min(F.when((F.col("number") == 0) | F.col("sync").isNotNull(), 1).otherwise(0)).over(in_row)

@@ -5,8 +5,8 @@ but not none, is one window. Every document is scanned once against a set of
 window hashes that is broadcast; hits are verified word by word. The set's size
 is known before it is sent: items are dealt into blocks of at most
 ``block_windows`` windows, so what is broadcast at a time never grows with the
-benchmark; with more than one block, documents are scanned a block at a time and
-the hit intervals merged.
+benchmark; with more than one block, documents are scanned a block at a time, only
+hits are kept, by digest of the text, and the hit intervals merged.
 
 Defined results: a null or empty text has no words and is clean; an item without
 words has no window; a null item id counts as ''; repeated items count once for
@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import cut, words
+from millrace.llm.common import stored, words
 
 N = 13
 BLOCK_WINDOWS = 2_000_000
@@ -96,15 +96,20 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def _blocks(benchmark: DataFrame, item_id: str, text: str, n: int, block_windows: int) -> Iterator[list[tuple[str, list[bytes]]]]:
-    """Items by blocks of a bounded number of windows, read through an iterator: the driver holds the words of a block at a time."""
+    """Items by blocks of a bounded number of windows, read through an iterator: the driver holds the words of a block at a time.
+
+    An item of more windows than a block is dealt over several blocks.
+    """
     block, size = [], 0
     for name, t in benchmark.select(F.coalesce(F.col(item_id).cast("string"), F.lit("")), F.col(text)).toLocalIterator():
         ws = words(t)
-        if block and size + len(ws) > block_windows:
-            yield block
-            block, size = [], 0
-        block.append((name, ws))
-        size += len(ws)
+        for start in range(0, max(len(ws) - n + 1, 1), block_windows):
+            part = ws[start : start + block_windows + n - 1]
+            if block and size + len(part) > block_windows:
+                yield block
+                block, size = [], 0
+            block.append((name, part))
+            size += len(part)
     yield block
 
 
@@ -119,23 +124,32 @@ def scan(
     """
     spark = docs.sparkSession
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
-    kept = [F.col(c).alias(f"__k{i}") for i, c in enumerate(keep)]
-    own = ", ".join(f"__k{i} {kinds[c]}" for i, c in enumerate(keep))
-    found = docs.select(*kept, F.col(text).alias("__text"), F.array().cast("array<int>").alias("__spans"), F.array().cast("array<string>").alias("__names"))
-    schema = ", ".join(x for x in (own, "__text string, __spans array<int>, __names array<string>") if x)
+    own = ", ".join(f"k{i} {kinds[c]}" for i, c in enumerate(keep))
+    rows = docs.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keep)], F.col(text).alias("t"))
+    schema = ", ".join(x for x in (own, "t string, spans array<int>, names array<string>") if x)
     blocks = _blocks(benchmark, item_id, item_text, n, block_windows)
     block, following = next(blocks), next(blocks, None)
-    while block is not None:
-        found = found.mapInPandas(_extend(spark.sparkContext.broadcast(Windows(block, n))), schema)
-        if following is not None:  # one block is in memory at a time
-            found = cut(found)
-        block, following = following, next(blocks, None)
+    if following is None:
+        found = rows.mapInPandas(_hits(spark.sparkContext.broadcast(Windows(block, n))), schema)
+    else:
+        # Hits depend on the text alone: those of each block are kept by the text's digest, and no text is written or shuffled twice.
+        digest = F.sha2(F.coalesce("t", F.lit("")), 256)
+        texts, hits = rows.select(digest.alias("d"), "t"), None
+        while block is not None:
+            one = texts.mapInPandas(_hits(spark.sparkContext.broadcast(Windows(block, n)), hit_only=True), "d string, spans array<int>, names array<string>")
+            one = stored(one.dropDuplicates(["d"]))
+            hits = one if hits is None else hits.unionByName(one)
+            block, following = following, next(blocks, None)
+        merged_hits = hits.groupBy("d").agg(F.flatten(F.collect_list("spans")).alias("spans"), F.flatten(F.collect_list("names")).alias("names"))
+        none = lambda kind: F.array().cast(f"array<{kind}>")
+        joined = rows.withColumn("d", digest).join(merged_hits, "d", "left")
+        found = joined.withColumn("spans", F.coalesce("spans", none("int"))).withColumn("names", F.coalesce("names", none("string"))).select(*rows.columns, "spans", "names")
     out = "n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean" + (", clean string" if action == "spans" else "")
 
     def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             got = []
-            for t, flat, names in zip(batch["__text"], batch["__spans"], batch["__names"]):
+            for t, flat, names in zip(batch["t"], batch["spans"], batch["names"]):
                 n_words, spans = len(words(t)), merged(list(zip(flat[::2].tolist(), flat[1::2].tolist())))
                 hit = sum(b - a for a, b in spans)
                 bad = hit > 0 and hit >= min_share * n_words
@@ -144,27 +158,26 @@ def scan(
                     row.append(without(t, spans) if bad else t)
                 got.append(row)
             made = pd.DataFrame(got, columns=[x.split()[0] for x in out.split(", ")])
-            yield pd.concat([batch.drop(columns=["__text", "__spans", "__names"]).reset_index(drop=True), made], axis=1)
+            yield pd.concat([batch.drop(columns=["t", "spans", "names"]).reset_index(drop=True), made], axis=1)
 
-    found = found.mapInPandas(judge, ", ".join(x for x in (own, out) if x))
-    for i, c in enumerate(keep):
-        found = found.withColumnRenamed(f"__k{i}", c)
-    return found
+    judged = found.mapInPandas(judge, ", ".join(x for x in (own, out) if x))
+    return judged.toDF(*keep, *judged.columns[len(keep) :])
 
 
-def _extend(windows):
-    """Adds the hits of one block of items to what other blocks have found."""
+def _hits(windows, hit_only: bool = False):
+    """Adds the hits of one block of items to texts; with ``hit_only``, of texts that have any, without the text."""
 
-    def extend(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             spans, names = [], []
-            for t, old, who in zip(batch["__text"], batch["__spans"], batch["__names"]):
+            for t in batch["t"]:
                 new, items = windows.value.scan(words(t))
-                spans.append([*old, *(x for span in new for x in span)])
-                names.append([*who, *(windows.value.names[i] for i in items)])
-            yield batch.assign(__spans=spans, __names=names)
+                spans.append([x for span in new for x in span])
+                names.append([windows.value.names[i] for i in sorted(items)])
+            made = batch.assign(spans=spans, names=names)
+            yield made[[len(s) > 0 for s in spans]].drop(columns="t") if hit_only else made
 
-    return extend
+    return run
 
 
 def without(text: str, spans: list[tuple[int, int]]) -> str:

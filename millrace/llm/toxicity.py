@@ -50,7 +50,7 @@ DISTANCES = 60
 CLEAR, SEEN = 1.0, 3
 #: Word sets at least so alike are near copies; they are found by so many bands of so many minima.
 ALIKE, BANDS, ROWS = 0.8, 20, 5
-_CACHE_WINDOWS = 400_000
+_CACHE_WINDOWS = 60_000
 _EDGE = b"\"'([{<*_-.,;:!?)]}>"
 
 
@@ -98,6 +98,7 @@ class Model:
         """Compressors are made where they are used."""
         self._pairs = [(_compressor(o).compress, _compressor(t).compress) for o, t in self.pairs]
         self._known: dict[bytes, int] = {}
+        self._older: dict[bytes, int] = {}
 
     def __getstate__(self) -> dict:
         return {k: v for k, v in self.__dict__.items() if k[0] != "_"}
@@ -112,14 +113,15 @@ class Model:
 
     def distances(self, ws: list[bytes]) -> np.ndarray:
         """How many windows have each distance."""
-        known, out = self._known, []
-        if len(known) > _CACHE_WINDOWS:
-            known.clear()
+        if len(self._known) > _CACHE_WINDOWS:  # windows not seen since the last time are forgotten
+            self._known, self._older = {}, self._known
+        known, older, out = self._known, self._older, []
         for k in range(0, len(ws), WINDOW_WORDS):
             window = ws[k] if WINDOW_WORDS == 1 else b" ".join(ws[k : k + WINDOW_WORDS])
             d = known.get(window)
             if d is None:
-                known[window] = d = self.distance(_marked(ws[k : k + WINDOW_WORDS]))
+                d = older.get(window)
+                known[window] = d = self.distance(_marked(ws[k : k + WINDOW_WORDS])) if d is None else d
             out.append(d)
         return np.bincount(out, minlength=DISTANCES).astype(float)
 
@@ -180,7 +182,7 @@ def fit(toxic: list[bytes], ordinary: list[bytes], n_toxic: float, n_ordinary: f
     model.start()
     seen = [np.stack([model.distances([w for w in d.split(b" ") if w]) for d in docs]) for docs in check]
     c1, c0 = (s.sum(axis=0) for s in seen)
-    q = c0.sum() / max(c1.sum(), 1)
+    q = max(c0.sum(), 1) / max(c1.sum(), 1)
     c1, c0 = rising(c1, c0)
     ratio = np.log((c1 + 0.5) * q / (c0 + 0.5 * q + 0.5))
     use = (ratio > CLEAR) & (c1 >= SEEN)

@@ -82,3 +82,31 @@ def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, k) for k in range(101, 120)] + [(7, 7), (300, 299), (299, 300)]
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(41)}, **{i: 100 for i in range(100, 120)}, 299: 299, 300: 299}
+
+
+def test_rows_without_ids_and_columns_of_its_own_names(spark, prose):
+    base = prose(5, 200)
+    rows = [(None, base), (None, base + " end"), (None, prose(6, 50)), (None, base), (7, prose(8, 30)), (7, prose(9, 30))]
+    df = spark.createDataFrame([(i, t, k, "x", "y", "z") for k, (i, t) in enumerate(rows)], "doc_id long, text string, h long, __0 string, __id string, __digest string")
+    kept = b.keep_one(df)
+    assert kept.columns == df.columns and sorted(r["text"] for r in kept.collect()) in (sorted([base, prose(6, 50), prose(8, 30), prose(9, 30)]), sorted([base + " end", prose(6, 50), prose(8, 30), prose(9, 30)]))
+
+
+def test_recall_of_near_copies(spark, prose):
+    """Pairs at 0.8 or more, just above it too: at least nine in ten share a bucket, and with that a class."""
+    r = random.Random(3)
+    pairs = []
+    for k in range(300):
+        a = prose(3_000 + k, 150)
+        pairs.append((a, edited(a, r.choice([1, 2, 3]), r)))
+    docs = [(2 * k + j, t) for k, p in enumerate(pairs) for j, t in enumerate(p)]
+    got = {x["doc_id"]: x["class_id"] for x in b.classes(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    found = total = 0
+    for k, (x, y) in enumerate(pairs):
+        root = brute([(0, x), (1, y)])
+        if root[1] == 0:
+            total += 1
+            found += got[2 * k] == got[2 * k + 1]
+        else:
+            assert got[2 * k] != got[2 * k + 1]
+    assert total > 100 and found >= 0.99 * total

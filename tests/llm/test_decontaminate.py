@@ -66,3 +66,14 @@ def test_empty_tables(spark, prose):
     bench = spark.createDataFrame([(1, "a b")], "item_id long, text string")
     assert decontaminate.scan(docs.where("false"), bench).count() == 0
     assert decontaminate.scan(docs, bench.where("false")).first()["n_items"] == 0
+
+
+def test_a_long_item_over_many_blocks_and_columns_named_like_results(spark, prose):
+    items = [(1, prose(100, 400)), (2, prose(101, 14))]
+    a = prose(100, 400).split(" ")
+    docs = [(i, prose(i, 30) + " " + " ".join(a[i * 17 : i * 17 + 12 + i % 4])) for i in range(20)] + [(50, " ".join(a)), (51, None), (50, " ".join(a))]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    df = spark.createDataFrame([(i, t, "x", "y", 5) for i, t in docs], "doc_id long, text string, d string, k1 string, t int")
+    for size in (10_000, 25):
+        got = sorted((tuple(r)[:1] + tuple(r)[4:] for r in decontaminate.scan(df, bench, keep=("doc_id", "k1", "d", "t"), block_windows=size).collect()), key=repr)
+        assert got == brute(docs, items)

@@ -6,6 +6,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 
 pytest.importorskip("corpus_pipeline")
 
@@ -75,3 +76,19 @@ def test_run(spark, tables):
     out = corpus_pipeline.run(spark, tables[0]).collect()
     ids = [r["doc_id"] for r in out]
     assert len(ids) == len(set(ids)) and 3000 not in ids and 3001 not in ids
+
+
+def test_stages_on_odd_tables(spark, tables, odd_docs, no_docs):
+    """Nulls, repeats, clashing columns, an empty table, null texts throughout: defined rows, all columns kept."""
+    folder, _ = tables
+    clash = odd_docs.withColumnRenamed("id", "__id").withColumnRenamed("row", "__0").withColumnRenamed("k0", "c1").withColumnRenamed("words", "__text").withColumn("__score", F.lit(1)).withColumn("contaminated", F.lit("x")).withColumn("n_hit", F.lit(2))
+    nulls = clash.withColumn("text", F.lit(None).cast("string"))
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, clash, folder)
+        assert out.columns == clash.columns and 6 <= out.count() <= clash.count()
+        bare = stage(spark, nulls, folder)
+        assert bare.columns == clash.columns and {r["text"] for r in bare.collect()} == {None}
+        empty = stage(spark, clash.where("false"), folder)
+        assert empty.columns == clash.columns and empty.count() == 0
+    assert corpus_pipeline.STAGES[-1][1](spark, nulls, folder).where("n_tokens > 0").count() == 0
+    assert corpus_pipeline.STAGES[-1][1](spark, no_docs, folder).count() == 0
