@@ -100,31 +100,88 @@ def _unfilter(filters: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
     return rows.astype(np.uint8)
 
 
-def encode(pixels: np.ndarray) -> bytes:
-    """PNG without a row predictor; lossless, and the same bytes everywhere."""
+def encode(pixels: np.ndarray, kind: str = "png") -> bytes:
+    """PNG without a row predictor (lossless, and the same bytes everywhere), or JPEG where Pillow can be imported."""
+    if kind == "jpeg":
+        if not _pillow:
+            raise Undecodable("JPEG is written with Pillow only")
+        import io
+
+        out = io.BytesIO()
+        _pillow.fromarray(np.ascontiguousarray(pixels, np.uint8)).save(out, "JPEG")
+        return out.getvalue()
     h, w, _ = pixels.shape
     chunk = lambda name, body: struct.pack(">I", len(body)) + name + body + struct.pack(">I", zlib.crc32(name + body))
     raw = b"".join(b"\0" + row.tobytes() for row in np.ascontiguousarray(pixels, np.uint8))
     return _PNG + chunk(b"IHDR", struct.pack(">IIBBBBB", w, h, 8, 2, 0, 0, 0)) + chunk(b"IDAT", zlib.compress(raw)) + chunk(b"IEND", b"")
 
 
-def resize(pixels: np.ndarray, w: int, h: int) -> np.ndarray:
-    """Bilinear."""
-    y, x = ((np.arange(n) + 0.5) * old / n - 0.5 for n, old in ((h, pixels.shape[0]), (w, pixels.shape[1])))
-    y, x = np.clip(y, 0, pixels.shape[0] - 1), np.clip(x, 0, pixels.shape[1] - 1)
-    y0, x0 = np.floor(y).astype(int), np.floor(x).astype(int)
-    y1, x1 = np.minimum(y0 + 1, pixels.shape[0] - 1), np.minimum(x0 + 1, pixels.shape[1] - 1)
-    fy, fx = (y - y0)[:, None, None], (x - x0)[None, :, None]
-    p = pixels.astype(float)
-    top, low = p[y0][:, x0] * (1 - fx) + p[y0][:, x1] * fx, p[y1][:, x0] * (1 - fx) + p[y1][:, x1] * fx
-    return np.rint(top * (1 - fy) + low * fy).astype(np.uint8)
+def _triangle(x: np.ndarray) -> np.ndarray:
+    return np.maximum(1 - np.abs(x), 0)
+
+
+def _cubic(x: np.ndarray) -> np.ndarray:
+    """Keys' kernel with a = -1/2."""
+    x = np.abs(x)
+    return np.where(x < 1, (1.5 * x - 2.5) * x * x + 1, np.where(x < 2, ((-0.5 * x + 2.5) * x - 4) * x + 2, 0))
+
+
+def _weights(old: int, new: int, kernel) -> np.ndarray:
+    """new x old: the share of each old pixel in each new one; the kernel is as wide as what shrinks into a pixel."""
+    scale = old / new
+    wide = max(scale, 1.0)
+    centre = (np.arange(new) + 0.5) * scale
+    w = kernel((np.arange(old)[None, :] + 0.5 - centre[:, None]) / wide)
+    return w / w.sum(axis=1, keepdims=True)
+
 
+def resize(pixels: np.ndarray, w: int, h: int, kind: str = "bilinear") -> np.ndarray:
+    """Bilinear or bicubic; what shrinks is averaged over."""
+    kernel = {"bilinear": _triangle, "bicubic": _cubic}[kind]
+    rows = np.tensordot(_weights(pixels.shape[0], h, kernel), pixels.astype(float), axes=(1, 0))
+    out = np.tensordot(_weights(pixels.shape[1], w, kernel), rows, axes=(1, 1)).transpose(1, 0, 2)
+    return np.clip(np.rint(out), 0, 255).astype(np.uint8)
+
+
+def crop(pixels: np.ndarray, box: tuple[int, int, int, int]) -> np.ndarray:
+    """The part between left, top, right and bottom; black where that lies outside."""
+    x0, y0, x1, y1 = box
+    out = np.zeros((max(y1 - y0, 0), max(x1 - x0, 0), pixels.shape[2]), np.uint8)
+    a, b, c, d = max(x0, 0), max(y0, 0), min(x1, pixels.shape[1]), min(y1, pixels.shape[0])
+    if a < c and b < d:
+        out[b - y0 : d - y0, a - x0 : c - x0] = pixels[b:d, a:c]
+    return out
+
+
+def centre_square(pixels: np.ndarray, size: int | None = None) -> np.ndarray:
+    """The largest square in the middle, bicubically resized if a size is given."""
+    h, w = pixels.shape[:2]
+    side = min(h, w)
+    out = crop(pixels, ((w - side) // 2, (h - side) // 2, (w + side) // 2, (h + side) // 2))
+    return out if size is None else resize(out, size, size, "bicubic")
+
+
+def rotate(pixels: np.ndarray, degrees: float) -> np.ndarray:
+    """Counter-clockwise, on a canvas as large as it takes; quarter turns keep every pixel, others take the nearest, black outside."""
+    if degrees % 90 == 0:
+        return np.rot90(pixels, int(degrees // 90))
+    h, w = pixels.shape[:2]
+    turn = np.deg2rad(degrees)
+    c, s = np.cos(turn), np.sin(turn)
+    wide, high = (int(np.ceil(abs(p * c) + abs(q * s) - 1e-9)) for p, q in ((w, h), (h, w)))
+    y, x = np.mgrid[0:high, 0:wide] + 0.5
+    x, y = x - wide / 2, y - high / 2
+    # Back to where each new pixel comes from; rows grow downwards.
+    old_x, old_y = np.floor(c * x - s * y + w / 2).astype(int), np.floor(s * x + c * y + h / 2).astype(int)
+    inside = (old_x >= 0) & (old_x < w) & (old_y >= 0) & (old_y < h)
+    out = np.zeros((high, wide, pixels.shape[2]), np.uint8)
+    out[inside] = pixels[old_y[inside], old_x[inside]]
+    return out
 
-def rotate(pixels: np.ndarray, degrees: int) -> np.ndarray:
-    """Counter-clockwise, in quarter turns."""
-    if degrees % 90:
-        raise ValueError("quarter turns only")
-    return np.rot90(pixels, degrees // 90)
+
+def array_base64(values: np.ndarray) -> str:
+    """The raw bytes of an array; its shape is the caller's."""
+    return base64.b64encode(np.ascontiguousarray(values).tobytes()).decode()
 
 
 def tiles(pixels: np.ndarray, size: int) -> list[np.ndarray]:
@@ -199,7 +256,7 @@ def turned(contents: pd.Series, degrees: pd.Series) -> pd.Series:
     out = []
     for s, d in zip(contents, degrees):
         try:
-            out.append(s if d == 0 else base64.b64encode(encode(rotate(decode(_bytes(s) or b""), int(d)))).decode())
+            out.append(s if d == 0 else base64.b64encode(encode(rotate(decode(_bytes(s) or b""), float(d)))).decode())
         except Undecodable:
             out.append(None)
     return pd.Series(out, dtype=object)
@@ -217,3 +274,69 @@ def cut_tiles(contents: pd.Series, w: pd.Series, h: pd.Series, size: pd.Series)
         except Undecodable:
             out.append(None)
     return pd.Series(out, dtype=object)
+
+
+def _text(pixels: np.ndarray) -> str:
+    return base64.b64encode(encode(pixels)).decode()
+
+
+@F.pandas_udf(T.StringType())
+def in_grid(contents: pd.Series, per_row: pd.Series) -> pd.Series:
+    """Arrays of base64 images as one grid each; null where one does not decode or there is none."""
+    out = []
+    for each, n in zip(contents, per_row):
+        try:
+            out.append(_text(grid([decode(_bytes(s) or b"") for s in each], int(n))) if each is not None and len(each) else None)
+        except Undecodable:
+            out.append(None)
+    return pd.Series(out, dtype=object)
+
+
+@F.pandas_udf(T.StringType())
+def boxed(contents: pd.Series, boxes: pd.Series) -> pd.Series:
+    """Images with the boxes (x0, y0, x1, y1: shares of the sides where none exceeds 1, else pixels) outlined in them."""
+    out = []
+    for s, each in zip(contents, boxes):
+        try:
+            p = decode(_bytes(s) or b"")
+            h, w = p.shape[:2]
+            for b in each if each is not None else ():
+                x0, y0, x1, y1 = (float(b[k]) for k in ("x0", "y0", "x1", "y1"))
+                by_w, by_h = (w, h) if max(x0, y0, x1, y1) <= 1 else (1, 1)
+                p = outlined(p, (int(x0 * by_w), int(y0 * by_h), int(x1 * by_w), int(y1 * by_h)))
+            out.append(_text(p))
+        except Undecodable:
+            out.append(None)
+    return pd.Series(out, dtype=object)
+
+
+@F.pandas_udf(T.StringType())
+def squared(contents: pd.Series, size: pd.Series) -> pd.Series:
+    """The middle square of each image, resized to a side (0: as it is)."""
+    out = []
+    for s, n in zip(contents, size):
+        try:
+            out.append(_text(centre_square(decode(_bytes(s) or b""), int(n) or None)))
+        except Undecodable:
+            out.append(None)
+    return pd.Series(out, dtype=object)
+
+
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def cut_windows(contents: pd.Series, sizes: pd.DataFrame, xs: pd.Series, ys: pd.Series, window: pd.Series, thumbnail: pd.Series) -> pd.Series:
+    """Windows of the image resized first to (w0, h0), where that isn't its own size, then to (w, h); row by row, the thumbnail last."""
+    out = []
+    for s, w0, h0, w, h, x, y, n, more in zip(contents, sizes["w0"], sizes["h0"], sizes["w"], sizes["h"], xs, ys, window, thumbnail):
+        try:
+            p = decode(_bytes(s) or b"")
+            if x is None or y is None:
+                out.append(None)
+                continue
+            if (int(w0), int(h0)) != (p.shape[1], p.shape[0]):
+                p = resize(p, int(w0), int(h0))
+            p, n = resize(p, int(w), int(h)), int(n)
+            parts = [crop(p, (int(a), int(b), int(a) + n, int(b) + n)) for b in y for a in x]
+            out.append([_text(q) for q in ([*parts, resize(p, n, n)] if more else parts)])
+        except Undecodable:
+            out.append(None)
+    return pd.Series(out, dtype=object)

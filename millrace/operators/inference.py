@@ -16,6 +16,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.functions import sequences
+from millrace.operators import relational
+
 Client = Callable[[str, list[str]], str]
 
 
@@ -79,3 +82,60 @@ def distilled(df: DataFrame, open_client: Callable[[], Client], key: str = "id",
     told = ask(asked, open_client, images="images", retry=retry).where("answer is not null")
     turns = F.array(F.struct(F.lit("user").alias("role"), F.col("prompt").alias("text")), F.struct(F.lit("assistant").alias("role"), fenced_block(F.col("answer")).alias("text")))
     return rotated(told.select(key, content, turns.alias("conversations")), key, content)
+
+
+def by_rank(samples: DataFrame, ranks: int, order: list[str], open_client: Callable[[], Client], model: str, retry: Retry | None = None) -> DataFrame:
+    """Samples (id, conversations with responses) of all files, in contiguous shares of rows by rank, every second turn answered under a model's name.
+
+    Ranks only name where a row goes (``write_by``); a sample with a failed call is left out.
+    """
+    placed = relational.positioned(samples, *order)
+    n = placed.agg(F.count("*").alias("n"))
+    ranked = placed.join(F.broadcast(n), F.lit(True)).withColumn("rank", relational.block_rank(F.col("pos"), F.col("n"), ranks)).drop("n")
+    return answered(ranked, open_client, model, retry)
+
+
+def by_file(samples: DataFrame, out_root: str, open_client: Callable[[], Client], model: str, start: int = 0, end: int | None = None, done: DataFrame | None = None, retry: Retry | None = None) -> DataFrame:
+    """Samples of the files with places [start, end) in name order, answered, with the output ``path`` of each; files already done are left out."""
+    files = samples.select("file").distinct()
+    if done is not None:
+        files = relational.remaining(files, done, "file", only_name=True)
+    files = relational.positioned(files, "file").where(F.col("pos") >= start)
+    files = files.where(F.col("pos") < end) if end is not None else files
+    path = F.concat(F.lit(out_root.rstrip("/") + "/"), F.element_at(F.split("file", "/"), -1))
+    return answered(samples.join(files.select("file"), "file").withColumn("path", path), open_client, model, retry)
+
+
+def answered(samples: DataFrame, open_client: Callable[[], Client], model: str, retry: Retry | None = None) -> DataFrame:
+    """Samples with the answers to turns 0, 2, ... stored under a model's name in the turns after them; one with a failed call is left out.
+
+    The images of a sample go with each of its prompts. Calls of one sample are made by one task, one after the other.
+    """
+    policy = retry or Retry()
+    shown = F.transform(F.coalesce("images", F.array()), lambda x: x["content"]) if "images" in samples.columns else F.array().cast("array<string>")
+    prompts = F.transform(F.filter("conversations", lambda t, i: i % 2 == 0), lambda t: t["text"])
+    asked = samples.withColumn("__prompts", F.slice(prompts, F.lit(1), F.floor(F.size("conversations") / 2).cast("int"))).withColumn("__shown", shown)
+
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        client = open_client()
+        for ps, images in batches:
+            out = []
+            for p, x in zip(ps, images):
+                answers = []
+                for prompt in p if p is not None else ():
+                    answer = policy.call(client, prompt, list(x) if x is not None else [])
+                    if answer is None:
+                        break
+                    answers.append(answer)
+                out.append(answers if p is not None and len(answers) == len(p) else None)
+            yield pd.Series(out, dtype=object)
+
+    run.__annotations__ = {"batches": Iterator[tuple[pd.Series, pd.Series]], "return": Iterator[pd.Series]}
+    told = asked.withColumn("__answers", F.pandas_udf(run, "array<string>")("__prompts", "__shown")).where("__answers is not null")
+    turns = sequences.answered(F.col("conversations"), F.col("__answers"), model)
+    return told.withColumn("conversations", turns).drop("__prompts", "__shown", "__answers")
+
+
+def write_by(df: DataFrame, path: str, by: str = "rank") -> None:
+    """JSON lines in a folder for each rank or path; a share without rows writes nothing."""
+    df.write.mode("overwrite").partitionBy(by).option("ignoreNullFields", "false").json(path)

@@ -6,9 +6,15 @@ differ from Python's round on ties that binary cannot hold.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import json
+from collections.abc import Callable
+from dataclasses import dataclass
+from decimal import ROUND_HALF_EVEN, Decimal
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+LONG = "benchmark string, row int, split string, metric string, value double"
 RULES = "benchmark string, pick string, metrics array<string>, how string"
 
 
@@ -26,14 +32,94 @@ def filtered(report: DataFrame, column: str, value: str, metric: str, scale: flo
     return report.where(F.col(column) == value).select((F.col(metric) * scale).alias("score"))
 
 
+@dataclass(frozen=True)
+class Report:
+    """Where a benchmark's numbers stand. kind: 'table' (CSV), 'indexed' (CSV, rows named by the first column) or 'json'.
+
+    pick: 'first', 'last', a row's number, or the name of a row (of the split, or of the index). metrics: columns, or dotted
+    places in JSON, where a number is a place in a list (-1: the last). how: 'mean' or 'sum'.
+    """
+
+    benchmark: str
+    file: str
+    kind: str = "table"
+    pick: str = "first"
+    metrics: tuple[str, ...] = ("Overall",)
+    how: str = "mean"
+    link: str | None = None
+
+
+def _number(value: object) -> float | None:
+    try:
+        return float(str(value).rstrip("%"))
+    except ValueError:
+        return None
+
+
+def _json_number(text: str, place: str) -> float | None:
+    here: object = json.loads(text)
+    for part in place.split("."):
+        if isinstance(here, list) and part.lstrip("-").isdigit():
+            here = here[int(part)] if -len(here) <= int(part) < len(here) else None
+        elif isinstance(here, dict):
+            here = here.get(part)
+        else:
+            return None
+    return _number(here)
+
+
+def read_reports(spark: SparkSession, root: str, name: Callable[[str], str], registry: list[Report]) -> DataFrame:
+    """(benchmark, row, split, metric, value) of every report of a registry that is there; ``name`` makes a file's name.
+
+    Reports are single small files, so the loop over the registry is the driver's. Files that aren't there are left out.
+    """
+    fs = lambda p: p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    out = None
+    for r in registry:
+        path = f"{root.rstrip('/')}/{name(r.file)}"
+        if r.link or not fs(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)):
+            continue
+        if r.kind == "json":
+            text = spark.read.text(path, wholetext=True).first()[0]
+            found = [(r.benchmark, 0, "", m, _json_number(text, m)) for m in r.metrics]
+            long = spark.createDataFrame([f for f in found if f[-1] is not None], LONG)
+        else:
+            table = spark.read.option("header", "true").option("multiLine", "true").option("escape", '"').csv(path).coalesce(1)
+            label = table.columns[0] if r.kind == "indexed" else next((c for c in table.columns if c.lower() == "split"), None)
+            rows = table.select(
+                F.lit(r.benchmark).alias("benchmark"), F.monotonically_increasing_id().cast("int").alias("row"), (F.col(f"`{label}`") if label else F.lit("")).alias("split"),
+                F.inline(F.array(*[F.struct(F.lit(m).alias("metric"), F.regexp_replace(F.col(f"`{m}`"), "%$", "").try_cast("double").alias("value")) for m in r.metrics])),
+            )
+            long = rows.where("value is not null")
+        out = long if out is None else out.unionByName(long)
+    return out if out is not None else spark.createDataFrame([], LONG)
+
+
+def rule_table(spark: SparkSession, registry: list[Report]) -> DataFrame:
+    return spark.createDataFrame([(r.benchmark, r.pick, list(r.metrics), r.how) for r in registry if not r.link], RULES)
+
+
+def suite_report(spark: SparkSession, root: str, name: Callable[[str], str], registry: list[Report], title: str = "") -> str:
+    """'name: score' lines in registry order under a title, the mean of all scores last; what has no file is left out."""
+    got = {r["benchmark"]: r["score"] for r in scores(read_reports(spark, root, name, registry), rule_table(spark, registry)).collect()}
+    lines = [f"{r.benchmark}: {r.link or got[r.benchmark]}" for r in registry if r.link or r.benchmark in got]
+    # As ``one_decimal`` rounds.
+    mean = [f"Average: {Decimal(repr(sum(got.values()) / len(got))).quantize(Decimal('0.1'), ROUND_HALF_EVEN)}"] if got else []
+    return "\n".join([title, "", *lines, *mean]).strip() if title else "\n".join([*lines, *mean])
+
+
 def scores(long: DataFrame, rules: DataFrame) -> DataFrame:
-    """(benchmark, score) by rule: the first or last row, or the row whose split is 'validation'; the mean or sum of the named metrics.
+    """(benchmark, score) by rule: the first or last row, the row of a number, or that of a split; the mean or sum of the named metrics.
 
     long: (benchmark, row, split, metric, value). Benchmarks without a report are left out.
     """
     w = Window.partitionBy("benchmark")
     rows = long.join(F.broadcast(rules), "benchmark").withColumn("last", F.max("row").over(w))
-    wanted = F.when(F.col("pick") == "first", F.col("row") == 0).when(F.col("pick") == "last", F.col("row") == F.col("last")).otherwise(F.col("split") == F.col("pick"))
+    numbered = F.col("pick").rlike("^[0-9]+$")
+    wanted = (
+        F.when(F.col("pick") == "first", F.col("row") == 0).when(F.col("pick") == "last", F.col("row") == F.col("last"))
+        .when(numbered, F.col("row") == F.col("pick").try_cast("int")).otherwise(F.col("split") == F.col("pick"))
+    )
     used = rows.where(wanted & F.array_contains("metrics", F.col("metric")))
     value = F.when(F.first("how") == "sum", F.sum("value")).otherwise(F.avg("value"))
     return used.groupBy("benchmark").agg(as_percent(value).alias("score"))
