@@ -42,7 +42,7 @@ from millrace.llm.common import free_names, stored
 THRESHOLD = 0.8
 CELLS = 1 << 18
 #: Bits of the map of the classes whose text is read again.
-BITS = 1 << 23
+BITS = 1 << 20
 #: Words of 64 bits of the wider parity bitmap, a power of two.
 WIDE = 8
 #: Classes with at least this share of all lines are looked up by a broadcast of at most 1 / HOT rows.
@@ -137,13 +137,12 @@ def _candidates(later: DataFrame, every: DataFrame, threshold: float) -> DataFra
 
 def _texts(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
     """sid, tokens of the classes in ``wanted`` (sid, u, u2)."""
-    words: dict[int, int] = {}
+    found = bytearray(BITS // 8)
     at = F.pmod("u", F.lit(BITS)).cast("int")
     for place, bits in wanted.groupBy((at / 64).cast("int").alias("place")).agg(F.bit_or(_shiftleft(F.lit(1).cast("long"), at.bitwiseAND(F.lit(63)))).alias("bits")).toLocalIterator():
-        words[place] = bits
-    map_ = b"".join(words.get(i, 0).to_bytes(8, "little", signed=True) for i in range(BITS // 64))
+        found[place * 8 : place * 8 + 8] = bits.to_bytes(8, "little", signed=True)
     cell = F.pmod("u", F.lit(BITS)).cast("int")
-    byte = F.ascii(F.substring(F.lit(map_), (cell / 8).cast("int") + 1, F.lit(1)).cast("string"))
+    byte = F.ascii(F.substring(F.lit(bytes(found)), (cell / 8).cast("int") + 1, F.lit(1)).cast("string"))
     marked = byte.bitwiseAND(_shiftleft(F.lit(1), cell.bitwiseAND(F.lit(7)))) != 0
     split = docs.select(F.explode(F.split(_plain(F.col(text)), "\n")).alias("s"))
     some = split.withColumn("u", F.xxhash64("s")).where(marked).select("s").distinct().select("s", *_named(F.col("s")))

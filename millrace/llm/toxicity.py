@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SAMPLE, SAMPLE_BYTES = 6_000, 24 << 20
+SAMPLE, SAMPLE_BYTES = 6_000, 8 << 20
 WINDOW_WORDS = 1
 #: Lengths of the segments that the training of each pair of dictionaries picks, and of the substrings it counts.
 SEGMENTS, SUBSTRING = (64, 40, 56, 72, 88), 8
