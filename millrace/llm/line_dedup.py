@@ -47,7 +47,7 @@ BITS = 1 << 20
 WIDE = 8
 #: Classes with at least this share of all lines are looked up by a broadcast of at most 1 / HOT rows.
 HOT = 1e-4
-_HASH_BITS, _KEY_BITS, _ID_BITS = 57, 40, 56
+_HASH_BITS, _KEY_BITS, _ID_BITS = 57, 40, 55
 _LEVELS = 60
 _OTHER_SPACE = "\t\r\x0b\f"
 
@@ -90,8 +90,11 @@ def _needed(a: Column, b: Column, threshold: float) -> Column:
     return F.ceil(F.lit(threshold / (1 + threshold)) * (a + b) - 1e-9)
 
 
-def _parity() -> Column:
-    return F.aggregate("keys", F.lit(0).cast("long"), lambda a, k: a.bitwiseXOR(_shiftleft(F.lit(1).cast("long"), k.bitwiseAND(F.lit(63)).cast("int"))))
+def _parity(half: int) -> Column:
+    """64 of 128 bits, each the parity of how many tokens fall there."""
+    signed = lambda i: (1 << i) - (1 << 64) * (i == 63)
+    ones = F.array(*[F.lit(signed(i & 63) if i >> 6 == half else 0).cast("long") for i in range(128)])
+    return F.aggregate("keys", F.lit(0).cast("long"), lambda a, k: a.bitwiseXOR(F.get(ones, k.bitwiseAND(F.lit(127)))))
 
 
 def _named(s: Column) -> list[Column]:
@@ -99,20 +102,25 @@ def _named(s: Column) -> list[Column]:
 
 
 def lines(docs: DataFrame, text: str, doc_id: str, threshold: float, known: bytes) -> DataFrame:
-    """id, line, u, u2 (the class), m (parity bitmap), n (tokens), prefix of all lines with tokens."""
+    """id, line, u, u2 (the class), m and m2 (parity bitmap), n (tokens), prefix of all lines with tokens."""
     each = F.transform(F.split(_plain(F.col(text)), "\n"), lambda s, i: F.struct(i.alias("line"), *_named(s), _keys(s, known).alias("keys")))
     rows = docs.select(F.col(doc_id).alias("id"), F.inline(each)).where(F.size("keys") > 0)
     n = F.size("keys")
     prefix = F.slice("keys", F.lit(1), (n - F.ceil(F.lit(threshold) * n - 1e-9) + 1).cast("int"))
     short = F.transform(prefix, lambda k: k.bitwiseAND(F.lit((1 << _KEY_BITS) - 1)))
-    return rows.select("id", "line", "u", "u2", _parity().alias("m"), n.alias("n"), short.alias("prefix"))
+    return rows.select("id", "line", "u", "u2", _parity(0).alias("m"), _parity(1).alias("m2"), n.alias("n"), short.alias("prefix"))
 
 
 def _posts(sets: DataFrame) -> DataFrame:
     """A row for each prefix token k of each class. code: twice the token's place, one more where the class need not be joined as the later one."""
     done = F.col("done").cast("int") if "done" in sets.columns else F.lit(0)
-    rows = sets.select("sid", "m", "n", F.col("first.id").alias("id"), F.col("first.line").alias("line"), done.alias("done"), F.posexplode("prefix").alias("pos", "k"))
-    return rows.select("sid", "m", "n", "id", "line", (2 * F.col("pos") + F.col("done")).alias("code"), "k")
+    rows = sets.select("sid", "m", "m2", "n", F.col("first.id").alias("id"), F.col("first.line").alias("line"), done.alias("done"), F.posexplode("prefix").alias("pos", "k"))
+    return rows.select("sid", "m", "m2", "n", "id", "line", (2 * F.col("pos") + F.col("done")).alias("code"), "k")
+
+
+def _bits(m: str, other: str) -> Column:
+    """In how many of 128 bits two parity bitmaps differ."""
+    return reduce(operator.add, (F.bit_count(F.col(f"{m}{half}").bitwiseXOR(F.col(f"{other}{half}"))) for half in ("", "2")))
 
 
 def _candidates(later: DataFrame, every: DataFrame, threshold: float) -> DataFrame:
@@ -122,7 +130,7 @@ def _candidates(later: DataFrame, every: DataFrame, threshold: float) -> DataFra
     """
     one, other = (posts.select(*[F.col(c).alias(f"{side}_{c}") for c in posts.columns]) for side, posts in (("a", later), ("b", every)))
     na, nb = F.col("a_n"), F.col("b_n")
-    need, bits = _needed(na, nb, threshold), F.bit_count(F.col("a_m").bitwiseXOR(F.col("b_m")))
+    need, bits = _needed(na, nb, threshold), _bits("a_m", "b_m")
     place = lambda side: F.shiftright(f"{side}_code", 1)
     near = (
         (F.col("a_k") == F.col("b_k"))
@@ -137,20 +145,22 @@ def _candidates(later: DataFrame, every: DataFrame, threshold: float) -> DataFra
 
 def _texts(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
     """sid, tokens of the classes in ``wanted`` (sid, u, u2)."""
-    found = bytearray(BITS // 8)
+    # Seven bits to a byte, so that every byte is a character whose code can be asked for.
+    found = bytearray(-(-BITS // 56) * 8)
     at = F.pmod("u", F.lit(BITS)).cast("int")
-    for place, bits in wanted.groupBy((at / 64).cast("int").alias("place")).agg(F.bit_or(_shiftleft(F.lit(1).cast("long"), at.bitwiseAND(F.lit(63)))).alias("bits")).toLocalIterator():
-        found[place * 8 : place * 8 + 8] = bits.to_bytes(8, "little", signed=True)
-    cell = F.pmod("u", F.lit(BITS)).cast("int")
-    byte = F.ascii(F.substring(F.lit(bytes(found)), (cell / 8).cast("int") + 1, F.lit(1)).cast("string"))
-    marked = byte.bitwiseAND(_shiftleft(F.lit(1), cell.bitwiseAND(F.lit(7)))) != 0
+    byte, bit = (at / 7).cast("int"), at % 7
+    packed = wanted.groupBy((byte / 8).cast("int").alias("place")).agg(F.bit_or(_shiftleft(F.lit(1).cast("long"), byte % 8 * 8 + bit)).alias("bits"))
+    for place, bits in packed.toLocalIterator():
+        found[place * 8 : place * 8 + 8] = bits.to_bytes(8, "little")
+    told = F.ascii(F.substring(F.lit(bytes(found)), byte + 1, F.lit(1)).cast("string"))
+    marked = told.bitwiseAND(_shiftleft(F.lit(1), bit)) != 0
     split = docs.select(F.explode(F.split(_plain(F.col(text)), "\n")).alias("s"))
     some = split.withColumn("u", F.xxhash64("s")).where(marked).select("s").distinct().select("s", *_named(F.col("s")))
-    told = some.join(wanted.select("sid", "u", "u2"), ["u", "u2"]).select("sid", F.array_distinct(F.array_remove(F.split("s", " "), "")).alias("tokens"))
+    rows = some.join(wanted.select("sid", "u", "u2"), ["u", "u2"]).select("sid", F.array_distinct(F.array_remove(F.split("s", " "), "")).alias("tokens"))
     one = lambda a, h: a.bitwiseXOR(_shiftleft(F.lit(1).cast("long"), h.bitwiseAND(F.lit(63)).cast("int")))
     word = lambda hs: lambda w: F.aggregate(F.filter(hs, lambda h: F.shiftright(h, 6).bitwiseAND(F.lit(WIDE - 1)) == w), F.lit(0).cast("long"), one)
     wide = F.transform(F.array(F.transform("tokens", lambda t: F.xxhash64(t))), lambda hs: F.transform(F.array(*map(F.lit, range(WIDE))), word(hs)))
-    return told.withColumn("wide", F.element_at(wide, 1))
+    return rows.withColumn("wide", F.element_at(wide, 1))
 
 
 def _close(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
@@ -173,12 +183,12 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame
 
 def _neighbours(sets: DataFrame, threshold: float) -> DataFrame:
     """sid, code: for each class the best of the classes just before it among those that share one of a few of its prefix tokens."""
-    few = F.array_distinct(F.transform(F.array(F.lit(1), F.lit(2), F.lit(3)), lambda i: F.get("prefix", F.floor(F.size("prefix") * i / 4).cast("int"))))
+    few = F.array_distinct(F.transform(F.array(*map(F.lit, range(1, 6))), lambda i: F.get("prefix", F.floor(F.size("prefix") * i / 6).cast("int"))))
     some = _posts(sets.withColumn("prefix", few))
     order = Window.partitionBy("k").orderBy("id", "line")
-    before = F.lag(F.struct("sid", "m", "n", "id", "line")).over(order)
+    before = F.lag(F.struct("sid", "m", "m2", "n", "id", "line")).over(order)
     pair = some.withColumn("b", before).where("b is not null").where(F.struct("b.id", "b.line") < F.struct("id", "line"))
-    need, bits = _needed(F.col("n"), F.col("b.n"), threshold), F.bit_count(F.col("m").bitwiseXOR(F.col("b.m")))
+    need, bits = _needed(F.col("n"), F.col("b.n"), threshold), _bits("m", "b.m")
     near = pair.where(bits <= F.col("n") + F.col("b.n") - 2 * need)
     return near.groupBy("sid").agg(F.min(_code(bits.cast("long"), F.col("b.sid"))).alias("code"))
 
@@ -197,7 +207,7 @@ def similar(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", thresho
     every = stored(lambda: lines(docs, text, doc_id, threshold, levels(docs, text, cells)))
     one = lambda c: F.first(c).alias(c)
     first = F.min(F.struct("id", "line")).alias("first")
-    sets = stored(lambda: every.groupBy("u", "u2").agg(first, F.count("*").alias("times"), one("m"), one("n"), one("prefix")).withColumn("sid", F.monotonically_increasing_id()))
+    sets = stored(lambda: every.groupBy("u", "u2").agg(first, F.count("*").alias("times"), one("m"), one("m2"), one("n"), one("prefix")).withColumn("sid", F.monotonically_increasing_id()))
     # Members of large groups mostly find a neighbour; only the others are joined with all candidates.
     nearby = stored(lambda: _best(_neighbours(sets, threshold)))
     ends = nearby.select(F.col("a").alias("sid")).unionByName(nearby.select(F.col("b").alias("sid"))).distinct()

@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SAMPLE, SAMPLE_BYTES = 6_000, 8 << 20
+SAMPLE, SAMPLE_BYTES = 3_000, 8 << 20
 WINDOW_WORDS = 1
 #: Lengths of the segments that the training of each pair of dictionaries picks, and of the substrings it counts.
 SEGMENTS, SUBSTRING = (64, 40, 56, 72, 88), 8
@@ -217,7 +217,7 @@ def train(
     totals = {r["y"]: r["count"] for r in taught.groupBy("y").count().collect()}
     chosen = [taught.where(F.col("y") == y).orderBy(F.xxhash64(doc_id), doc_id).limit(sample) for y in (1, 0)]
     ids = chosen[0].unionByName(chosen[1])  # at most 2 * sample ids
-    rows = docs.select(doc_id, F.coalesce(text, F.lit("")).alias("t")).join(F.broadcast(ids), doc_id).orderBy(F.xxhash64(doc_id), "t")
+    rows = docs.select(doc_id, F.coalesce(text, F.lit("")).alias("t")).join(F.broadcast(ids), doc_id).orderBy(F.xxhash64(doc_id), F.xxhash64("t"))
     found: dict[int, list[bytes]] = {1: [], 0: []}
     size = {1: 0, 0: 0}
     for y, t in rows.select("y", "t").toLocalIterator():  # a partition at a time

@@ -44,6 +44,30 @@ def test_equals_brute_force(spark, prose):
         assert kept[i] == (t if i not in want else "\n".join(s for k, s in enumerate(t.split("\n")) if k not in want[i]))
 
 
+def test_a_full_bit_map_loses_nothing(spark, prose, monkeypatch):
+    docs = case(prose)
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    for bits in (1, 61, 500):
+        monkeypatch.setattr(line_dedup, "BITS", bits)
+        assert {r["id"]: r["removed"] for r in line_dedup.removals(df).collect()} == brute(docs)
+
+
+def test_groups_of_near_copies_and_long_lines(spark, prose):
+    r = random.Random(8)
+    base = [prose(900 + k, n).replace("\n", " ").split(" ") for k, n in enumerate((20, 60, 130, 260))]
+    docs = []
+    for i in range(160):
+        ws = list(r.choice(base))
+        for _ in range(r.randrange(1 + len(ws) // 8)):
+            ws[r.randrange(len(ws))] = f"w{r.randrange(400)}"
+        docs.append((i, " ".join(ws)))
+    docs += [(1_000 + i, " ".join(f"c{r.randrange(150)}" for _ in range(200))) for i in range(60)]  # long lines of few words: many candidates
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    want = brute(docs)
+    assert 40 < len(want) < 200
+    assert {r["id"]: r["removed"] for r in line_dedup.removals(df).collect()} == want
+
+
 def test_odd_rows(odd_docs, no_docs):
     kept = line_dedup.dedup(odd_docs)
     assert kept.columns == odd_docs.columns and kept.count() == odd_docs.count()
