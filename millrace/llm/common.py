@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import gc
-import os
-import tempfile
 import uuid
 import weakref
 from collections.abc import Callable
@@ -12,6 +10,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.session import cut, shared_folder  # noqa: F401  (cut is the operators')
+
 #: Bytes that are part of a word: digits, letters (A-Z lower-cased) and everything beyond ASCII.
 _WORD = bytes(
     b + 32 if 0x41 <= b <= 0x5A else b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256)
@@ -39,17 +39,6 @@ def small_batches(spark: SparkSession, rows: int = 512) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors share, as spark.checkpoint.dir names it; only a session in one process may go without."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named
-    master = spark.sparkContext.master
-    if master != "local" and not master.startswith("local["):
-        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-    return os.path.join(tempfile.gettempdir(), "millrace-checkpoints")
-
-
 _PATHS: dict[int, str] = {}
 
 
@@ -85,19 +74,6 @@ def dropped(table: DataFrame) -> None:
         at.getFileSystem(table.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Evaluate once and cut the lineage, in the folder that the cluster names in spark.checkpoint.dir."""
-    spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
-    return df.checkpoint(eager=True)
-
-
-def bucket_of(column: str, divisor: int):
-    """crc32 of the id as text, modulo the divisor; a null id counts as the text ''."""
-    return F.pmod(F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")), F.lit(divisor))
-
-
 def free_names(df: DataFrame, n: int) -> list[str]:
     """Names for n columns that the table, whatever its columns, doesn't have yet."""
     taken = {c.lower() for c in df.columns}
