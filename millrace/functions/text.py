@@ -54,10 +54,10 @@ def fenced_block(s: Column) -> Column:
 
 
 def boxes(s: Column, pattern: str = IMAGE_BOX) -> Column:
-    """All boxes named in a text: an array of (x0, y0, x1, y1) doubles."""
-    groups = [F.regexp_extract_all(s, F.lit(pattern), F.lit(k)) for k in (1, 2, 3, 4)]
-    zipped = F.arrays_zip(*[g.alias(n) for g, n in zip(groups, "abcd")])
-    return F.transform(zipped, lambda z: F.struct(*[z[g].cast("double").alias(n) for g, n in zip("abcd", ("x0", "y0", "x1", "y1"))]))
+    """All boxes named in a text: an array of (x0, y0, x1, y1) doubles. The text is searched once; matches are split at commas."""
+    whole = F.regexp_extract_all(s, F.lit(pattern), F.lit(0))
+    numbers = F.transform(whole, lambda m: F.split(F.btrim(F.replace(m, F.lit("[Image]"), F.lit("")), F.lit("[]()")), ","))
+    return F.transform(numbers, lambda n: F.struct(*[F.trim(F.translate(F.get(n, F.lit(i)), "\n\t\r\x0b\f", "     ")).cast("double").alias(c) for i, c in enumerate(("x0", "y0", "x1", "y1"))]))
 
 
 def without_prefix(path: Column, prefix: str) -> Column:

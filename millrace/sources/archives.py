@@ -1,7 +1,8 @@
 """Members of tar and zip archives as rows (archive, member, size, is_file, content).
 
-Archives are read through Spark's own file source, so any store it reads will do;
-members of one archive are unpacked in one task, a member at a time.
+Archives of up to SMALL bytes are read through Spark's own file source, so any store it
+reads will do. Larger ones, which as one value would not fit a task, are opened by their
+path in the task and read member by member. Members of one archive come from one task.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ import io
 import tarfile
 import zipfile
 from collections.abc import Iterator
+from typing import BinaryIO
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -17,32 +19,44 @@ from pyspark.sql import functions as F
 
 from millrace.functions import text
 
+SMALL = 256 << 20
 _MEMBER = "archive string, member string, size long, is_file boolean, content binary"
 
 
-def _tar(raw: bytes) -> Iterator[tuple[str, int, bool, bytes | None]]:
-    with tarfile.open(fileobj=io.BytesIO(raw)) as t:
+def _tar(file: BinaryIO) -> Iterator[tuple[str, int, bool, bytes | None]]:
+    with tarfile.open(fileobj=file, mode="r|*") as t:  # as a stream: what was read is not kept
         for m in t:
             yield m.name, m.size, m.isfile(), t.extractfile(m).read() if m.isfile() else None
 
 
-def _zip(raw: bytes) -> Iterator[tuple[str, int, bool, bytes | None]]:
-    with zipfile.ZipFile(io.BytesIO(raw)) as z:
+def _zip(file: BinaryIO) -> Iterator[tuple[str, int, bool, bytes | None]]:
+    with zipfile.ZipFile(file) as z:
         for m in z.infolist():
             yield m.filename, m.file_size, not m.is_dir(), None if m.is_dir() else z.read(m)
 
 
-def members(spark: SparkSession, path: str | list[str], kind: str, suffixes: str | tuple[str, ...] = "any") -> DataFrame:
+def _opened(path: str) -> BinaryIO:
+    from pyarrow.fs import FileSystem
+
+    store, inner = FileSystem.from_uri(path.replace("file:///", "/", 1) if path.startswith("file:///") else path.removeprefix("file:"))
+    return store.open_input_file(inner)
+
+
+def members(spark: SparkSession, path: str | list[str], kind: str, suffixes: str | tuple[str, ...] = "any", small: int = SMALL) -> DataFrame:
     """Members that are files and end with a suffix; 'any' gives all, folders included."""
     unpack = {"tar": _tar, "zip": _zip}[kind]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for archive, raw in zip(batch["path"], batch["content"]):
-                for m in unpack(raw):
-                    yield pd.DataFrame([(archive, *m)], columns=["archive", "member", "size", "is_file", "content"])
-
-    rows = spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(run, _MEMBER)
+            whole = batch["content"] if "content" in batch else [None] * len(batch)
+            for archive, raw in zip(batch["path"], whole):
+                with io.BytesIO(raw) if raw is not None else _opened(archive) as file:
+                    for m in unpack(file):
+                        yield pd.DataFrame([(archive, *m)], columns=["archive", "member", "size", "is_file", "content"])
+
+    files = spark.read.format("binaryFile").load(path)
+    few = files.where(F.col("length") <= small).select("path", "content").mapInPandas(run, _MEMBER)
+    rows = few.unionByName(files.where(F.col("length") > small).select("path").mapInPandas(run, _MEMBER))
     return rows if suffixes == "any" else rows.where(F.col("is_file") & text.ends_with_any(F.col("member"), suffixes))
 
 

@@ -136,6 +136,8 @@ def test_archives(spark, tmp_path):
     for kind, everything in (("tar", 4), ("zip", 3)):
         path = str(tmp_path / f"a.{kind}")
         assert archives.members(spark, path, kind).count() == everything
+        large = archives.members(spark, path, kind, small=10)  # read by path, a member at a time
+        assert sorted(map(tuple, large.collect()), key=repr) == sorted(map(tuple, archives.members(spark, path, kind).collect()), key=repr)
         assert archives.as_base64(archives.members(spark, path, kind, ".jpg")).first()["content"] == base64.b64encode(b"\xff\xd8pic").decode()
         assert archives.as_json(archives.members(spark, path, kind, ".json"), "caption string, status string").first()["status"] == "ok"
         assert [r["caption"] for r in archives.as_json_lines(archives.members(spark, path, kind, "jsonl"), "caption string").orderBy("line").collect()] == ["1", "2"]
