@@ -34,6 +34,13 @@ def tables(spark, prose, tmp_path_factory):
     return str(folder), items
 
 
+def test_all_queries_are_registered():
+    import __spark_entry__ as entry
+
+    names = {q.split("_")[0] for q in entry.queries()}
+    assert {f"op{n}" for n in range(1, 11)} <= names and "pipeline" in names
+
+
 def rows(df):
     return sorted(((r["doc_id"], r["text"]) for r in df.collect()), key=repr)
 
