@@ -189,14 +189,16 @@ def overlapping(df: DataFrame, key: str = "id", content: str = "content", size:
     images: (id, content), row by row, a thumbnail last if wanted; text: their tags. An image whose sides differ more than
     max_slices to one is brought to that ratio first with ``shrink``, else, like one that does not decode, has null images.
     """
-    rows = df.select(F.col(key).alias("key"), F.col(content).alias("content"), images.dimensions(content).alias("d")).withColumn("fits", geometry.fits_aspect(F.col("d.w"), F.col("d.h"), max_slices))
+    # Marked so that the planner leaves them where they are: it can't evaluate them inside array functions.
+    measure, cut_out = (F.pandas_udf(f.func, f.returnType).asNondeterministic() for f in (images.dimensions, images.cut_windows))
+    rows = df.select(F.col(key).alias("key"), F.col(content).alias("content"), measure(content).alias("d")).withColumn("fits", geometry.fits_aspect(F.col("d.w"), F.col("d.h"), max_slices))
     first = geometry.within_aspect(F.col("d.w"), F.col("d.h"), max_slices) if shrink else F.when(F.col("fits"), F.col("d"))
     rows = rows.withColumn("first", first).withColumn("slices", geometry.best_slices(F.col("first.w") / size, F.col("first.h") / size, F.col("first.w") / F.col("first.h"), max_slices))
     to = geometry.fitted(F.col("first.w").cast("double"), F.col("first.h").cast("double"), F.col("slices.w"), F.col("slices.h"), size)
     rows = rows.withColumn("to", to)
     at = lambda side, n: geometry.origins(F.col(f"to.{side}"), F.lit(size), geometry.stride(F.col(f"to.{side}"), F.lit(size), F.col(n)))
     sizes = F.struct(*[F.coalesce(F.col(c), F.lit(0)).cast("int").alias(n) for c, n in (("first.w", "w0"), ("first.h", "h0"), ("to.w", "w"), ("to.h", "h"))])
-    cut = images.cut_windows("content", sizes, at("w", "slices.w"), at("h", "slices.h"), F.lit(size), F.lit(thumbnail))
+    cut = cut_out(F.when(F.col("slices.w").isNotNull(), F.col("content")), sizes, at("w", "slices.w"), at("h", "slices.h"), F.lit(size), F.lit(thumbnail))
     named = F.transform("cut", lambda c, i: F.struct(F.concat(F.col("key").cast("string"), F.lit("_"), i.cast("string")).alias("id"), c.alias("content")))
     made = rows.select("key", cut.alias("cut")).select("key", named.alias("images"))
     return made.select(F.col("key").alias(key), "images", text.image_tags(F.transform("images", lambda x: x["id"])).alias("text"))

@@ -84,10 +84,10 @@ def read_reports(spark: SparkSession, root: str, name: Callable[[str], str], reg
             found = [(r.benchmark, 0, "", m, _json_number(text, m)) for m in r.metrics]
             long = spark.createDataFrame([f for f in found if f[-1] is not None], LONG)
         else:
-            table = spark.read.option("header", "true").option("multiLine", "true").option("escape", '"').csv(path).coalesce(1)
+            table = spark.read.option("header", "true").option("multiLine", "true").option("escape", '"').csv(path).coalesce(1).withColumn("__row", F.monotonically_increasing_id().cast("int"))
             label = table.columns[0] if r.kind == "indexed" else next((c for c in table.columns if c.lower() == "split"), None)
             rows = table.select(
-                F.lit(r.benchmark).alias("benchmark"), F.monotonically_increasing_id().cast("int").alias("row"), (F.col(f"`{label}`") if label else F.lit("")).alias("split"),
+                F.lit(r.benchmark).alias("benchmark"), F.col("__row").alias("row"), (F.col(f"`{label}`") if label else F.lit("")).alias("split"),
                 F.inline(F.array(*[F.struct(F.lit(m).alias("metric"), F.regexp_replace(F.col(f"`{m}`"), "%$", "").try_cast("double").alias("value")) for m in r.metrics])),
             )
             long = rows.where("value is not null")
