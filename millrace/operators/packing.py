@@ -198,7 +198,7 @@ def overlapping(df: DataFrame, key: str = "id", content: str = "content", size:
     rows = rows.withColumn("to", to)
     at = lambda side, n: geometry.origins(F.col(f"to.{side}"), F.lit(size), geometry.stride(F.col(f"to.{side}"), F.lit(size), F.col(n)))
     sizes = F.struct(*[F.coalesce(F.col(c), F.lit(0)).cast("int").alias(n) for c, n in (("first.w", "w0"), ("first.h", "h0"), ("to.w", "w"), ("to.h", "h"))])
-    cut = cut_out(F.when(F.col("slices.w").isNotNull(), F.col("content")), sizes, at("w", "slices.w"), at("h", "slices.h"), F.lit(size), F.lit(thumbnail))
+    cut = cut_out(F.when(F.col("first.w").isNotNull(), F.col("content")), sizes, at("w", "slices.w"), at("h", "slices.h"), F.lit(size), F.lit(thumbnail))
     named = F.transform("cut", lambda c, i: F.struct(F.concat(F.col("key").cast("string"), F.lit("_"), i.cast("string")).alias("id"), c.alias("content")))
     made = rows.select("key", cut.alias("cut")).select("key", named.alias("images"))
     return made.select(F.col("key").alias(key), "images", text.image_tags(F.transform("images", lambda x: x["id"])).alias("text"))
