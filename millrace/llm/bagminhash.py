@@ -45,7 +45,7 @@ _U = np.uint64
 _STEP, _PLACE, _SLOT = _U(0x9E3779B97F4A7C15), _U(0xD6E8FEB86659FD93), _U(0xA0761D6478BD642F)
 #: Up to how many expected points a process is stepped how far at once.
 _LIKELY, _STEPS = (0.4, 1.2, 4, 12, 40), (1, 2, 4, 12, 32, 96)
-_CACHE_WORDS = 500_000
+_CACHE_WORDS = 100_000
 _known: dict[bytes, int] = {}
 
 

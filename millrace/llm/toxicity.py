@@ -50,7 +50,7 @@ DISTANCES = 60
 CLEAR, SEEN = 1.0, 3
 #: Word sets at least so alike are near copies; they are found by so many bands of so many minima.
 ALIKE, BANDS, ROWS = 0.8, 20, 5
-_CACHE_WINDOWS = 60_000
+_CACHE_WINDOWS = 50_000
 _EDGE = b"\"'([{<*_-.,;:!?)]}>"
 
 
