@@ -66,12 +66,11 @@ def shingles(ws: list[bytes], size: int = SHINGLE) -> tuple[np.ndarray, np.ndarr
         return np.array([xxhash.xxh64_intdigest(b" ".join(ws), len(ws) + 1)], "u8"), np.ones(1, np.int64)
     if len(_known) > _CACHE_WORDS:
         _known.clear()
-    get, each = _known.get, []
-    for w in ws:
-        h = get(w)
-        if h is None:
-            _known[w] = h = xxhash.xxh64_intdigest(w)
-        each.append(h)
+    each = list(map(_known.get, ws))
+    if None in each:
+        for i, h in enumerate(each):
+            if h is None:
+                each[i] = _known[ws[i]] = xxhash.xxh64_intdigest(ws[i])
     h = np.array(each, "u8")
     n = len(ws) - size + 1
     total = np.zeros(n, "u8")

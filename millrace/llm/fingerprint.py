@@ -85,12 +85,11 @@ class Digests:
             self.known.clear()
         known, h = self.known, xxhash.xxh64_intdigest
         ws = text.encode("utf-8", "surrogatepass").replace(b"\n", b" \n ").split(b" ")
-        each = []
-        for w in ws:
-            v = known.get(w)
-            if v is None:
-                known[w] = v = h(w)
-            each.append(v)
+        each = list(map(known.get, ws))
+        if None in each:
+            for i, v in enumerate(each):
+                if v is None:
+                    each[i] = known[ws[i]] = h(ws[i])
         hashes, end = np.array(each, "u8"), h(b"\n")
         means = (MEAN_WORDS, FINE_MEAN) if len(hashes) <= FINE_WORDS else (MEAN_WORDS,)
         return [_digests(hashes, _starts(hashes, end, m)) for m in means]

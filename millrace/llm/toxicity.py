@@ -115,14 +115,17 @@ class Model:
         """How many windows have each distance."""
         if len(self._known) > _CACHE_WINDOWS:  # windows not seen since the last time are forgotten
             self._known, self._older = {}, self._known
-        known, older, out = self._known, self._older, []
-        for k in range(0, len(ws), WINDOW_WORDS):
-            window = ws[k] if WINDOW_WORDS == 1 else b" ".join(ws[k : k + WINDOW_WORDS])
-            d = known.get(window)
-            if d is None:
-                d = older.get(window)
-                known[window] = d = self.distance(_marked(ws[k : k + WINDOW_WORDS])) if d is None else d
-            out.append(d)
+        known, older = self._known, self._older
+        windows = ws if WINDOW_WORDS == 1 else [b" ".join(ws[k : k + WINDOW_WORDS]) for k in range(0, len(ws), WINDOW_WORDS)]
+        out = list(map(known.get, windows))
+        if None in out:
+            for k, d in enumerate(out):
+                if d is None:
+                    window = windows[k]
+                    d = known.get(window, older.get(window))
+                    if d is None:
+                        d = self.distance(_marked(ws[k * WINDOW_WORDS : (k + 1) * WINDOW_WORDS]))
+                    out[k] = known[window] = d
         return np.bincount(out, minlength=DISTANCES).astype(float)
 
     def score(self, texts: Iterable[str | None]) -> list[float]:
