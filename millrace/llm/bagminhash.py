@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import cut, free_names, words
+from millrace.llm.common import cut, free_names, tidied, words
 from millrace.llm.graph import components
 
 SHINGLE = 5
@@ -147,7 +147,7 @@ def prints(docs: DataFrame, text: str, doc_id: str, bands: int = BANDS, rows: in
     kind = dict(docs.dtypes)[doc_id]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in tidied(batches):
             lists = [words(t) for t in batch["t"]]
             bags = [shingles(ws) for ws in lists]
             hashed = band_hashes(signatures(bags, bands * rows), bands, rows) if bags else []
@@ -205,7 +205,7 @@ def links(members: DataFrame, docs: DataFrame, text: str, doc_id: str, threshold
             held.clear()
             return [(nodes[i], nodes[j]) for i, j in found]
 
-        for batch in batches:
+        for batch in tidied(batches):
             edges = []
             for c, i, j, node, d, t in batch.itertuples(index=False):
                 if (c, i, j) != now:

@@ -24,6 +24,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.llm.common import tidied
+
 CHUNK = 32_768
 OVERLAP = 1_024
 #: A boundary closer than this to the end of a chunk may move when more text follows.
@@ -156,7 +158,7 @@ def decode(df: DataFrame, vocab_path: str, pattern: str, ids: str = "ids", out:
         import numpy as np
 
         by_id = _codec(vocab_path, pattern)[1]
-        for batch in batches:
+        for batch in tidied(batches):
             yield pd.Series([b"".join(map(by_id.__getitem__, np.frombuffer(b, "<u4").tolist())) if b else b"" for b in batch], dtype=object)
 
     # Iterator typing is what tells the engine to load the vocabulary once per task.

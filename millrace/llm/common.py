@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import gc
 import uuid
 import weakref
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -79,6 +80,19 @@ def bucket_of(column: str, divisor: int):
     return F.pmod(F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")), F.lit(divisor))
 
 
+def tidied(batches: Iterator) -> Iterator:
+    """The batches as they come; when a task's last is done, memory that the worker no longer uses goes back to the system."""
+    yield from batches
+    import ctypes
+
+    import pyarrow
+
+    gc.collect()
+    pyarrow.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # where the C library knows how
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def free_names(df: DataFrame, n: int) -> list[str]:
     """Names for n columns that the table, whatever its columns, doesn't have yet."""
     taken = {c.lower() for c in df.columns}

@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import stored, words
+from millrace.llm.common import stored, tidied, words
 
 N = 13
 BLOCK_WINDOWS = 2_000_000
@@ -147,7 +147,7 @@ def scan(
     out = "n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean" + (", clean string" if action == "spans" else "")
 
     def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in tidied(batches):
             got = []
             for t, flat, names in zip(batch["t"], batch["spans"], batch["names"]):
                 n_words, spans = len(words(t)), merged(list(zip(flat[::2].tolist(), flat[1::2].tolist())))

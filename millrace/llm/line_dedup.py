@@ -182,12 +182,13 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame
 
 
 def _neighbours(sets: DataFrame, threshold: float) -> DataFrame:
-    """sid, code: for each class the best of the classes just before it among those that share one of a few of its prefix tokens."""
-    few = F.array_distinct(F.transform(F.array(*map(F.lit, range(1, 6))), lambda i: F.get("prefix", F.floor(F.size("prefix") * i / 6).cast("int"))))
+    """sid, code: for each class the best of the two classes just before it among those that share one of a few of its prefix tokens."""
+    few = F.array_distinct(F.transform(F.array(*map(F.lit, range(1, 7))), lambda i: F.get("prefix", F.floor(F.size("prefix") * i / 7).cast("int"))))
     some = _posts(sets.withColumn("prefix", few))
     order = Window.partitionBy("k").orderBy("id", "line")
-    before = F.lag(F.struct("sid", "m", "m2", "n", "id", "line")).over(order)
-    pair = some.withColumn("b", before).where("b is not null").where(F.struct("b.id", "b.line") < F.struct("id", "line"))
+    before = lambda by: F.lag(F.struct("sid", "m", "m2", "n", "id", "line"), by).over(order)
+    pair = some.withColumn("b1", before(1)).withColumn("b2", before(2)).withColumn("b", F.explode(F.array("b1", "b2")))
+    pair = pair.where("b is not null").where(F.struct("b.id", "b.line") < F.struct("id", "line"))
     need, bits = _needed(F.col("n"), F.col("b.n"), threshold), _bits("m", "b.m")
     near = pair.where(bits <= F.col("n") + F.col("b.n") - 2 * need)
     return near.groupBy("sid").agg(F.min(_code(bits.cast("long"), F.col("b.sid"))).alias("code"))

@@ -37,6 +37,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm.common import tidied
+
 SAMPLE, SAMPLE_BYTES = 3_000, 8 << 20
 WINDOW_WORDS = 1
 #: Lengths of the segments that the training of each pair of dictionaries picks, and of the substrings it counts.
@@ -253,7 +255,7 @@ def scorer(spark, model: Model):
 
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         m = _started(shared.value)
-        for texts in batches:
+        for texts in tidied(batches):
             yield pd.Series(m.score(texts), dtype=float)
 
     score.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
