@@ -93,35 +93,31 @@ def encode(
     size = F.length("t")
     whole = rows.where(size <= chunk).select(*named, encode_pieces("t").alias("ids"))
 
-    @F.pandas_udf("struct<head: array<int>, tail: array<int>>")
-    def seen(core: pd.Series, extra: pd.Series, number: pd.Series) -> pd.DataFrame:
-        head, tail = [], []
-        for c, e, n in zip(core, extra, number):
-            found = boundaries(c + e, pattern, len(c) + len(e))
-            head.append([b for b in found if b < overlap] if n else [])
-            tail.append([b - len(c) for b in found if b >= len(c)] if e else [])
-        return pd.DataFrame({"head": head, "tail": tail})
-
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """A row for each chunk, each text walked through once."""
+        """A row for each chunk, each text walked through once. head, tail: boundaries in the overlap with the chunk before, and after."""
         for batch in batches:
             for row in batch.to_dict("records"):
                 t = row.pop("t")
                 starts = range(0, len(t), chunk)
-                for k in range(0, len(starts), 64):
-                    some = starts[k : k + 64]
-                    made = pd.DataFrame({"number": range(k, k + len(some)), "core": [t[x : x + chunk] for x in some], "extra": [t[x + chunk : x + chunk + overlap] for x in some]})
-                    for c, v in row.items():
-                        made[c] = pd.Series([v] * len(made), dtype=batch[c].dtype)
-                    yield made[[*row, "number", "core", "extra"]]
+                for k in range(0, len(starts), 16):
+                    made = []
+                    for n, x in enumerate(starts[k : k + 16], k):
+                        core, extra = t[x : x + chunk], t[x + chunk : x + chunk + overlap]
+                        found = boundaries(core + extra, pattern, len(core) + len(extra))
+                        head = [b for b in found if b < overlap] if n else []
+                        made.append((*row.values(), n, core, extra, head, [b - len(core) for b in found if b >= len(core)] if extra else []))
+                    frame = pd.DataFrame(made, columns=[*row, "number", "core", "extra", "head", "tail"])
+                    yield frame.astype({c: batch[c].dtype for c in row})
 
     kinds = dict(df.dtypes)
+    # Integers go as text: pandas would turn those of a batch with nulls into floats.
+    kinds = {c: "string" if k in ("bigint", "int", "smallint", "tinyint") else k for c, k in kinds.items()}
     own = "".join(f"k{i} {kinds[c]}, " for i, c in enumerate(keep))
     in_row = Window.partitionBy("row").orderBy("number")
-    long = rows.where(size > chunk).select(*[f"k{i}" for i in range(len(keep))], F.monotonically_increasing_id().alias("row"), "t")
-    chunks = long.mapInPandas(cut, f"{own}row long, number int, core string, extra string").withColumn("seen", seen("core", "extra", "number"))
+    long = rows.where(size > chunk).select(*[F.col(f"k{i}").cast(kinds[c]).alias(f"k{i}") for i, c in enumerate(keep)], F.monotonically_increasing_id().alias("row"), "t")
+    chunks = long.mapInPandas(cut, f"{own}row long, number int, core string, extra string, head array<int>, tail array<int>")
     # The first boundary that a chunk shares with the one before; once a chunk has none, what follows stays with the last that had one.
-    synced = chunks.withColumn("sync", F.array_min(F.array_intersect(F.lag("seen.tail").over(in_row), "seen.head")))
+    synced = chunks.withColumn("sync", F.array_min(F.array_intersect(F.lag("tail").over(in_row), "head")))
     good = F.min(F.when((F.col("number") == 0) | F.col("sync").isNotNull(), 1).otherwise(0)).over(in_row)
     synced = synced.withColumn("good", good).withColumn("sync", F.when(F.col("number") == 0, 0).when(F.col("good") == 1, F.col("sync")))
     pieces = (
@@ -146,7 +142,7 @@ def encode(
         pieces.withColumn("b", encode_pieces("t"))
         .groupBy("row", *[f"k{i}" for i in range(len(keep))])
         .agg(F.array_sort(F.collect_list(F.struct("piece", "b"))).alias("parts"))
-        .select(*named, join("parts").alias("ids"))
+        .select(*[F.col(f"k{i}").cast(dict(df.dtypes)[c]).alias(c) for i, c in enumerate(keep)], join("parts").alias("ids"))
     )
     return whole.unionByName(stitched)
 

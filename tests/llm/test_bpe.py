@@ -37,3 +37,8 @@ def test_chunks_are_stitched(spark):
     texts += ["x" * 500, " " * 500, "x" * 70 + " " * 300 + "y", "1" * 90 + "ab " * 60, "\n" * 200 + "z"]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     assert len(check(df, chunk=64, overlap=24)) == len(texts)
+
+
+def test_long_texts_beside_null_and_large_ids(spark, prose):
+    df = spark.createDataFrame([(2**60 + 1, prose(1, 400)), (None, prose(2, 400)), (2**60 + 3, prose(3, 400))], "doc_id long, text string").coalesce(1)
+    assert {r["doc_id"] for r in check(df, chunk=256, overlap=64)} == {2**60 + 1, None, 2**60 + 3}
