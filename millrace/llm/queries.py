@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bagminhash, bpe, chat, decontaminate, fingerprint, license_scan, line_dedup, quality, suffix_tree, toxicity
+from millrace.llm import bagminhash, bpe, chat, decontaminate, fingerprint, license_scan, line_dedup, lloyd, quality, suffix_tree, toxicity
 from millrace.llm.common import bucket_of, small_batches, table
 
 
@@ -96,6 +96,11 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_lloyd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every kept vector's cluster after five rounds from 40 centroids, and the distances."""
+    return lloyd.clusters(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_toxicity": op2_toxicity,
@@ -107,9 +112,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontaminate": op8_decontaminate,
     "op9_fingerprint": op9_fingerprint,
     "op10_line_dedup": op10_line_dedup,
+    "op11_lloyd": op11_lloyd,
 }
 
 SQL: dict[str, str] = {
+    "op11_lloyd": lloyd.lloyd_sql(),
     "op4_chat_format": r"""
 WITH rows AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations UNION ALL
