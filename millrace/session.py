@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
+import uuid
+import weakref
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,3 +52,46 @@ def cut(df: DataFrame) -> DataFrame:
     if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
         spark.sparkContext.setCheckpointDir(shared_folder(spark))
     return df.checkpoint(eager=True)
+
+
+_PATHS: dict[int, str] = {}
+
+
+def stored(made: DataFrame | Callable[[], DataFrame], *spent: DataFrame) -> DataFrame:
+    """Written as a table to the shared folder and read again: evaluated once, and safe from lost executors.
+
+    ``spent`` are earlier tables that nothing reads any more: they are deleted. What was shuffled for the table is of no more
+    use either; the engine removes shuffle files when the driver collects its garbage, which is asked for here so that the
+    disk holds one step's files at a time. Given a function that makes the table, no caller still holds on to its plan then.
+    """
+    df = made() if callable(made) else made
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/millrace-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    schema = df.schema
+    del df, made
+    for each in spent:
+        dropped(each)
+    spark.range(1).collect()  # else the engine's listeners hold on to the last query's plan, and its shuffle files stay
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    return _named(spark.read.schema(schema).parquet(path), path)
+
+
+def _named(table: DataFrame, path: str) -> DataFrame:
+    _PATHS[id(table)] = path
+    weakref.finalize(table, _PATHS.pop, id(table), None)
+    return table
+
+
+def standing_on(df: DataFrame, table: DataFrame) -> DataFrame:
+    """What is made of a stored table alone: it is spent, or dropped, together with the table."""
+    return _named(df, _PATHS[id(table)])
+
+
+def dropped(table: DataFrame) -> None:
+    """Deletes the files of a table that ``stored`` made."""
+    path = _PATHS.pop(id(table), None)
+    if path:
+        at = table.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(table.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
