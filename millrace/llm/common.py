@@ -4,14 +4,12 @@ from __future__ import annotations
 
 import contextlib
 import gc
-import uuid
-import weakref
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.session import cut, shared_folder  # noqa: F401  (cut is the operators')
+from millrace.session import cut, dropped, shared_folder, stored  # noqa: F401  (the operators')
 
 #: Bytes that are part of a word: digits, letters (A-Z lower-cased) and everything beyond ASCII.
 _WORD = bytes(
@@ -40,41 +38,6 @@ def small_batches(spark: SparkSession, rows: int = 512) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
-_PATHS: dict[int, str] = {}
-
-
-def stored(made: DataFrame | Callable[[], DataFrame], *spent: DataFrame) -> DataFrame:
-    """Written as a table to the shared folder and read again: evaluated once, and safe from lost executors.
-
-    ``spent`` are earlier tables that nothing reads any more: they are deleted. What was shuffled for the table is of no more
-    use either; the engine removes shuffle files when the driver collects its garbage, which is asked for here so that the
-    disk holds one step's files at a time. Given a function that makes the table, no caller still holds on to its plan then.
-    """
-    df = made() if callable(made) else made
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/millrace-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    schema = df.schema
-    del df, made
-    for each in spent:
-        dropped(each)
-    spark.range(1).collect()  # else the engine's listeners hold on to the last query's plan, and its shuffle files stay
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-    table = spark.read.schema(schema).parquet(path)
-    _PATHS[id(table)] = path
-    weakref.finalize(table, _PATHS.pop, id(table), None)
-    return table
-
-
-def dropped(table: DataFrame) -> None:
-    """Deletes the files of a table that ``stored`` made."""
-    path = _PATHS.pop(id(table), None)
-    if path:
-        at = table.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        at.getFileSystem(table.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
-
-
 def bucket_of(column: str, divisor: int):
     """crc32 of the id as text, modulo the divisor; a null id counts as the text ''."""
     return F.pmod(F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")), F.lit(divisor))

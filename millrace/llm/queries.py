@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bagminhash, bpe, chat, decontaminate, fingerprint, license_scan, line_dedup, lloyd, quality, suffix_tree, toxicity
+from millrace.llm import bagminhash, bpe, chat, decontaminate, fingerprint, license_scan, line_dedup, lloyd, prefix_trie, quality, suffix_tree, toxicity
 from millrace.llm.common import bucket_of, small_batches, table
 
 
@@ -101,6 +101,11 @@ def op11_lloyd(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lloyd.clusters(table(spark, sf_dir, "embeddings"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the trie of rebuilt conversations, with the totals of its subtree."""
+    return prefix_trie.nodes(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_toxicity": op2_toxicity,
@@ -113,10 +118,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_fingerprint": op9_fingerprint,
     "op10_line_dedup": op10_line_dedup,
     "op11_lloyd": op11_lloyd,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 SQL: dict[str, str] = {
     "op11_lloyd": lloyd.lloyd_sql(),
+    "op13_prefix_trie": prefix_trie.TRIE_SQL,
     "op4_chat_format": r"""
 WITH rows AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations UNION ALL
