@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bagminhash, bpe, chat, decontaminate, fingerprint, license_scan, line_dedup, lloyd, prefix_trie, quality, suffix_tree, toxicity
+from millrace.llm import bagminhash, bpe, chat, decontaminate, fingerprint, license_scan, line_dedup, lloyd, prefix_trie, quality, secret_scan, suffix_tree, toxicity
 from millrace.llm.common import bucket_of, small_batches, table
 
 
@@ -101,6 +101,11 @@ def op11_lloyd(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lloyd.clusters(table(spark, sf_dir, "embeddings"))
 
 
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every whole document: base spans and those of the randomness tests."""
+    return secret_scan.summary(secret_scan.scan(table(spark, sf_dir, "documents")))
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every node of the trie of rebuilt conversations, with the totals of its subtree."""
     return prefix_trie.nodes(table(spark, sf_dir, "conversations"))
@@ -118,6 +123,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_fingerprint": op9_fingerprint,
     "op10_line_dedup": op10_line_dedup,
     "op11_lloyd": op11_lloyd,
+    "op12_secret_scan": op12_secret_scan,
     "op13_prefix_trie": op13_prefix_trie,
 }
 
