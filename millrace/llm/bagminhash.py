@@ -143,17 +143,19 @@ def band_hashes(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 
 def prints(docs: DataFrame, text: str, doc_id: str, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """id, h (hash of the text as it is), digest, n (shingles), bands of every row."""
-    kind = dict(docs.dtypes)[doc_id]
+    """id, h (hash of the text as it is), digest, n (shingles), bands of every row. Only texts go to Python: ids stay what they are."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in tidied(batches):
-            lists = [words(t) for t in batch["t"]]
+            lists = [words(t) for t in batch]
             bags = [shingles(ws) for ws in lists]
             hashed = band_hashes(signatures(bags, bands * rows), bands, rows) if bags else []
-            yield pd.DataFrame({"id": batch["id"], "h": batch["h"], "digest": [digest(ws) for ws in lists], "n": [int(c.sum()) for _, c in bags], "bands": list(hashed)})
+            yield pd.DataFrame({"digest": [digest(ws) for ws in lists], "n": [int(c.sum()) for _, c in bags], "bands": list(hashed)})
 
-    return docs.select(F.col(doc_id).alias("id"), F.xxhash64(text).alias("h"), F.col(text).alias("t")).mapInPandas(run, f"id {kind}, h long, digest binary, n long, bands array<long>")
+    run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
+    made = F.pandas_udf(run, "digest binary, n long, bands array<long>")
+    hashed = docs.select(F.col(doc_id).alias("id"), F.xxhash64(text).alias("h"), made(F.col(text)).alias("p"))
+    return hashed.select("id", "h", "p.digest", "p.n", "p.bands")
 
 
 def forest(bags: list[tuple[np.ndarray, np.ndarray]], threshold: float) -> list[tuple[int, int]]:

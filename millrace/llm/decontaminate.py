@@ -123,61 +123,60 @@ def scan(
     'documents' leaves the text and the caller drops rows by ``contaminated``.
     """
     spark = docs.sparkSession
-    kinds = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
-    own = ", ".join(f"k{i} {kinds[c]}" for i, c in enumerate(keep))
     rows = docs.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keep)], F.col(text).alias("t"))
-    schema = ", ".join(x for x in (own, "t string, spans array<int>, names array<string>") if x)
+    own = rows.columns[:-1]
     blocks = _blocks(benchmark, item_id, item_text, n, block_windows)
     block, following = next(blocks), next(blocks, None)
     if following is None:
-        found = rows.mapInPandas(_hits(spark.sparkContext.broadcast(Windows(block, n))), schema)
+        found = rows.withColumn("hits", _hits(spark.sparkContext.broadcast(Windows(block, n)))("t"))
     else:
         # Hits depend on the text alone: those of each block are kept by the text's digest, and no text is written or shuffled twice.
         digest = F.sha2(F.coalesce("t", F.lit("")), 256)
         texts, hits = rows.select(digest.alias("d"), "t"), None
         while block is not None:
-            one = texts.mapInPandas(_hits(spark.sparkContext.broadcast(Windows(block, n)), hit_only=True), "d string, spans array<int>, names array<string>")
+            one = texts.select("d", _hits(spark.sparkContext.broadcast(Windows(block, n)))("t").alias("hits")).where(F.size("hits.spans") > 0)
             one = stored(one.dropDuplicates(["d"]))
             hits = one if hits is None else hits.unionByName(one)
             block, following = following, next(blocks, None)
-        merged_hits = hits.groupBy("d").agg(F.flatten(F.collect_list("spans")).alias("spans"), F.flatten(F.collect_list("names")).alias("names"))
+        merged_hits = hits.groupBy("d").agg(F.flatten(F.collect_list("hits.spans")).alias("spans"), F.flatten(F.collect_list("hits.names")).alias("names"))
         none = lambda kind: F.array().cast(f"array<{kind}>")
         joined = rows.withColumn("d", digest).join(merged_hits, "d", "left")
-        found = joined.withColumn("spans", F.coalesce("spans", none("int"))).withColumn("names", F.coalesce("names", none("string"))).select(*rows.columns, "spans", "names")
+        found = joined.select(*rows.columns, F.struct(F.coalesce("spans", none("int")).alias("spans"), F.coalesce("names", none("string")).alias("names")).alias("hits"))
     out = "n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean" + (", clean string" if action == "spans" else "")
+    names = [x.split()[0] for x in out.split(", ")]
 
-    def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in tidied(batches):
+    def judge(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        for texts, every, items in tidied(batches):
             got = []
-            for t, flat, names in zip(batch["t"], batch["spans"], batch["names"]):
+            for t, flat, who in zip(texts, every, items):
                 n_words, spans = len(words(t)), merged(list(zip(flat[::2].tolist(), flat[1::2].tolist())))
                 hit = sum(b - a for a, b in spans)
                 bad = hit > 0 and hit >= min_share * n_words
-                row = [n_words, hit, len(set(names)), hashlib.sha256(",".join(sorted(set(names))).encode()).hexdigest(), bad]
+                row = [n_words, hit, len(set(who)), hashlib.sha256(",".join(sorted(set(who))).encode()).hexdigest(), bad]
                 if action == "spans":
                     row.append(without(t, spans) if bad else t)
                 got.append(row)
-            made = pd.DataFrame(got, columns=[x.split()[0] for x in out.split(", ")])
-            yield pd.concat([batch.drop(columns=["t", "spans", "names"]).reset_index(drop=True), made], axis=1)
+            yield pd.DataFrame(got, columns=names)
 
-    judged = found.mapInPandas(judge, ", ".join(x for x in (own, out) if x))
-    return judged.toDF(*keep, *judged.columns[len(keep) :])
+    judge.__annotations__ = {"batches": Iterator[tuple[pd.Series, pd.Series, pd.Series]], "return": Iterator[pd.DataFrame]}
+    judged = found.select(*own, F.pandas_udf(judge, out)("t", "hits.spans", "hits.names").alias("judged")).select(*own, *[F.col(f"judged.{c}").alias(f"r{i}") for i, c in enumerate(names)])
+    return judged.toDF(*keep, *names)
 
 
-def _hits(windows, hit_only: bool = False):
-    """Adds the hits of one block of items to texts; with ``hit_only``, of texts that have any, without the text."""
+def _hits(windows):
+    """The hits of one block of items in texts: spans (starts and ends in a row) and names. Only texts go to Python."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             spans, names = [], []
-            for t in batch["t"]:
+            for t in batch:
                 new, items = windows.value.scan(words(t))
                 spans.append([x for span in new for x in span])
                 names.append([windows.value.names[i] for i in sorted(items)])
-            made = batch.assign(spans=spans, names=names)
-            yield made[[len(s) > 0 for s in spans]].drop(columns="t") if hit_only else made
+            yield pd.DataFrame({"spans": spans, "names": names})
 
-    return run
+    run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
+    return F.pandas_udf(run, "spans array<int>, names array<string>")
 
 
 def without(text: str, spans: list[tuple[int, int]]) -> str:

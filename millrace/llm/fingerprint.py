@@ -1,23 +1,21 @@
 """Document fingerprints: invertible Bloom lookup sketches of paragraph digests.
 
 A text is cut into paragraphs: at line ends, and inside a line after words whose
-hash says so, MEAN_WORDS words long on the average, so that an edit changes the
-paragraphs it touches and no others. Texts of up to FINE_WORDS words, of which such
-paragraphs would say little, are also cut into finer ones of FINE_MEAN words.
+hash says so, MEAN_WORDS words long on the average whatever the size of the text, so
+that an edit changes the paragraphs it touches and no others.
 
 A sketch adds every paragraph's digest into one cell of each of three subtables
-(count, sum of digests; a digest carries its own check). A fingerprint holds a
-sketch for each fineness, in the least size, by powers of two, at which it can be
-listed: peeling cells that hold a single digest recovers all of them. So a
-fingerprint grows with its text (about a tenth of it for long texts) and none of its
-paragraphs is left out.
+(count, sum of digests; a digest carries its own check). A fingerprint is the sketch in
+the least size, by powers of two, at which it can be listed: peeling cells that hold a
+single digest recovers all of them. So a fingerprint grows with its text (it is about
+half as long) and none of its paragraphs is left out.
 
 Likeness is taken from two fingerprints alone. Their sketches are subtracted cell by
 cell (the larger folded to the size of the smaller); what they share cancels out, and
 peeling recovers the paragraphs that differ. Where that gets stuck, both are listed,
 built anew four times as large, and subtracted again, until it succeeds. Likeness is
 shared paragraphs over all paragraphs (a repeated paragraph counts as often as it
-occurs), of the finest kind that both texts have.
+occurs).
 
 Defined results: a null text counts as empty, an empty text is one empty paragraph;
 equal texts have equal fingerprints; documents follow each other by id (null first),
@@ -33,10 +31,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-MEAN_WORDS, FINE_MEAN, FINE_WORDS = 16, 4, 512
+MEAN_WORDS = 8
 WAYS = 3
 #: Cells for each digest that a sketch starts with, before its size is made a power of two.
 ROOM = 1.25
@@ -75,7 +73,7 @@ def _digests(hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 
 class Digests:
-    """Paragraph digests of texts, from the coarse to the fine; remembers word hashes."""
+    """Paragraph digests of texts, a set for each kind of paragraph (there is one); remembers word hashes."""
 
     def __init__(self):
         self.known: dict[bytes, int] = {}
@@ -91,8 +89,7 @@ class Digests:
                 if v is None:
                     each[i] = known[ws[i]] = h(ws[i])
         hashes, end = np.array(each, "u8"), h(b"\n")
-        means = (MEAN_WORDS, FINE_MEAN) if len(hashes) <= FINE_WORDS else (MEAN_WORDS,)
-        return [_digests(hashes, _starts(hashes, end, m)) for m in means]
+        return [_digests(hashes, _starts(hashes, end, MEAN_WORDS))]
 
 
 def _cells(keys: np.ndarray, of: np.ndarray, size: int) -> list[np.ndarray]:
@@ -255,27 +252,35 @@ def in_order(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     """Rows (b, end, k, h, id, t), in each range b of ids sorted and followed by the first row of the range after (end 1).
 
     There are as many ranges as shuffles have partitions, or more where they would be larger than RANGE_BYTES; an id
-    with more rows than a range is dealt over several by the hash of the text. The driver sees a number of ids as large
-    as the number of ranges, never the ids of all documents.
+    with more rows than a range is dealt over several by the hash of the text. What is broadcast has a row for each range.
     """
     spark = docs.sparkSession
     k = F.coalesce(F.col(doc_id).cast("long"), F.lit(-(2**63)))
     rows = docs.select(k.alias("k"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("h"), F.col(doc_id).alias("id"), F.coalesce(text, F.lit("")).alias("t"))
     size = docs.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()[0]
     ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2, -(-size // RANGE_BYTES))
-    cuts = sorted(rows.select(F.col("k").cast("double")).approxQuantile("k", [i / ranges for i in range(1, ranges)], 1 / (4 * ranges)))
-    bounds = F.array(*map(F.lit, cuts)) if cuts else F.array().cast("array<double>")
-    below, equal = (F.size(F.filter(bounds, lambda x: test(x, F.col("k").cast("double")))) for test in (lambda x, k: x < k, lambda x, k: x == k))
-    share = (F.col("h").cast("double") / 2.0**64 + 0.5) * F.greatest(equal, F.lit(1))
-    part = F.least(F.floor(share), F.greatest(equal, F.lit(1)) - 1).cast("int")
-    rows = rows.withColumn("b", below + F.when(equal > 0, 1 + part).otherwise(0))
-    firsts = sorted((r["b"], *r["first"]) for r in rows.groupBy("b").agg(F.min(F.struct("k", "h")).alias("first")).collect())
-    if not firsts:
-        return rows.select("b", F.lit(0).alias("end"), "k", "h", "id", "t")
-    before = F.create_map(*[x for i, (_, k1, h1) in enumerate(firsts) for x in (F.concat_ws("/", F.lit(k1), F.lit(h1)), F.lit(firsts[i - 1][0]))])
-    ends = rows.where(F.col("k").isin([k1 for _, k1, _ in firsts])).withColumn("b", F.try_element_at(before, F.concat_ws("/", "k", "h"))).where("b is not null")
-    both = rows.withColumn("end", F.lit(0)).unionByName(ends.withColumn("end", F.lit(1)))
-    return both.select("b", "end", "k", "h", "id", "t").repartition(ranges, "b").sortWithinPartitions("b", "end", "k", "h", "t")
+    cuts = rows.select(F.col("k").cast("double")).approxQuantile("k", [i / ranges for i in range(1, ranges)], 1 / (4 * ranges))
+    shared = spark.sparkContext.broadcast(np.sort(np.array(cuts)))
+
+    @F.pandas_udf("int")
+    def dealt(keys: pd.Series, hashes: pd.Series) -> pd.Series:
+        """The range of each id; one at which several ranges end is dealt over them by the hash, in its order."""
+        at = keys.to_numpy(float)
+        below, upto = (np.searchsorted(shared.value, at, side) for side in ("left", "right"))
+        equal = upto - below
+        part = np.minimum(np.floor((hashes.to_numpy(float) / 2.0**64 + 0.5) * np.maximum(equal, 1)), np.maximum(equal, 1) - 1)
+        return pd.Series(below + np.where(equal > 0, 1 + part, 0).astype(np.int64)).astype("int32")
+
+    rows = rows.withColumn("b", dealt("k", "h"))
+    # The first row of each range goes to the range before it as well: a row for each range.
+    firsts = rows.groupBy("b").agg(F.min(F.struct("k", "h")).alias("first"))
+    last = firsts.agg(F.max("b").alias("last"))
+    before = F.coalesce(F.lag("b").over(Window.orderBy("b")), F.col("last"))
+    firsts = firsts.join(F.broadcast(last), F.lit(True)).select(F.col("first.k").alias("k1"), F.col("first.h").alias("h1"), before.alias("to"))
+    ends = rows.join(F.broadcast(firsts), (F.col("k") == F.col("k1")) & (F.col("h") == F.col("h1"))).withColumn("b", F.col("to"))
+    wanted = ["b", "end", "k", "h", "id", "t"]
+    both = rows.withColumn("end", F.lit(0)).select(*wanted).unionByName(ends.withColumn("end", F.lit(1)).select(*wanted))
+    return both.repartition(ranges, "b").sortWithinPartitions("b", "end", "k", "h", "t")
 
 
 def versions(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", share: int = 4) -> DataFrame:
@@ -297,7 +302,7 @@ def versions(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", share:
             near = likeness([*zip(own, edited), *zip(own, after)])
             n = len(held)
             out = pd.DataFrame({
-                "id": pd.array([h[0] for h in held], dtype="Int64"),
+                "id": [h[0] for h in held],
                 "n_chars": [len(h[1]) for h in held],
                 "edited_sha256": [hashlib.sha256(h[2].encode("utf-8", "surrogatepass")).hexdigest() for h in held],
                 "fingerprint": own,
@@ -319,11 +324,11 @@ def versions(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", share:
                         yield flush()
                         size = 0
                 done = bool(end)
-                last = None if end and (last is None or last[0] == b) else (b, None if i is None or i != i else int(i), t)
+                last = None if end and (last is None or last[0] == b) else (b, i, t)
         if held:
             yield flush()
 
-    names = "id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
-    rows = in_order(docs, doc_id, text).select("b", "end", F.col("id").cast("long").alias("id"), "t")
+    names = "id string, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+    rows = in_order(docs, doc_id, text).select("b", "end", F.col("id").cast("string").alias("id"), "t")  # as text: pandas would turn integers beside nulls into floats
     made = rows.mapInPandas(run, names)
     return made.select(F.col("id").cast(kind).alias(doc_id), *made.columns[1:])

@@ -300,7 +300,7 @@ def rules() -> list[tuple[int, str, int, float, tuple[str, ...], str]]:
 def as_words(text: Column) -> Column:
     """The words of a text with one space before, between and after them; one space where there are none."""
     gaps = F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", " "))
-    return F.when(gaps == "", F.lit(" ")).otherwise(F.concat(F.lit(" "), F.lower(gaps), F.lit(" ")))
+    return F.when(gaps == "", F.lit(" ")).otherwise(F.concat(F.lit(" "), F.translate(gaps, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), F.lit(" ")))
 
 
 def gates() -> dict[str, str]:

@@ -9,7 +9,7 @@ factor t (length filter), can still reach the overlap they need from the first t
 they share on (positional filter), and differ in few bits of a parity bitmap of their
 tokens, which carries over the size of their difference.
 
-Lines follow each other by document id (null first) and place. A line is removed if
+Lines follow each other by document id (null first), hash of the text and place. A line is removed if
 a line before it is similar, be that one removed itself or not; so of each class only
 one earlier similar class need be found. The join of prefix tokens is added up, in
 its tasks, to the candidate of each class that differs in the fewest bits, which is
@@ -25,8 +25,9 @@ probability below 1e-16 even among 1e11 lines. Prefix tokens are 40-bit hashes:
 hashes of different tokens only add candidates, and candidates are verified.
 
 Defined results: a null text counts as empty; lines without tokens stay; rows that
-share an id count as one document, whose equal lines in the same place are not
-later than each other; an empty table gives no rows.
+share an id follow each other by a hash of the text; rows equal in id and text count as
+one document, whose equal lines in the same place are not later than each other; an
+empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -101,21 +102,26 @@ def _named(s: Column) -> list[Column]:
     return [F.xxhash64(s).alias("u"), F.xxhash64(F.lit(7), s).alias("u2")]
 
 
+def text_hash(text: str) -> Column:
+    """Tells rows apart that share an id."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
 def lines(docs: DataFrame, text: str, doc_id: str, threshold: float, known: bytes) -> DataFrame:
-    """id, line, u, u2 (the class), m and m2 (parity bitmap), n (tokens), prefix of all lines with tokens."""
+    """id, h (of the text), line, u, u2 (the class), m and m2 (parity bitmap), n (tokens), prefix of all lines with tokens."""
     each = F.transform(F.split(_plain(F.col(text)), "\n"), lambda s, i: F.struct(i.alias("line"), *_named(s), _keys(s, known).alias("keys")))
-    rows = docs.select(F.col(doc_id).alias("id"), F.inline(each)).where(F.size("keys") > 0)
+    rows = docs.select(F.col(doc_id).alias("id"), text_hash(text).alias("h"), F.inline(each)).where(F.size("keys") > 0)
     n = F.size("keys")
     prefix = F.slice("keys", F.lit(1), (n - F.ceil(F.lit(threshold) * n - 1e-9) + 1).cast("int"))
     short = F.transform(prefix, lambda k: k.bitwiseAND(F.lit((1 << _KEY_BITS) - 1)))
-    return rows.select("id", "line", "u", "u2", _parity(0).alias("m"), _parity(1).alias("m2"), n.alias("n"), short.alias("prefix"))
+    return rows.select("id", "h", "line", "u", "u2", _parity(0).alias("m"), _parity(1).alias("m2"), n.alias("n"), short.alias("prefix"))
 
 
 def _posts(sets: DataFrame) -> DataFrame:
     """A row for each prefix token k of each class. code: twice the token's place, one more where the class need not be joined as the later one."""
     done = F.col("done").cast("int") if "done" in sets.columns else F.lit(0)
-    rows = sets.select("sid", "m", "m2", "n", F.col("first.id").alias("id"), F.col("first.line").alias("line"), done.alias("done"), F.posexplode("prefix").alias("pos", "k"))
-    return rows.select("sid", "m", "m2", "n", "id", "line", (2 * F.col("pos") + F.col("done")).alias("code"), "k")
+    rows = sets.select("sid", "m", "m2", "n", F.col("first.id").alias("id"), F.col("first.h").alias("h"), F.col("first.line").alias("line"), done.alias("done"), F.posexplode("prefix").alias("pos", "k"))
+    return rows.select("sid", "m", "m2", "n", "id", "h", "line", (2 * F.col("pos") + F.col("done")).alias("code"), "k")
 
 
 def _bits(m: str, other: str) -> Column:
@@ -138,7 +144,7 @@ def _candidates(later: DataFrame, every: DataFrame, threshold: float) -> DataFra
         & (nb >= F.lit(threshold) * na - 1e-9)
         & (F.least(na - place("a"), nb - place("b")) - F.col("a_code").bitwiseAND(F.lit(1)) * F.lit(1 << 30) >= need)
         & (bits <= na + nb - 2 * need)
-        & (F.struct("b_id", "b_line") < F.struct("a_id", "a_line"))
+        & (F.struct("b_id", "b_h", "b_line") < F.struct("a_id", "a_h", "a_line"))
     )
     return one.join(other, near).select(F.col("a_sid").alias("a"), F.col("b_sid").alias("b"), bits.cast("long").alias("bits"))
 
@@ -185,10 +191,10 @@ def _neighbours(sets: DataFrame, threshold: float) -> DataFrame:
     """sid, code: for each class the best of the two classes just before it among those that share one of a few of its prefix tokens."""
     few = F.array_distinct(F.transform(F.array(*map(F.lit, range(1, 7))), lambda i: F.get("prefix", F.floor(F.size("prefix") * i / 7).cast("int"))))
     some = _posts(sets.withColumn("prefix", few))
-    order = Window.partitionBy("k").orderBy("id", "line")
-    before = lambda by: F.lag(F.struct("sid", "m", "m2", "n", "id", "line"), by).over(order)
+    order = Window.partitionBy("k").orderBy("id", "h", "line")
+    before = lambda by: F.lag(F.struct("sid", "m", "m2", "n", "id", "h", "line"), by).over(order)
     pair = some.withColumn("b1", before(1)).withColumn("b2", before(2)).withColumn("b", F.explode(F.array("b1", "b2")))
-    pair = pair.where("b is not null").where(F.struct("b.id", "b.line") < F.struct("id", "line"))
+    pair = pair.where("b is not null").where(F.struct("b.id", "b.h", "b.line") < F.struct("id", "h", "line"))
     need, bits = _needed(F.col("n"), F.col("b.n"), threshold), _bits("m", "b.m")
     near = pair.where(bits <= F.col("n") + F.col("b.n") - 2 * need)
     return near.groupBy("sid").agg(F.min(_code(bits.cast("long"), F.col("b.sid"))).alias("code"))
@@ -204,10 +210,10 @@ def _best(found: DataFrame) -> DataFrame:
 
 
 def similar(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", threshold: float = THRESHOLD, cells: int = CELLS) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """All lines with tokens (id, line, u, u2); classes (sid, u, u2, first, times); sid of the classes that an earlier one is similar to."""
+    """All lines with tokens (id, h, line, u, u2); classes (sid, u, u2, first, times); sid of the classes that an earlier one is similar to."""
     every = stored(lambda: lines(docs, text, doc_id, threshold, levels(docs, text, cells)))
     one = lambda c: F.first(c).alias(c)
-    first = F.min(F.struct("id", "line")).alias("first")
+    first = F.min(F.struct("id", "h", "line")).alias("first")
     sets = stored(lambda: every.groupBy("u", "u2").agg(first, F.count("*").alias("times"), one("m"), one("m2"), one("n"), one("prefix")).withColumn("sid", F.monotonically_increasing_id()))
     # Members of large groups mostly find a neighbour; only the others are joined with all candidates.
     nearby = stored(lambda: _best(_neighbours(sets, threshold)))
@@ -229,11 +235,11 @@ def similar(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", thresho
     open_ = stored(lambda: part.where("code is not null").join(more, F.col("sid") == F.col("a"), "left_anti"))
     rest = stored(lambda: _close(_candidates(_posts(open_), _posts(part), threshold).select("a", "b").distinct(), texts, threshold), open_)
     later = stored(lambda: more.unionByName(_verified(rest, texts, threshold)).withColumnRenamed("a", "sid"), more, rest, texts, part)
-    return every.select("id", "line", "u", "u2"), sets.select("sid", "u", "u2", "first", "times"), later
+    return every.select("id", "h", "line", "u", "u2"), sets.select("sid", "u", "u2", "first", "times"), later
 
 
 def removals(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", threshold: float = THRESHOLD, cells: int = CELLS) -> DataFrame:
-    """id, removed (places of removed lines, from 0, in order) of the documents that lose lines."""
+    """id, h (text_hash), removed (places of removed lines, from 0, in order) of the documents that lose lines."""
     every, sets, later = similar(docs, text, doc_id, threshold, cells)
     told = sets.join(later.withColumn("later", F.lit(True)), "sid", "left").where("times > 1 or later").select("u", "u2", "first", "later", "times")
     total = every.count()
@@ -241,15 +247,15 @@ def removals(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", thresh
     seen = every.join(F.broadcast(hot), ["u", "u2"], "left")
     rare = every.join(F.broadcast(hot.select("u", "u2")), ["u", "u2"], "left_anti").join(told.where(F.col("times") < F.lit(HOT) * total), ["u", "u2"])
     of = seen.where("times is not null").unionByName(rare)
-    gone = of.where(F.col("later") | ~(F.col("id").eqNullSafe(F.col("first.id")) & (F.col("line") == F.col("first.line"))))
-    return gone.groupBy("id").agg(F.array_sort(F.collect_set("line")).alias("removed"))
+    gone = of.where(F.col("later") | ~(F.col("id").eqNullSafe(F.col("first.id")) & (F.col("h") == F.col("first.h")) & (F.col("line") == F.col("first.line"))))
+    return gone.groupBy("id", "h").agg(F.array_sort(F.collect_set("line")).alias("removed"))
 
 
 def dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", threshold: float = THRESHOLD, cells: int = CELLS) -> DataFrame:
     """The documents without removed lines, with all their columns; a text of which no line is removed stays as it is, null included."""
     gone = removals(docs, text, doc_id, threshold, cells)
-    own, lost = free_names(docs, 2)
-    gone = gone.select(F.col("id").alias(own), F.col("removed").alias(lost))
+    own, own_hash, lost = free_names(docs, 3)
+    gone = gone.select(F.col("id").alias(own), F.col("h").alias(own_hash), F.col("removed").alias(lost))
     left = F.array_join(F.filter(F.split(text, "\n"), lambda x, i: ~F.array_contains(lost, i)), "\n")
-    joined = docs.join(gone, F.col(doc_id).eqNullSafe(F.col(own)), "left")
+    joined = docs.join(gone, (F.col(own_hash) == text_hash(text)) & F.col(doc_id).eqNullSafe(F.col(own)), "left")
     return joined.select(*[F.when(F.col(lost).isNull(), F.col(c)).otherwise(left).alias(c) if c == text else F.col(c) for c in docs.columns])

@@ -15,7 +15,6 @@ labels of one kind only, every score is that kind's share (0.5 without labels).
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -64,17 +63,13 @@ def statistics(text: str | None) -> list[float]:
 
 
 def features(docs: DataFrame, keep: tuple[str, ...], text: str = "text") -> DataFrame:
-    """The columns in ``keep`` and ``x``, the statistics."""
-    kinds = dict(docs.dtypes)
+    """The columns in ``keep`` and ``x``, the statistics. Only texts go to Python."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            x = [statistics(t) for t in batch["__t"]]
-            yield batch.drop(columns="__t").assign(x=pd.Series(x, index=batch.index, dtype=object))
+    @F.pandas_udf("array<double>")
+    def run(texts: pd.Series) -> pd.Series:
+        return pd.Series([statistics(t) for t in texts], dtype=object)
 
-    rows = docs.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keep)], F.col(text).alias("__t"))
-    made = rows.mapInPandas(run, ", ".join([f"k{i} {kinds[c]}" for i, c in enumerate(keep)] + ["x array<double>"]))
-    return made.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)], "x")
+    return docs.select(*keep, run(F.col(text)).alias("x"))
 
 
 @dataclass

@@ -88,10 +88,10 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many lines every whole document has, and which go because a similar line (0.8 or more of the token set) comes before."""
     docs = table(spark, sf_dir, "documents")
-    gone = line_dedup.removals(docs).select(F.col("id").alias("gone_id"), "removed")
-    lines = docs.select("doc_id", F.size(F.split(F.coalesce("text", F.lit("")), "\n")).cast("long").alias("n_lines"))
+    gone = line_dedup.removals(docs).select(F.col("id").alias("gone_id"), F.col("h").alias("gone_h"), "removed")
+    lines = docs.select("doc_id", line_dedup.text_hash("text").alias("h"), F.size(F.split(F.coalesce("text", F.lit("")), "\n")).cast("long").alias("n_lines"))
     removed = F.coalesce("removed", F.array().cast("array<int>"))
-    return lines.join(gone, F.col("doc_id").eqNullSafe(F.col("gone_id")), "left").select(
+    return lines.join(gone, (F.col("h") == F.col("gone_h")) & F.col("doc_id").eqNullSafe(F.col("gone_id")), "left").select(
         "doc_id", "n_lines", F.size(removed).cast("long").alias("n_removed"), F.array_join(removed.cast("array<string>"), ",").alias("removed_lines")
     )
 

@@ -21,9 +21,7 @@ def paragraphs(text, mean):
 
 
 def brute_likeness(a, b):
-    n = [len(t.replace("\n", " \n ").split(" ")) for t in (a, b)]
-    mean = f.FINE_MEAN if max(n) <= f.FINE_WORDS else f.MEAN_WORDS
-    x, y = paragraphs(a, mean), paragraphs(b, mean)
+    x, y = paragraphs(a, f.MEAN_WORDS), paragraphs(b, f.MEAN_WORDS)
     return sum((x & y).values()) / max(sum((x | y).values()), 1)
 
 
