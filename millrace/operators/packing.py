@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -144,24 +143,29 @@ def write_processed(records: DataFrame, path: str) -> None:
 
 
 def packed_batches(df: DataFrame, by: str, order: str, size: str, limit: int = 32_768) -> DataFrame:
-    """(by, order, batch): items in order, none split, a batch closed before it would exceed the limit. Streams sorted rows."""
+    """(by, order, batch): items in order, none split, a batch closed before it would exceed the limit.
+
+    Streams sorted rows, a key by one task: for keys of any size see ``batching.packed``. Null keys are one key.
+    """
     kinds = dict(df.dtypes)
 
-    def run(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(parts: Iterator) -> Iterator:
+        import pyarrow as pa
+
         now, batch, held = None, 0, 0
-        for part in rows:
+        for part in parts:
             out = []
-            for k, n in zip(part[by], part[size]):
+            for k, n in zip(part.column("__k").to_pylist(), part.column(size).to_pylist()):
                 if k != now:
                     now, batch, held = k, 0, 0
                 if held and held + n > limit:
                     batch, held = batch + 1, 0
                 held += n
                 out.append(batch)
-            yield part[[by, order]].assign(batch=out)
+            yield pa.RecordBatch.from_arrays([part.column(by), part.column(order), pa.array(out, pa.int64())], names=[by, order, "batch"])
 
-    rows = df.select(by, order, F.coalesce(F.col(size), F.lit(0)).cast("long").alias(size)).repartition(by).sortWithinPartitions(by, order)
-    return rows.mapInPandas(run, f"{by} {kinds[by]}, {order} {kinds[order]}, batch long")
+    rows = df.select(by, order, F.coalesce(F.col(size), F.lit(0)).cast("long").alias(size), F.xxhash64(by).alias("__k")).repartition(by).sortWithinPartitions(by, order)
+    return rows.mapInArrow(run, f"`{by}` {kinds[by]}, `{order}` {kinds[order]}, batch long")
 
 
 def output_path(path: Column, root: str) -> Column:

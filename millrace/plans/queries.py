@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions import geometry, prompts, sequences, text
-from millrace.operators import inference, packing, relational, reports
+from millrace.operators import batching, inference, packing, relational, reports
 from millrace.session import configured, shared_folder
 from millrace.sources import files
 
@@ -188,9 +188,7 @@ r AS (SELECT 0::BIGINT AS p, ''::VARCHAR AS source, 0::BIGINT AS b, 0::BIGINT AS
   FROM r JOIN f ON f.p = r.p + 1, s)
 SELECT source AS file, least(b, 3)::INTEGER AS rank FROM r WHERE p > 0""")
 def greedy_balance(t):
-    sizes = t("documents").groupBy("source").count()
-    one = sizes.agg(F.collect_list(F.struct(F.col("source").alias("name"), F.col("count").alias("size"))).alias("files"))
-    return one.select(F.explode(relational.balanced(F.col("files"), 4)).alias("x")).select("x.file", "x.rank")
+    return batching.balanced(t("documents").groupBy(F.col("source").alias("name")).agg(F.count("*").alias("size")), 4)
 
 
 @query("""
@@ -396,6 +394,32 @@ def token_pack(t):
     return packing.packed_batches(t("documents"), "source", "doc_id", "n_chars")
 
 
+@query("""
+WITH RECURSIVE o AS (SELECT doc_id, n_chars AS n, row_number() OVER (ORDER BY doc_id) AS p FROM documents),
+r AS (SELECT doc_id, p, 0::BIGINT AS batch, n AS held FROM o WHERE p = 1
+  UNION ALL SELECT o.doc_id, o.p, CASE WHEN held > 0 AND held + n > 32768 THEN batch + 1 ELSE batch END, CASE WHEN held > 0 AND held + n > 32768 THEN n ELSE held + n END FROM r JOIN o ON o.p = r.p + 1)
+SELECT 'all' AS shard, doc_id, batch FROM r""")
+def token_pack_one_key(t):
+    return batching.packed(t("documents").withColumn("shard", F.lit("all")), ["shard"], ["doc_id"], "n_chars", block=256)
+
+
+@query("""
+WITH RECURSIVE o AS (SELECT c_custkey, c_acctbal AS y, row_number() OVER (ORDER BY c_acctbal, c_custkey) AS p FROM customer),
+r AS (SELECT c_custkey, p, y AS anchor, 0::BIGINT AS line FROM o WHERE p = 1
+  UNION ALL SELECT o.c_custkey, o.p, CASE WHEN o.y - anchor < 10 THEN anchor ELSE o.y END, CASE WHEN o.y - anchor < 10 THEN line ELSE line + 1 END FROM r JOIN o ON o.p = r.p + 1)
+SELECT c_custkey, line FROM r""")
+def ocr_lines_one_page(t):
+    return batching.lines(t("customer").select(F.lit(1).alias("page"), "c_custkey", "c_acctbal"), ["page"], "c_acctbal", ["c_custkey"], block=256).select("c_custkey", "line")
+
+
+@query("""
+WITH o AS (SELECT event_type = 'click' AS hit, row_number() OVER (ORDER BY ts, event_id) AS i FROM events),
+g AS (SELECT i, i - row_number() OVER (ORDER BY i) AS g FROM o WHERE hit)
+SELECT row_number() OVER (ORDER BY min(i))::BIGINT AS run, count(*)::BIGINT AS length FROM g GROUP BY g""")
+def run_lengths_one_key(t):
+    return batching.runs(t("events").withColumn("all", F.lit(1)), ["all"], ["ts", "event_id"], F.col("event_type") == "click").drop("all")
+
+
 _PROMPTS = ", ".join("'" + p + "'" for p in prompts.PROMPTS["ocr"])
 
 

@@ -94,9 +94,8 @@ def pdf_pages(df: DataFrame, open_reader: Callable[[], Callable[[str], Pages]],
 
 def fetched(df: DataFrame, open_fetch: Callable[[], Callable[[str], tuple[int, bytes]]], url: str = "url") -> DataFrame:
     """Adds ``content``: what an injected fetch (address -> status, body) returns with status 200, else null."""
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         fetch = open_fetch()
 
         def one(address: str | None) -> bytes | None:
@@ -107,9 +106,10 @@ def fetched(df: DataFrame, open_fetch: Callable[[], Callable[[str], tuple[int, b
             return body if status == 200 else None
 
         for batch in batches:
-            yield batch.assign(content=[one(a) for a in batch[url]])
+            yield pd.Series([one(a) for a in batch], dtype=object)
 
-    return df.mapInPandas(run, f"{kinds}, content binary")
+    run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
+    return df.withColumn("content", F.pandas_udf(run, "binary").asNondeterministic()(F.col(url)))
 
 
 def write_images(df: DataFrame, folder: str, name: str = "name", content: str = "content") -> int:
