@@ -205,3 +205,12 @@ def answered(samples: DataFrame, open_client: Callable[[], Client | list[Client]
 def write_by(df: DataFrame, path: str, by: str = "rank") -> None:
     """JSON lines in a folder for each rank or path; a share without rows writes nothing."""
     df.write.mode("overwrite").partitionBy(by).option("ignoreNullFields", "false").json(path)
+
+
+def save(df: DataFrame, root: str, by: str = "rank", order: tuple[str, ...] = ("id",)) -> None:
+    """JSON lines in exactly one file for each rank (``rank0.jsonl``, ...) or path (by its name); files that exist stay, and the manifest tells the rows."""
+    from millrace.functions.text import basename
+    from millrace.sources import routed
+
+    name = basename(F.col(by)) if dict(df.dtypes)[by] == "string" else F.concat(F.lit(by), F.col(by).cast("string"), F.lit(".jsonl"))
+    routed.write_files(df.withColumn("__path", name).drop(by), root, "__path", order)

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions import geometry, images, sequences, text
@@ -142,6 +142,25 @@ def write_processed(records: DataFrame, path: str) -> None:
     records.drop("file").write.mode("overwrite").partitionBy("path").option("ignoreNullFields", "false").json(path)
 
 
+def process_folder(spark: SparkSession, raw_root: str, out_root: str, holistic: Callable[[Column], Column] | None = None, **packing) -> None:
+    """Raw sample files below a folder to a file of records for each, named after it; a run that is repeated packs what is missing.
+
+    A file is written whole or not at all (``routed.write_files``, with its manifest): conversations with their images in the
+    order of the raw rows, then a dummy image.
+    """
+    from millrace.sources import files, routed
+
+    raw = files.raw_samples(spark, raw_root)
+    relative = F.substring(output_path(F.col("file"), out_root.rstrip("/")), len(out_root.rstrip("/")) + 2, 1 << 30)
+    done = routed.written(spark, out_root).withColumnRenamed("path", "__done")
+    todo = raw.join(done, relative == F.col("__done"), "left_anti")
+    made = pack_holistic(todo, holistic, by_file=True, **packing) if holistic else pack(todo, by_file=True, **packing)
+    last = (F.lit(1 << 62)).alias("row")
+    every = todo.select("file").distinct().select("file", F.lit("image").alias("type"), F.col("file").alias("id"), F.lit(DUMMY).alias("content"), last)
+    records = made.unionByName(every, allowMissingColumns=True).withColumn("path", relative)
+    routed.write_files(records, out_root, order=("row", "i", "id"), leave=("file", "row", "i"))
+
+
 def packed_batches(df: DataFrame, by: str, order: str, size: str, limit: int = 32_768) -> DataFrame:
     """(by, order, batch): items in order, none split, a batch closed before it would exceed the limit.
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from millrace.functions import geometry, prompts, sequences, text
 from millrace.operators import batching, inference, packing, relational, reports
 from millrace.session import configured, shared_folder
-from millrace.sources import files
+from millrace.sources import archives, files, routed
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -487,3 +487,42 @@ def jsonl_roundtrip(t):
     files.write_json_lines(rows, path)
     return files.json_lines(spark, path, "conv_id long, turn long, role string, text string", strict=True).drop("file")
 
+
+
+def _fresh(t, name: str) -> str:
+    """A folder of its own among those that all executors share."""
+    return f"{shared_folder(t('region').sparkSession)}/{name}-{uuid.uuid4().hex}"
+
+
+@query("SELECT conv_id, turn, role, text, 'part' || conv_id % 7 || '/turns.jsonl' AS file FROM conversations")
+def routed_roundtrip(t):
+    rows, root = t("conversations"), _fresh(t, "routed")
+    spark = rows.sparkSession
+    path = F.concat(F.lit("part"), (F.col("conv_id") % 7).cast("string"), F.lit("/turns.jsonl"))
+    # Half of the files are there when the second run begins, which leaves them as they are.
+    for some in (rows.where("conv_id % 7 < 3"), rows):
+        routed.write_files(some.withColumn("path", path), root, order=("conv_id", "turn"))
+    back = files.json_lines(spark, root, "conv_id long, turn long, role string, text string", strict=True)
+    return back.withColumn("file", F.array_join(F.slice(F.split("file", "/"), -2, 2), "/"))
+
+
+@query("""
+SELECT 'part' || conv_id % 7 || '/turns.jsonl' AS path, count(*)::BIGINT AS rows FROM conversations GROUP BY 1""")
+def routed_manifest(t):
+    rows, root = t("conversations"), _fresh(t, "manifest")
+    path = F.concat(F.lit("part"), (F.col("conv_id") % 7).cast("string"), F.lit("/turns.jsonl"))
+    routed.write_files(rows.withColumn("path", path), root, order=("conv_id", "turn"))
+    return routed.manifests(rows.sparkSession, root).select("path", "rows")
+
+
+@query("""
+SELECT 'pages' || page_id % 3 || '.zip' AS archive, page_id::VARCHAR || '.html' AS member, octet_length(encode(html))::BIGINT AS size, sha256(html) AS sha256 FROM pages
+WHERE ends_with(page_id::VARCHAR || '.html', '7.html')""")
+def archive_members(t):
+    pages, root = t("pages"), _fresh(t, "archives")
+    spark = pages.sparkSession
+    rows = pages.select(F.concat(F.lit("pages"), (F.col("page_id") % 3).cast("string"), F.lit(".zip")).alias("archive"), F.concat(F.col("page_id").cast("string"), F.lit(".html")).alias("member"), F.encode("html", "UTF-8").alias("content"))
+    archives.write_zips(rows, root)
+    spark.dataSource.register(archives.Archives)
+    read = spark.read.format("archive").options(kind="zip", suffixes="7.html", splitBytes=1 << 16).load(root)
+    return read.select(F.element_at(F.split("archive", "/"), -1).alias("archive"), "member", "size", F.sha2("content", 256).alias("sha256"))
