@@ -27,6 +27,11 @@ def strip(s: Column) -> Column:
     return F.regexp_replace(s, r"(?U)^\s+|(?U)\s+$", "")
 
 
+def plain_path(path: Column) -> Column:
+    """A path as it is in its store, from one that the file source has escaped."""
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+
+
 def strip_chars(s: Column, chars: str) -> Column:
     """Without any of the characters at both ends: a set of characters, not a suffix."""
     return F.btrim(s, F.lit(chars))

@@ -8,11 +8,15 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from decimal import ROUND_HALF_EVEN, Decimal
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from millrace.functions.text import plain_path
 
 LONG = "benchmark string, row int, split string, metric string, value double"
 RULES = "benchmark string, pick string, metrics array<string>, how string"
@@ -68,31 +72,68 @@ def _json_number(text: str, place: str) -> float | None:
     return _number(here)
 
 
-def read_reports(spark: SparkSession, root: str, name: Callable[[str], str], registry: list[Report]) -> DataFrame:
-    """(benchmark, row, split, metric, value) of every report of a registry that is there; ``name`` makes a file's name.
+@F.pandas_udf(T.ArrayType(T.StructType([T.StructField("metric", T.StringType()), T.StructField("value", T.DoubleType())])))
+def _json_numbers(texts: pd.Series, places: pd.Series) -> pd.Series:
+    return pd.Series([[(p, v) for p in ps if (v := _json_number(t, p)) is not None] for t, ps in zip(texts, places)], dtype=object)
+
+
+def _fields(tables: DataFrame) -> DataFrame:
+    """file, row, i, name, field of CSV texts (file, text): row 0 follows the header; quoted fields may hold anything; blank lines are skipped."""
+    pattern = r"(\"(?:[^\"]++|\"\")*+\"|[^,\r\n]*+)(,|\r?\n)"
+    whole = F.concat(F.rtrim("text", F.lit("\r\n")), F.lit("\n"))
+    pairs = F.arrays_zip(F.regexp_extract_all(whole, F.lit(pattern), F.lit(1)).alias("field"), F.regexp_extract_all(whole, F.lit(pattern), F.lit(2)).alias("end"))
+    each = tables.select("file", F.posexplode(pairs).alias("at", "x")).select("file", "at", "x.field", "x.end")
+    order = Window.partitionBy("file").orderBy("at")
+    line = F.sum((F.col("end") != ",").cast("int")).over(order) - (F.col("end") != ",").cast("int")
+    plain = F.when(F.startswith("field", F.lit('"')), F.replace(F.expr("substring(field, 2, length(field) - 2)"), F.lit('""'), F.lit('"'))).otherwise(F.col("field"))
+    each = each.select("file", "at", line.alias("line"), plain.alias("field"))
+    in_line = Window.partitionBy("file", "line")
+    each = each.withColumn("i", F.row_number().over(in_line.orderBy("at")) - 1).withColumn("n", F.count("*").over(in_line)).where("n > 1 or field <> ''")
+    rows = each.select("file", (F.dense_rank().over(Window.partitionBy("file").orderBy("line")) - 2).alias("row"), "i", "field")
+    header = rows.where("row = -1").select(F.col("file").alias("f"), F.col("i").alias("j"), F.col("field").alias("name"))
+    return rows.where("row >= 0").join(header, (F.col("file") == F.col("f")) & (F.col("i") == F.col("j"))).select("file", "row", "i", "name", "field")
+
+
+def scanned(spark: SparkSession, root: str, registry: list[Report]) -> DataFrame:
+    """(experiment, benchmark, row, split, metric, value) of all reports below a folder, of any number of experiments, in one scan.
 
-    Reports are single small files, so the loop over the registry is the driver's. Files that aren't there are left out.
+    A file belongs to the rules whose ``file`` its name ends with (of several endings the longest); what stands before the ending
+    is the experiment. The rules are the only thing that is broadcast; files without a rule aren't parsed, numbers that can't be read
+    are left out, JSON that can't be parsed fails the job.
     """
-    fs = lambda p: p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-    out = None
-    for r in registry:
-        path = f"{root.rstrip('/')}/{name(r.file)}"
-        if r.link or not fs(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)):
-            continue
-        if r.kind == "json":
-            text = spark.read.text(path, wholetext=True).first()[0]
-            found = [(r.benchmark, 0, "", m, _json_number(text, m)) for m in r.metrics]
-            long = spark.createDataFrame([f for f in found if f[-1] is not None], LONG)
-        else:
-            table = spark.read.option("header", "true").option("multiLine", "true").option("escape", '"').csv(path).coalesce(1).withColumn("__row", F.monotonically_increasing_id().cast("int"))
-            label = table.columns[0] if r.kind == "indexed" else next((c for c in table.columns if c.lower() == "split"), None)
-            rows = table.select(
-                F.lit(r.benchmark).alias("benchmark"), F.col("__row").alias("row"), (F.col(f"`{label}`") if label else F.lit("")).alias("split"),
-                F.inline(F.array(*[F.struct(F.lit(m).alias("metric"), F.regexp_replace(F.col(f"`{m}`"), "%$", "").try_cast("double").alias("value")) for m in r.metrics])),
-            )
-            long = rows.where("value is not null")
-        out = long if out is None else out.unionByName(long)
-    return out if out is not None else spark.createDataFrame([], LONG)
+    known = [(r.benchmark, r.file, r.kind, list(r.metrics)) for r in registry if not r.link]
+    rules = spark.createDataFrame(known, "benchmark string, ending string, kind string, metrics array<string>")
+    files = spark.read.text(root, wholetext=True, recursiveFileLookup=True).select(F.col("value").alias("text"), plain_path(F.col("_metadata.file_path")).alias("file"))
+    files = files.withColumn("base", F.element_at(F.split("file", "/"), -1))
+    endings = sorted({r[1] for r in known}, key=lambda e: (-len(e), e))
+    ending = F.coalesce(*[F.when(F.endswith("base", F.lit(e)), F.lit(e)) for e in endings]) if endings else F.lit(None).cast("string")
+    mine = files.withColumn("own", ending).where("own is not null").withColumn("experiment", F.expr("substring(base, 1, length(base) - length(own))"))
+    both = mine.join(F.broadcast(rules), F.col("own") == F.col("ending"))
+    told = both.where("kind = 'json'").select("experiment", "benchmark", F.lit(0).alias("row"), F.lit("").alias("split"), F.inline(_json_numbers("text", "metrics")))
+    tables = mine.join(F.broadcast(rules.where("kind <> 'json'").select("ending").distinct()), F.col("own") == F.col("ending"), "left_semi")
+    fields = _fields(tables.select("file", "text")).join(both.where("kind <> 'json'").select(F.col("file").alias("f"), "experiment", "benchmark", "kind", "metrics"), F.col("file") == F.col("f"))
+    label = F.when(F.col("kind") == "indexed", F.col("i") == 0).otherwise(F.lower("name") == "split")
+    split = F.min(F.when(label, F.struct("i", "field"))).over(Window.partitionBy("file", "benchmark", "row"))["field"]
+    value = F.regexp_replace("field", "%$", "").try_cast("double")
+    rows = fields.select("experiment", "benchmark", "row", F.coalesce(split, F.lit("")).alias("split"), F.col("name").alias("metric"), value.alias("value"), "metrics")
+    return rows.where(F.array_contains("metrics", F.col("metric")) & F.col("value").isNotNull()).drop("metrics").unionByName(told)
+
+
+def read_reports(spark: SparkSession, root: str, name: Callable[[str], str], registry: list[Report]) -> DataFrame:
+    """(benchmark, row, split, metric, value) of every report of a registry that is in a folder; ``name`` makes a file's name."""
+    named = [replace(r, file=name(r.file)) for r in registry]
+    return scanned(spark, root, named).where("experiment = ''").select("benchmark", "row", "split", "metric", "value")
+
+
+def suite(spark: SparkSession, root: str, registry: list[Report]) -> DataFrame:
+    """(experiment, report): 'name: score' lines of each experiment in registry order, the mean of all scores last."""
+    order = spark.createDataFrame([(i, r.benchmark, r.link) for i, r in enumerate(registry)], "ord int, name string, link string")
+    scored = scores(scanned(spark, root, registry), rule_table(spark, registry), ("experiment",))
+    links = scored.select("experiment").distinct().join(F.broadcast(order.where("link is not null")), F.lit(True))
+    lines = scored.join(F.broadcast(order), F.col("benchmark") == F.col("name")).select("experiment", "ord", F.concat("benchmark", F.lit(": "), F.col("score").cast("string")).alias("line"), "score")
+    lines = lines.unionByName(links.select("experiment", "ord", F.concat("name", F.lit(": "), "link").alias("line"), F.lit(None).cast("double").alias("score")))
+    told = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ord", "line"))), lambda x: x["line"]), "\n")  # a line for each rule
+    return lines.groupBy("experiment").agg(F.concat(told, F.lit("\nAverage: "), one_decimal(F.avg("score")).cast("string")).alias("report"))
 
 
 def rule_table(spark: SparkSession, registry: list[Report]) -> DataFrame:
@@ -108,12 +149,12 @@ def suite_report(spark: SparkSession, root: str, name: Callable[[str], str], reg
     return "\n".join([title, "", *lines, *mean]).strip() if title else "\n".join([*lines, *mean])
 
 
-def scores(long: DataFrame, rules: DataFrame) -> DataFrame:
-    """(benchmark, score) by rule: the first or last row, the row of a number, or that of a split; the mean or sum of the named metrics.
+def scores(long: DataFrame, rules: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """(by, benchmark, score) by rule: the first or last row, the row of a number, or that of a split; the mean or sum of the named metrics.
 
     long: (benchmark, row, split, metric, value). Benchmarks without a report are left out.
     """
-    w = Window.partitionBy("benchmark")
+    w = Window.partitionBy(*by, "benchmark")
     rows = long.join(F.broadcast(rules), "benchmark").withColumn("last", F.max("row").over(w))
     numbered = F.col("pick").rlike("^[0-9]+$")
     wanted = (
@@ -122,7 +163,7 @@ def scores(long: DataFrame, rules: DataFrame) -> DataFrame:
     )
     used = rows.where(wanted & F.array_contains("metrics", F.col("metric")))
     value = F.when(F.first("how") == "sum", F.sum("value")).otherwise(F.avg("value"))
-    return used.groupBy("benchmark").agg(as_percent(value).alias("score"))
+    return used.groupBy(*by, "benchmark").agg(as_percent(value).alias("score"))
 
 
 def overall(scored: DataFrame, needed: list[str], joint: tuple[str, str] | None = None) -> DataFrame:

@@ -526,3 +526,31 @@ def archive_members(t):
     spark.dataSource.register(archives.Archives)
     read = spark.read.format("archive").options(kind="zip", suffixes="7.html", splitBytes=1 << 16).load(root)
     return read.select(F.element_at(F.split("archive", "/"), -1).alias("archive"), "member", "size", F.sha2("content", 256).alias("sha256"))
+
+
+_SUITE = [
+    reports.Report("last", "_acc.csv", pick="last"), reports.Report("named", "_acc.csv", pick="NATION_7"), reports.Report("both", "_acc.csv", pick="first", metrics=("Overall", "acc, all"), how="sum"),
+    reports.Report("video", "_video.json", "json", metrics=("overall.all", "list.-1")), reports.Report("missing", "_none.csv"),
+]
+
+
+@query("""
+WITH long AS (SELECT r_name AS experiment, n_name AS split, n_nationkey / 8.0::DOUBLE AS v, row_number() OVER w - 1 AS row, count(*) OVER (PARTITION BY r_name) AS n FROM nation JOIN region ON n_regionkey = r_regionkey
+  WINDOW w AS (PARTITION BY r_name ORDER BY n_nationkey)),
+x AS (SELECT experiment, 'last' AS benchmark, v AS s FROM long WHERE row = n - 1 UNION ALL SELECT experiment, 'named', v FROM long WHERE split = 'NATION_7' UNION ALL SELECT experiment, 'both', v + 2 * v FROM long WHERE row = 0
+  UNION ALL SELECT r_name, 'video', (r_regionkey + 0.25::DOUBLE + r_regionkey * 10) / 2 FROM region)
+SELECT experiment, benchmark, round_even(CASE WHEN s < 1 THEN s * 100 ELSE s END, 1) AS score FROM x""")
+def suite_scores(t):
+    root = _fresh(t, "reports")
+    spark = t("region").sparkSession
+    rows = t("nation").join(F.broadcast(t("region")), F.col("n_regionkey") == F.col("r_regionkey"))
+    v = F.col("n_nationkey") / 8.0
+    line = F.concat_ws(",", F.col("n_name"), v.cast("string"), F.concat(F.lit('"'), (v * 2).cast("string"), F.lit('"')))
+    table = rows.select(F.concat("r_name", F.lit("_acc.csv")).alias("path"), F.col("n_nationkey").alias("o"), line.alias("value"))
+    head = t("region").select(F.concat("r_name", F.lit("_acc.csv")).alias("path"), F.lit(-1).alias("o"), F.lit('split,Overall,"acc, all"').alias("value"))
+    whole = F.concat(F.lit('{"overall": {"all": "'), (F.col("r_regionkey") + 0.25).cast("string"), F.lit('%"}, "list": [1, '), (F.col("r_regionkey") * 10).cast("string"), F.lit("]}"))
+    told = t("region").select(F.concat("r_name", F.lit("_video.json")).alias("path"), F.lit(0).alias("o"), whole.alias("value"))
+    spark.dataSource.register(routed.RoutedLines)
+    lines = table.unionByName(head).unionByName(told).repartition("path").sortWithinPartitions("path", "o").select("path", "value")
+    lines.write.format("routed_lines").mode("append").option("path", root).save()
+    return reports.scores(reports.scanned(spark, root, _SUITE), reports.rule_table(spark, _SUITE), ("experiment",))

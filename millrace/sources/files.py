@@ -20,7 +20,7 @@ def listing(spark: SparkSession, roots: str | list[str], suffixes: str | tuple[s
 
 def json_lines(spark: SparkSession, path: str | list[str], schema: str | T.StructType, strict: bool = False) -> DataFrame:
     """Rows of JSON lines with ``file``. Strict: a blank or broken line fails the job; otherwise blank lines are skipped."""
-    lines = spark.read.text(path, recursiveFileLookup=True).select("value", F.col("_metadata.file_path").alias("file"))
+    lines = spark.read.text(path, recursiveFileLookup=True).select("value", text.plain_path(F.col("_metadata.file_path")).alias("file"))
     if not strict:
         lines = lines.where(F.trim("value") != "")
     options = {"mode": "FAILFAST" if strict else "PERMISSIVE"}

@@ -198,3 +198,19 @@ def test_views(spark):
     cap = spark.createDataFrame([("c", png(ramp(3, 4)))], "caption string, base64_image string")
     assert views.captions(cap).first()["text"] == "image size:(3, 4)\n\nc"
     assert views.results(spark.createDataFrame([("a*", "a"), ("x", "y")], "label string, answer string")).where("same").count() == 1
+
+
+def test_reports_of_many_experiments_in_one_scan(spark, tmp_path):
+    for e, k in (("one", 0.5), ("two", 0.25)):
+        (tmp_path / f"{e}_acc.csv").write_text(f'split,Overall,"a ""b"", c"\r\ntest,{k},7\r\n\r\n"validation",{k + 0.1},"8"\n')
+        (tmp_path / f"{e}_val_acc.csv").write_text('Index,Overall\n"x\ny",9.5%\nz,word\n')
+    (tmp_path / "one_s.json").write_text('{"a": [1, {"b": "12.25%"}]}')
+    (tmp_path / "unknown.txt").write_text("not a report")
+    rules = [
+        reports.Report("A", "_acc.csv", pick="validation"), reports.Report("B", "_acc.csv", pick="last", metrics=('a "b", c',)), reports.Report("C", "_val_acc.csv", "indexed", "x\ny"),
+        reports.Report("D", "_s.json", "json", metrics=("a.-1.b",)), reports.Report("E", "_no.csv"), reports.Report("F", "f", link="submit"),
+    ]
+    got = {(r["experiment"], r["benchmark"]): r["score"] for r in reports.scores(reports.scanned(spark, str(tmp_path), rules), reports.rule_table(spark, rules), ("experiment",)).collect()}
+    assert got == {("one", "A"): 60.0, ("two", "A"): 35.0, ("one", "B"): 8.0, ("two", "B"): 8.0, ("one", "C"): 9.5, ("two", "C"): 9.5, ("one", "D"): 12.2}
+    told = {r["experiment"]: r["report"] for r in reports.suite(spark, str(tmp_path), rules).collect()}
+    assert told == {"one": "A: 60.0\nB: 8.0\nC: 9.5\nD: 12.2\nF: submit\nAverage: 22.4", "two": "A: 35.0\nB: 8.0\nC: 9.5\nF: submit\nAverage: 17.5"}
