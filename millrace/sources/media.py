@@ -113,22 +113,28 @@ def fetched(df: DataFrame, open_fetch: Callable[[], Callable[[str], tuple[int, b
 
 
 def write_images(df: DataFrame, folder: str, name: str = "name", content: str = "content") -> int:
-    """Each base64 image as a file of its name in a folder that all executors share; how many were written."""
+    """Each base64 image as a file of its name below a folder that all tasks reach; how many were written. A file is whole or not there."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import os
+        import posixpath
+        import uuid
 
+        from millrace.sources.stores import store
+
+        fs, root = store(folder.rstrip("/"))
         for batch in batches:
             done = 0
             for n, c in zip(batch["name"], batch["content"]):
                 if n is None or c is None:
                     continue
-                to = os.path.join(folder, n)
-                os.makedirs(os.path.dirname(to), exist_ok=True)
-                part = f"{to}.{os.getpid()}.part"
-                with open(part, "wb") as f:
+                if posixpath.normpath(n) != n or n.startswith(("/", "..")):
+                    raise ValueError(f"not the name of a file below the folder: {n!r}")
+                to = f"{root}/{n}"
+                fs.create_dir(posixpath.dirname(to), recursive=True)
+                part = f"{posixpath.dirname(to)}/_{uuid.uuid4().hex}"
+                with fs.open_output_stream(part) as f:
                     f.write(base64.b64decode(c))
-                os.replace(part, to)
+                fs.move(part, to)
                 done += 1
             yield pd.DataFrame({"n": [done]})
 

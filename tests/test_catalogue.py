@@ -5,7 +5,7 @@ import os
 import duckdb
 import pytest
 
-from millrace.plans import queries, records, scalars, surfaces  # noqa: F401
+from millrace.plans import filesets, queries, records, scalars, surfaces  # noqa: F401
 
 FOLDER = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
