@@ -227,11 +227,20 @@ def overlapping(df: DataFrame, key: str = "id", content: str = "content", size:
     return made.select(F.col("key").alias(key), "images", text.image_tags(F.transform("images", lambda x: x["id"])).alias("text"))
 
 
-def prepare(raw: DataFrame, limit: int = 32_768, **packing) -> tuple[DataFrame, DataFrame]:
-    """Records of raw samples, and the batches of their conversations by tokens (four characters to a text token)."""
+def _quarter(text_: Column) -> Column:
+    """Four characters to a token."""
+    return F.ceil(F.length(text_) / 4)
+
+
+def prepare(raw: DataFrame, limit: int = 32_768, tokens: Callable[[Column], Column] = _quarter, **packing) -> tuple[DataFrame, DataFrame]:
+    """Records of raw samples, and the batches of their conversations by tokens; ``tokens``: the injected tokenizer, a text's length in tokens."""
     records = pack(raw, **packing)
     talk = records.where("type = 'conversation'")
     shown = F.aggregate(F.coalesce(F.map_values("seq_lens"), F.array().cast("array<int>")), F.lit(0), lambda a, x: a + x)
-    written = F.aggregate("conversations", F.lit(0), lambda a, t: a + F.ceil(F.length(t["text"]) / 4).cast("int"))
-    sized = talk.select("id", F.pmod(F.xxhash64("id"), F.lit(1024)).alias("shard"), (shown + written).alias("tokens"))
+    # A turn at a time is a row, so that a tokenizer may be an Arrow function.
+    rows = talk.select("id", shown.alias("shown"), "conversations", F.monotonically_increasing_id().alias("row"))
+    turns = rows.select("id", "shown", "row", F.explode_outer("conversations").alias("t"))
+    counted = turns.select("id", "shown", "row", F.coalesce(tokens(F.coalesce(F.col("t.text"), F.lit(""))).cast("long"), F.lit(0)).alias("n"))
+    whole = counted.groupBy("row").agg(F.first("id").alias("id"), (F.first("shown") + F.sum("n")).alias("tokens"))
+    sized = whole.select("id", F.pmod(F.xxhash64("id"), F.lit(1024)).alias("shard"), "tokens")
     return records, packed_batches(sized, "shard", "id", "tokens", limit)

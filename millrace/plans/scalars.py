@@ -196,17 +196,12 @@ def difficulty_view(t):
 @query("SELECT o_orderkey, (row_number() OVER (ORDER BY o_orderkey) - 1)::BIGINT AS pos, 'out/' || (row_number() OVER (ORDER BY o_orderkey) - 1) AS path FROM orders")
 def positional_zip(t):
     files = t("orders").select("o_orderkey")
-    outputs = files.select(F.concat(F.lit("out/"), F.lpad((F.row_number().over(_ordered()) - 1).cast("string"), 9, "0")).alias("path"))
+    named = F.concat(F.lit("out/"), F.lpad(F.col("pos").cast("string"), 9, "0"))
+    outputs = relational.positioned(files, "o_orderkey").select(named.alias("path"))
     zipped = relational.zipped(files, outputs, ["o_orderkey"], ["path"])
     return zipped.select("o_orderkey", "pos", F.regexp_replace("path", "out/0*(?=[0-9])", "out/").alias("path"))
 
 
-def _ordered():
-    from pyspark.sql import Window
-
-    return Window.orderBy("o_orderkey")
-
-
 @query(f"""
 WITH s AS ({_SIZE}) SELECT o_orderkey, w::DOUBLE / h <= 4 AND w::DOUBLE / h >= 1 / 4.0::DOUBLE AS fits,
   CASE WHEN w::DOUBLE / h <= 4 AND w::DOUBLE / h >= 1 / 4.0::DOUBLE THEN w WHEN w > h THEN 4 * h ELSE w END::BIGINT AS w,

@@ -55,6 +55,7 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 _PATHS: dict[int, str] = {}
+_EVERY: set[str] = set()
 
 
 def stored(made: DataFrame | Callable[[], DataFrame], *spent: DataFrame) -> DataFrame:
@@ -75,6 +76,7 @@ def stored(made: DataFrame | Callable[[], DataFrame], *spent: DataFrame) -> Data
     spark.range(1).collect()  # else the engine's listeners hold on to the last query's plan, and its shuffle files stay
     gc.collect()
     spark.sparkContext._jvm.System.gc()
+    _EVERY.add(path)
     return _named(spark.read.schema(schema).parquet(path), path)
 
 
@@ -93,5 +95,18 @@ def dropped(table: DataFrame) -> None:
     """Deletes the files of a table that ``stored`` made."""
     path = _PATHS.pop(id(table), None)
     if path:
-        at = table.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        at.getFileSystem(table.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+        _deleted(table.sparkSession, path)
+
+
+def _deleted(spark: SparkSession, path: str) -> None:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+    _EVERY.discard(path)
+
+
+def clear_stored(spark: SparkSession) -> int:
+    """Deletes all tables that this process has stored and not dropped; how many. For when the results that read them are written."""
+    paths = sorted(_EVERY)
+    for path in paths:
+        _deleted(spark, path)
+    return len(paths)

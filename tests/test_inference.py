@@ -1,6 +1,7 @@
 import threading
 import time
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from millrace.functions import images
@@ -94,3 +95,17 @@ def test_large_images_are_shrunk_before_they_are_sent(spark):
     told = inference.distilled(df, sizes, retry=inference.Retry(1), max_pixels=600).where("degrees = 0").first()
     assert told["conversations"][1]["text"] == "(20, 30)"
     assert inference.distilled(df, sizes, retry=inference.Retry(1)).where("degrees = 0").first()["conversations"][1]["text"] == "(40, 60)"
+
+
+def test_batches_by_an_injected_tokenizer(spark):
+    turns = [("user", "one two three"), ("assistant", None)]
+    raw = spark.createDataFrame([(f"r{i}", None, turns, None, None) for i in range(5)], "id string, images array<struct<name:string,content:string>>, conversations array<struct<role:string,text:string>>, fps double, total_frames int")
+
+    def words(texts: pd.Series) -> pd.Series:
+        return texts.str.split().str.len()
+
+    told = raw.unionByName(raw.withColumn("id", F.lit("r0")))  # rows of one id share a shard
+    for tokens, each in ((F.pandas_udf(words, "int"), 3), (packing._quarter, 4)):
+        _, batches = packing.prepare(told, 9, tokens=tokens)
+        got = sorted(r["batch"] for r in batches.where("id = 'r0'").collect())
+        assert batches.count() == 10 and got == [i // (9 // each) for i in range(6)]

@@ -41,3 +41,12 @@ def test_a_hot_key_is_summed_by_several_tasks(spark):
         assert made.select(F.input_file_name()).distinct().count() > 1
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_stored_tables_are_cleared(spark):
+    from millrace import session
+
+    table = session.stored(spark.range(5))
+    other = session.stored(spark.range(7))
+    session.dropped(other)
+    assert table.count() == 5 and session.clear_stored(spark) >= 1 and session.clear_stored(spark) == 0
