@@ -32,17 +32,27 @@ OVERLAP = 1_024
 UNSURE = 4
 
 
+def _ranks(vocab_path: str) -> dict[bytes, int]:
+    with open(vocab_path, "rb") as f:
+        return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
+
+
 @lru_cache(maxsize=4)
 def _codec(vocab_path: str, pattern: str):
-    """The vocabulary is read once in a worker: (tiktoken encoding, bytes by id)."""
+    """The encoder; the vocabulary is read once in a worker."""
     import tiktoken
 
-    with open(vocab_path, "rb") as f:
-        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
+    return tiktoken.Encoding("bpe", pat_str=pattern, mergeable_ranks=_ranks(vocab_path), special_tokens={})
+
+
+@lru_cache(maxsize=4)
+def _bytes(vocab_path: str) -> list[bytes]:
+    """Bytes by id: all that decoding needs, so that its workers hold no encoder."""
+    ranks = _ranks(vocab_path)
     by_id = [b""] * (max(ranks.values()) + 1)
     for token, rank in ranks.items():
         by_id[rank] = token
-    return tiktoken.Encoding("bpe", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}), by_id
+    return by_id
 
 
 @lru_cache(maxsize=4)
@@ -70,7 +80,7 @@ def boundaries(text: str, pattern: str, stop: int) -> list[int]:
 def _ids(texts, vocab_path: str, pattern: str) -> list[bytes]:
     import numpy as np
 
-    encode = _codec(vocab_path, pattern)[0].encode_ordinary
+    encode = _codec(vocab_path, pattern).encode_ordinary
     return [np.array(encode(t), "<u4").tobytes() if t else b"" for t in texts]
 
 
@@ -153,7 +163,7 @@ def decode(df: DataFrame, vocab_path: str, pattern: str, ids: str = "ids", out:
     def raw(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         import numpy as np
 
-        by_id = _codec(vocab_path, pattern)[1]
+        by_id = _bytes(vocab_path)
         for batch in tidied(batches):
             yield pd.Series([b"".join(map(by_id.__getitem__, np.frombuffer(b, "<u4").tolist())) if b else b"" for b in batch], dtype=object)
 

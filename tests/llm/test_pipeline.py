@@ -38,7 +38,7 @@ def test_all_queries_are_registered():
     import __spark_entry__ as entry
 
     names = {q.split("_")[0] for q in entry.queries()}
-    assert {f"op{n}" for n in range(1, 11)} <= names and "pipeline" in names
+    assert {f"op{n}" for n in range(1, 14)} <= names and "pipeline" in names
 
 
 def rows(df):
