@@ -62,8 +62,9 @@ def stored(made: DataFrame | Callable[[], DataFrame], *spent: DataFrame) -> Data
     """Written as a table to the shared folder and read again: evaluated once, and safe from lost executors.
 
     ``spent`` are earlier tables that nothing reads any more: they are deleted. What was shuffled for the table is of no more
-    use either; the engine removes shuffle files when the driver collects its garbage, which is asked for here so that the
-    disk holds one step's files at a time. Given a function that makes the table, no caller still holds on to its plan then.
+    use either; the engine removes shuffle files when the driver collects its garbage, which is asked for here (unless
+    spark.millrace.clean is false, as in tests on few rows) so that the disk holds one step's files at a time. Given a
+    function that makes the table, no caller still holds on to its plan then.
     """
     df = made() if callable(made) else made
     spark = df.sparkSession
@@ -73,9 +74,10 @@ def stored(made: DataFrame | Callable[[], DataFrame], *spent: DataFrame) -> Data
     del df, made
     for each in spent:
         dropped(each)
-    spark.range(1).collect()  # else the engine's listeners hold on to the last query's plan, and its shuffle files stay
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    if spark.conf.get("spark.millrace.clean", "true") == "true":
+        spark.range(1).collect()  # else the engine's listeners hold on to the last query's plan, and its shuffle files stay
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
     _EVERY.add(path)
     return _named(spark.read.schema(schema).parquet(path), path)
 
