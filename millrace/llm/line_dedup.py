@@ -11,10 +11,14 @@ tokens, which carries over the size of their difference.
 
 Lines follow each other by document id (null first), hash of the text and place. A line is removed if
 a line before it is similar, be that one removed itself or not; so of each class only
-one earlier similar class need be found. The join of prefix tokens is added up, in
-its tasks, to the candidate of each class that differs in the fewest bits, which is
-verified on the tokens themselves; only classes for which it fails are joined with
-all their candidates. No list of all pairs is made.
+one earlier similar class need be found. Classes are numbered in that order. Two rounds
+look for it among a few classes just before, in the lists of classes that share a prefix
+token: all classes ask two, and where these are somewhat alike, as in a large group of
+near copies, those without a similar one ask more of them, farther back and in the lists of
+all prefix tokens, and verify the best three. What is left takes part in the join of prefix
+tokens as the later side, which is added up, in its tasks, to the candidate of each class
+that differs in the fewest bits, verified on the tokens themselves; only classes for which
+it fails are joined with all their candidates. No list of all pairs is made.
 
 Texts of the classes that take part are read again: a bit map of fixed size tells most
 other lines beforehand (as it fills up, more is shuffled, and results stay the
@@ -48,8 +52,12 @@ BITS = 1 << 20
 WIDE = 8
 #: Classes with at least this share of all lines are looked up by a broadcast of at most 1 / HOT rows.
 HOT = 1e-4
+#: How far back classes of a group look in the lists of their prefix tokens, and how many of those found are verified.
+FAR, TRIED = (1, 2, 3, 4, 6, 9, 13, 19, 28, 41, 60), 3
 _HASH_BITS, _KEY_BITS, _ID_BITS = 57, 40, 55
 _LEVELS = 60
+#: Bits of 128 in which classes of a group may differ.
+_ALIKE = 36
 _OTHER_SPACE = "\t\r\x0b\f"
 
 
@@ -80,7 +88,7 @@ def levels(docs: DataFrame, text: str, cells: int) -> bytes:
 def _keys(line: Column, known: bytes) -> Column:
     """The line's distinct tokens as numbers, rarest first: level, then hash."""
     table = F.split(F.lit(",".join(map(str, known))), ",").cast("array<int>")  # folded once, to a literal
-    level = lambda h: F.get(table, F.pmod(h, F.lit(len(known))))
+    level = lambda h: F.coalesce(F.get(table, F.pmod(h, F.lit(len(known)))), F.lit(0))  # noqa: E731  never null, so that plain numbers are sorted
     one = lambda h: F.shiftleft(level(h).cast("long"), _HASH_BITS).bitwiseOR(h.bitwiseAND(F.lit((1 << _HASH_BITS) - 1)))
     hashed = F.transform(F.split(line, " "), lambda t: F.xxhash64(t))
     return F.sort_array(F.transform(F.array_distinct(F.array_remove(hashed, F.xxhash64(F.lit("")))), one))
@@ -120,8 +128,8 @@ def lines(docs: DataFrame, text: str, doc_id: str, threshold: float, known: byte
 def _posts(sets: DataFrame) -> DataFrame:
     """A row for each prefix token k of each class. code: twice the token's place, one more where the class need not be joined as the later one."""
     done = F.col("done").cast("int") if "done" in sets.columns else F.lit(0)
-    rows = sets.select("sid", "m", "m2", "n", F.col("first.id").alias("id"), F.col("first.h").alias("h"), F.col("first.line").alias("line"), done.alias("done"), F.posexplode("prefix").alias("pos", "k"))
-    return rows.select("sid", "m", "m2", "n", "id", "h", "line", (2 * F.col("pos") + F.col("done")).alias("code"), "k")
+    rows = sets.select("sid", "m", "m2", "n", done.alias("done"), F.posexplode("prefix").alias("pos", "k"))
+    return rows.select("sid", "m", "m2", "n", (2 * F.col("pos") + F.col("done")).alias("code"), "k")
 
 
 def _bits(m: str, other: str) -> Column:
@@ -144,7 +152,7 @@ def _candidates(later: DataFrame, every: DataFrame, threshold: float) -> DataFra
         & (nb >= F.lit(threshold) * na - 1e-9)
         & (F.least(na - place("a"), nb - place("b")) - F.col("a_code").bitwiseAND(F.lit(1)) * F.lit(1 << 30) >= need)
         & (bits <= na + nb - 2 * need)
-        & (F.struct("b_id", "b_h", "b_line") < F.struct("a_id", "a_h", "a_line"))
+        & (F.col("b_sid") < F.col("a_sid"))
     )
     return one.join(other, near).select(F.col("a_sid").alias("a"), F.col("b_sid").alias("b"), bits.cast("long").alias("bits"))
 
@@ -187,17 +195,33 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame
     return pairs.join(other, "b").join(one, "a").where(overlap >= _needed(F.size("a_tokens"), F.size("b_tokens"), threshold)).select("a").distinct()
 
 
+def _among(posts: DataFrame, threshold: float, far: tuple[int, ...]) -> DataFrame:
+    """sid, code, alike: for each post the best class so far before it (far < 0: after it) in the list of its token, or null where
+    none before it is near enough; and whether any is somewhat like it."""
+    order = Window.partitionBy("k").orderBy("sid")
+    beside = posts.select("sid", "m", "m2", "n", "code", *[F.lag(F.struct("sid", "m", "m2", "n"), by).over(order).alias(f"b{i}") for i, by in enumerate(far)])
+    codes, alike = [], F.lit(False)
+    for i, by in enumerate(far):
+        bits, allowed = _bits("m", f"b{i}.m"), F.col("n") + F.col(f"b{i}.n") - 2 * _needed(F.col("n"), F.col(f"b{i}.n"), threshold)
+        alike = alike | F.coalesce(bits <= F.greatest(allowed, F.least(2 * allowed, F.lit(_ALIKE))), F.lit(False))
+        if by > 0:
+            codes.append(F.when(bits <= allowed, _code(bits.cast("long"), F.col(f"b{i}.sid"))))
+    return beside.select("sid", F.least(*codes, F.lit(None).cast("long")).alias("best"), alike.alias("alike"), F.col("code").alias("place"))
+
+
 def _neighbours(sets: DataFrame, threshold: float) -> DataFrame:
-    """sid, code: for each class the best of the two classes just before it among those that share one of a few of its prefix tokens."""
+    """sid, code: classes that are somewhat like one of the two just before or after them among those that share one of a few of
+    their prefix tokens; the best of those before that are near enough, if any."""
     few = F.array_distinct(F.transform(F.array(*map(F.lit, range(1, 7))), lambda i: F.get("prefix", F.floor(F.size("prefix") * i / 7).cast("int"))))
-    some = _posts(sets.withColumn("prefix", few))
-    order = Window.partitionBy("k").orderBy("id", "h", "line")
-    before = lambda by: F.lag(F.struct("sid", "m", "m2", "n", "id", "h", "line"), by).over(order)
-    pair = some.withColumn("b1", before(1)).withColumn("b2", before(2)).withColumn("b", F.explode(F.array("b1", "b2")))
-    pair = pair.where("b is not null").where(F.struct("b.id", "b.h", "b.line") < F.struct("id", "h", "line"))
-    need, bits = _needed(F.col("n"), F.col("b.n"), threshold), _bits("m", "b.m")
-    near = pair.where(bits <= F.col("n") + F.col("b.n") - 2 * need)
-    return near.groupBy("sid").agg(F.min(_code(bits.cast("long"), F.col("b.sid"))).alias("code"))
+    beside = _among(_posts(sets.withColumn("prefix", few)), threshold, (1, 2, -1, -2)).where("alike")
+    return beside.groupBy("sid").agg(F.min("best").alias("code"))
+
+
+def _farther(group: DataFrame, threshold: float) -> DataFrame:
+    """a, b: for classes that are not done the best of those before them, near enough, in the lists of all their prefix tokens."""
+    beside = _among(_posts(group), threshold, FAR).where((F.col("place").bitwiseAND(F.lit(1)) == 0) & F.col("best").isNotNull())
+    best = beside.groupBy("sid").agg(F.slice(F.array_sort(F.collect_set("best")), 1, TRIED).alias("codes"))
+    return _best(best.select("sid", F.explode("codes").alias("code")))
 
 
 def _code(bits: Column, sid: Column) -> Column:
@@ -214,12 +238,21 @@ def similar(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", thresho
     every = stored(lambda: lines(docs, text, doc_id, threshold, levels(docs, text, cells)))
     one = lambda c: F.first(c).alias(c)
     first = F.min(F.struct("id", "h", "line")).alias("first")
-    sets = stored(lambda: every.groupBy("u", "u2").agg(first, F.count("*").alias("times"), one("m"), one("m2"), one("n"), one("prefix")).withColumn("sid", F.monotonically_increasing_id()))
+
+    def classes() -> DataFrame:
+        """In order, so that their numbers tell which is earlier."""
+        each = every.groupBy("u", "u2").agg(first, F.count("*").alias("times"), one("m"), one("m2"), one("n"), one("prefix"))
+        return each.orderBy("first").withColumn("sid", F.monotonically_increasing_id())
+
+    sets = stored(classes)
+    every = stored(lambda: every.select("id", "h", "line", "u", "u2"), every)
     # Members of large groups mostly find a neighbour; only the others are joined with all candidates.
-    nearby = stored(lambda: _best(_neighbours(sets, threshold)))
-    ends = nearby.select(F.col("a").alias("sid")).unionByName(nearby.select(F.col("b").alias("sid"))).distinct()
-    texts = stored(lambda: _texts(docs, text, sets.join(ends, "sid")))
-    found = stored(lambda: _verified(nearby, texts, threshold), texts, nearby)
+    group = stored(lambda: _neighbours(sets, threshold))
+    texts = stored(lambda: _texts(docs, text, sets.join(group.select("sid"), "sid")))
+    found = stored(lambda: _verified(_best(group), texts, threshold))
+    alike = group.select("sid").join(found, F.col("sid") == F.col("a"), "left").select("sid", F.col("a").isNotNull().alias("done"))
+    more = stored(lambda: _farther(sets.join(alike, "sid"), threshold))
+    found = stored(lambda: found.unionByName(_verified(more, texts, threshold)), found, more, texts, group)
 
     def met() -> DataFrame:
         """The best candidate of each class, and every class that is a candidate of another, in one number each."""

@@ -68,6 +68,31 @@ def test_groups_of_near_copies_and_long_lines(spark, prose):
     assert {r["id"]: r["removed"] for r in line_dedup.removals(df).collect()} == want
 
 
+def test_a_large_group_makes_few_candidates(spark, prose, monkeypatch):
+    """Most members of a group of near copies find an earlier one among a few, though two members in a row are often unlike."""
+    r = random.Random(5)
+    base = prose(77, 70).replace("\n", " ").split(" ")
+    docs = []
+    for i in range(400):
+        ws = list(base)
+        for k in r.sample(range(len(ws)), 4):
+            ws[k] = f"w{r.randrange(9_000)}"
+        docs.append((i, " ".join(ws)))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    made, candidates = [], line_dedup._candidates
+
+    def counted(*args):
+        found = candidates(*args)
+        made.append(found.count())
+        return found
+
+    monkeypatch.setattr(line_dedup, "_candidates", counted)
+    want = brute(docs)
+    assert 300 < len(want) < 400
+    assert {r["id"]: r["removed"] for r in line_dedup.removals(df).collect()} == want
+    assert sum(made) < 30 * len(docs)
+
+
 def test_odd_rows(odd_docs, no_docs):
     kept = line_dedup.dedup(odd_docs)
     assert kept.columns == odd_docs.columns and kept.count() == odd_docs.count()
