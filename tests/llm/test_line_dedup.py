@@ -93,6 +93,28 @@ def test_a_large_group_makes_few_candidates(spark, prose, monkeypatch):
     assert sum(made) < 30 * len(docs)
 
 
+def test_what_is_on_disk_while_candidates_are_joined(spark, prose, monkeypatch):
+    """Of the stored tables only that of the classes holds prefixes, and a post is no wider than the join needs."""
+    df = spark.createDataFrame([(i, prose(20 + i % 7, 9)) for i in range(12)], "doc_id long, text string")
+    held, joined, store, candidates = [], [], line_dedup.stored, line_dedup._candidates
+
+    def noted(made, *spent):
+        table = store(made, *spent)
+        held[:] = [t for t in held if not any(t is x for x in spent)] + [table]
+        return table
+
+    def met(later, every, threshold):
+        joined.append((later.columns, [t.columns for t in held if "prefix" in t.columns and "code" not in t.columns]))
+        return candidates(later, every, threshold)
+
+    monkeypatch.setattr(line_dedup, "stored", noted)
+    monkeypatch.setattr(line_dedup, "_candidates", met)
+    line_dedup.removals(df)
+    posts, wide = joined[0]
+    assert len(wide) == 1 and "sid" in wide[0]
+    assert set(posts) == {"sid", "m", "m2", "n", "code", "k"}
+
+
 def test_odd_rows(odd_docs, no_docs):
     kept = line_dedup.dedup(odd_docs)
     assert kept.columns == odd_docs.columns and kept.count() == odd_docs.count()
